@@ -8,7 +8,7 @@ column is a plain expression, repeated word for word in the oracle SQL.
   with ``user_id`` as municipality, ``event_type`` as industry and
   ``value`` with missing values injected by rule (``MISSING_*``).
 * municipalities: ``customer`` joined to ``nation`` and ``region``.
-* gas (daily price): mean ``o_totalprice / 1000`` per ``o_orderdate`` day.
+* gas (daily price): mean ``o_totalprice`` per ``o_orderdate`` day.
 * weather (series to correlate): mean ``l_quantity`` per ``l_shipdate`` day.
 * exchange links: ``lineitem`` joined to supplier / nation / region,
   quantity signed negative for returned lines, one link per region.
@@ -66,7 +66,7 @@ def gas_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily price series (gas): one row per order day, no spine."""
     o = table(spark, sf_dir, "orders")
     return (o.groupBy(F.to_date("o_orderdate").alias("day"))
-            .agg(F.avg(F.col("o_totalprice") / 1000.0).alias("price")))
+            .agg(F.avg("o_totalprice").alias("price")))
 
 
 def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,3 +87,37 @@ def exchange_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select("s_suppkey", F.col("r_name").alias("link")))
     return (lines.join(dim, lines.l_suppkey == dim.s_suppkey)
             .select(F.col("l_shipdate").alias("hourutc"), "link", "net_qty"))
+
+
+def station_lat_of(k: Column) -> Column:
+    return F.lit(54.0) + ((k * 71) % 400) / F.lit(100.0)
+
+
+def station_lon_of(k: Column) -> Column:
+    return F.lit(8.0) + ((k * 29) % 700) / F.lit(100.0)
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather stations: suppliers placed by a formula on their key."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("station_id"),
+                    station_lat_of(F.col("s_suppkey")).alias("latitude"),
+                    station_lon_of(F.col("s_suppkey")).alias("longitude"))
+
+
+def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily series to correlate (weather): mean quantity per ship day."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.avg("l_quantity").alias("qty"))
+
+
+# Fixed stand-in values: a coordinate per link (region), like the
+# reference's capital per neighbouring country, and the hub point.
+LINK_COORDS = {
+    "AFRICA": (59.9139, 10.7522),
+    "AMERICA": (59.3327, 18.0656),
+    "ASIA": (52.5200, 13.4050),
+    "EUROPE": (52.3676, 4.9041),
+    "MIDDLE EAST": (54.0, 9.0),
+}
+CENTRAL_POINT = (55.6761, 12.5683)
