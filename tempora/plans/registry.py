@@ -41,5 +41,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     # importing the modules fills CHECKS
-    from tempora.plans import checks_relational  # noqa: F401
+    from tempora.plans import checks_relational, checks_series  # noqa: F401
     return CHECKS
