@@ -253,4 +253,5 @@ def _f15(spark, d):
 def _f15b(spark, d):
     wind = S.weather_daily(spark, d).withColumnRenamed("qty", "wspd")
     out = TS.dct_swc(S.gas_daily(spark, d), wind, swc_width=4, lag=2, dct_filter=False)
-    return rounded(out, 6).withColumn("corr", F.round("corr", 4))
+    return out.select("day", F.round("price", 6).alias("price"), F.round("wspd", 6).alias("wspd"),
+                      F.round("corr", 4).alias("corr"))
