@@ -132,9 +132,8 @@ def clip_to_span(df: DataFrame, ts: str, other: DataFrame, other_ts: str) -> Dat
     """Keep rows of ``df`` whose ``ts`` lies within [min, max] of
     ``other.other_ts`` (both ends inclusive).  The bounds are scalar
     subqueries, evaluated once."""
-    lo = other.select(F.min(other_ts)).scalar()
-    hi = other.select(F.max(other_ts)).scalar()
-    return df.filter((F.col(ts) >= lo) & (F.col(ts) <= hi))
+    span = other.select(F.struct(F.min(other_ts).alias("lo"), F.max(other_ts).alias("hi"))).scalar()
+    return df.filter((F.col(ts) >= span["lo"]) & (F.col(ts) <= span["hi"]))
 
 
 def split_at(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:

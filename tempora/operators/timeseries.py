@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tempora.operators.series import (DEFAULT_CHUNK_ROWS, carry, halo, join_on,
                                       keys_of, with_position)
+from tempora.session import cut_lineage
 
 _POS = "_pos"
 
@@ -212,8 +213,9 @@ def _with_length(df: DataFrame, by, col: str) -> DataFrame:
         n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_N"),
                                   F.count_if(F.col(col).isNull()).alias("_gaps"))
         return join_on(df, n, keys)
-    stats = df.select(F.count(F.lit(1)).alias("_N"), F.count_if(F.col(col).isNull()).alias("_gaps"))
-    return df.withColumn("_N", stats.select("_N").scalar()).withColumn("_gaps", stats.select("_gaps").scalar())
+    stats = df.select(F.struct(F.count(F.lit(1)).alias("n"),
+                               F.count_if(F.col(col).isNull()).alias("g"))).scalar()
+    return df.withColumn("_N", stats["n"]).withColumn("_gaps", stats["g"])
 
 
 def _dct_coefficients(d: DataFrame, keys, p: str, col: str, kmax: int) -> DataFrame:
@@ -285,7 +287,8 @@ def sliding_corr(df: DataFrame, by, order: Sequence[str], x: str, y: str, width:
         means = d.groupBy(*keys).agg(F.avg(x).alias("_mx"), F.avg(y).alias("_my"))
         d = join_on(d, means, keys)
     else:
-        d = d.withColumn("_mx", d.select(F.avg(x)).scalar()).withColumn("_my", d.select(F.avg(y)).scalar())
+        m = d.select(F.struct(F.avg(x).alias("x"), F.avg(y).alias("y"))).scalar()
+        d = d.withColumn("_mx", m["x"]).withColumn("_my", m["y"])
     d = d.withColumn("_cx", F.col(x) - F.col("_mx")).withColumn("_cy", F.col(y) - F.col("_my"))
     h, w = halo(d, by, p, before, o, chunk_rows)
     fr = w.rowsBetween(-before, o)
@@ -300,15 +303,23 @@ def sliding_corr(df: DataFrame, by, order: Sequence[str], x: str, y: str, width:
 
 def dct_swc(prices: DataFrame, wind: DataFrame, day: str = "day", price: str = "price",
             wspd: str = "wspd", swc_width: int = 7, lag: int = 0, dct_cutoff: int = 0,
-            dct_filter: bool = False, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+            dct_filter: bool = False, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+            materialize: bool = True) -> DataFrame:
     """Lag the second series (back-filling the head), optionally low-pass
     both, pair them by date and take the centred sliding correlation.
 
-    Returns (day, price, wspd, corr) with the lagged / filtered values."""
-    w = lag_backfill(wind.select(day, wspd), None, [day], wspd, lag, chunk_rows=chunk_rows)
-    pr = prices.select(day, price)
+    Returns (day, price, wspd, corr) with the lagged / filtered values.
+    Each skew-safe step reads its input twice (rows and a summary), so a
+    chain of steps would re-derive the first input many times over; with
+    ``materialize`` every step's result is checkpointed to the cluster's
+    checkpoint folder, which keeps each plan to one step."""
+    cut = cut_lineage if materialize else (lambda d: d)
+    w = cut(lag_backfill(wind.select(day, wspd), None, [day], wspd, lag, chunk_rows=chunk_rows))
+    pr = cut(prices.select(day, price))
     if dct_filter:
-        pr = dct_lowpass(pr, None, [day], price, dct_cutoff, out="_f").drop(price).withColumnRenamed("_f", price)
-        w = dct_lowpass(w, None, [day], wspd, dct_cutoff, out="_f").drop(wspd).withColumnRenamed("_f", wspd)
+        pr = cut(dct_lowpass(pr, None, [day], price, dct_cutoff, out="_f")
+                 .drop(price).withColumnRenamed("_f", price))
+        w = cut(dct_lowpass(w, None, [day], wspd, dct_cutoff, out="_f")
+                .drop(wspd).withColumnRenamed("_f", wspd))
     both = pr.join(w, [day], "inner")
     return sliding_corr(both, None, [day], price, wspd, swc_width, "corr", chunk_rows=chunk_rows)

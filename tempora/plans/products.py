@@ -20,6 +20,7 @@ from tempora.operators import aggregate as E
 from tempora.operators import joins as D
 from tempora.operators import timeseries as TS
 from tempora.operators.series import grid_position, keys_of
+from tempora.session import cut_lineage
 
 # Fixed values of the reference: alert thresholds of the exchange map and
 # the default low-pass cut-off of the municipality line.
@@ -122,7 +123,7 @@ def correlation_frame(prices: DataFrame, weather: DataFrame, ts: str, col: str,
                       cutoff: int = 5, dct_filter: bool = True) -> DataFrame:
     """Sliding correlation of the daily price with the lagged (and
     optionally low-passed) daily mean of a weather column."""
-    wind = wind_daily(weather, ts, col, prices, day, day)
+    wind = cut_lineage(wind_daily(weather, ts, col, prices, day, day))
     return TS.dct_swc(prices.select(day, price), wind, day=day, price=price, wspd=col,
                       swc_width=width, lag=lag, dct_cutoff=cutoff, dct_filter=dct_filter)
 
