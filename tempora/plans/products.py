@@ -188,3 +188,23 @@ def clean_gas(df: DataFrame, order: Sequence[str], cols: Sequence[str], window:
     for c in cols:
         out = TS.impute_rolling(out, None, order, c, window=window, min_periods=1)
     return out
+
+
+# --- H11 --------------------------------------------------------------------
+def forecast_frame(production: DataFrame, ts: str, key: str, y: str, cutoff, horizon: int,
+                   season: int = 24, exog: DataFrame | None = None, exog_cols: Sequence[str] = (),
+                   order_tiebreak: Sequence[str] = (), months_before: int = 2,
+                   municipality=None) -> DataFrame:
+    """Observed values from ``cutoff - months_before`` plus the dynamic
+    forecast for ``horizon`` steps after the cutoff, with its interval.
+
+    (series, ts, observed, forecast, lower, upper); ``municipality=None``
+    forecasts every series in one job."""
+    from tempora.operators import forecast as FC
+    d = production if municipality is None else B.where_equal(production, {key: municipality})
+    feats = FC.forecast_features(d, key, [ts, *order_tiebreak], y, season, exog, exog_cols, [key, ts])
+    fc = FC.fit_forecast(feats, key, ts, y, cutoff, horizon, season, list(exog_cols))
+    c = F.lit(cutoff).cast(d.schema[ts].dataType)
+    start = F.add_months(c, -months_before).cast(d.schema[ts].dataType)
+    obs = d.filter(F.col(ts) >= start).select(key, ts, F.col(y).alias("observed"))
+    return obs.join(fc, [key, ts], "left")

@@ -42,5 +42,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     # importing the modules fills CHECKS
     from tempora.plans import (checks_products, checks_relational, checks_series,  # noqa: F401
-                               checks_sources)
+                               checks_forecast, checks_sources)
     return CHECKS
