@@ -52,6 +52,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+NUMERIC_BUCKET = 1 << 16
+
+
+def default_bucket(df: DataFrame, col: str) -> Column:
+    """A coarse bucket of an order column: the month of a time, a block of
+    ``NUMERIC_BUCKET`` values of a number, one bucket otherwise."""
+    t = df.schema[col].dataType.typeName()
+    if t in ("timestamp", "timestamp_ntz", "date"):
+        return F.date_trunc("month", F.col(col))
+    if t in ("long", "integer", "short", "byte", "double", "float", "decimal"):
+        return F.floor(F.col(col) / NUMERIC_BUCKET)
+    return F.lit(0)
+
+
 def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
                   bucket: Column | None = None) -> DataFrame:
     """Add the 0-based row position of each row within its series.
@@ -62,7 +76,7 @@ def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
     """
     keys = keys_of(by)
     order = list(order)
-    b = bucket if bucket is not None else F.date_trunc("month", F.col(order[0]))
+    b = bucket if bucket is not None else default_bucket(df, order[0])
     d = df.withColumn("_bkt", b)
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     d = d.withColumn("_rin", F.row_number().over(w_in) - 1)

@@ -224,12 +224,12 @@ def _dct_coefficients(d: DataFrame, keys, p: str, col: str, kmax: int) -> DataFr
     Each row contributes to every k; the sum is a grouped aggregate, so
     map-side partial sums keep a long series from landing on one task.
     A series with any missing value has no spectrum (NULL)."""
-    e = d.select(*keys, p, col, "_N", "_gaps", F.explode(F.sequence(F.lit(0), F.lit(int(kmax)))).alias("k"))
-    e = e.filter(F.col("k") < F.col("_N"))
-    term = F.lit(2.0) * F.col(col) * F.cos(F.lit(math.pi) * F.col("k") * (2 * F.col(p) + 1) / (2 * F.col("_N")))
-    return (e.groupBy(*keys, "k")
+    e = d.select(*keys, p, col, "_N", "_gaps", F.explode(F.sequence(F.lit(0), F.lit(int(kmax)))).alias("_k"))
+    e = e.filter(F.col("_k") < F.col("_N"))
+    term = F.lit(2.0) * F.col(col) * F.cos(F.lit(math.pi) * F.col("_k") * (2 * F.col(p) + 1) / (2 * F.col("_N")))
+    return (e.groupBy(*keys, "_k")
             .agg(F.sum(term).alias("_c"), F.max("_gaps").alias("_gaps"), F.max("_N").alias("_N"))
-            .select(*keys, "k", F.when(F.col("_gaps") == 0, F.col("_c")).alias("coefficient"), "_N"))
+            .select(*keys, "_k", F.when(F.col("_gaps") == 0, F.col("_c")).alias("coefficient"), "_N"))
 
 
 def dct_spectrum(df: DataFrame, by, order: Sequence[str], col: str, kmax: int,
@@ -239,7 +239,7 @@ def dct_spectrum(df: DataFrame, by, order: Sequence[str], col: str, kmax: int,
     keys = keys_of(by)
     d, p, _ = _positioned(df, by, order, pos)
     d = _with_length(d, keys, col)
-    return _dct_coefficients(d, keys, p, col, kmax).drop("_N")
+    return _dct_coefficients(d, keys, p, col, kmax).drop("_N").withColumnRenamed("_k", "k")
 
 
 def dct_lowpass(df: DataFrame, by, order: Sequence[str], col: str, cutoff: int,
@@ -257,14 +257,14 @@ def dct_lowpass(df: DataFrame, by, order: Sequence[str], col: str, cutoff: int,
     d = _with_length(d, keys, col)
     coef = _dct_coefficients(d, keys, p, col, cutoff)
     arr = coef.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("k", "coefficient"))).alias("_coef"))
+        F.sort_array(F.collect_list(F.struct("_k", "coefficient"))).alias("_coef"))
     d = join_on(d, arr, keys, "left") if keys else d.withColumn("_coef", arr.select("_coef").scalar())
     n = F.col(p).cast("double")
     N = F.col("_N").cast("double")
     inv = F.aggregate(
         "_coef", F.lit(0.0),
-        lambda acc, e: acc + e["coefficient"] * F.when(e["k"] == 0, F.lit(0.5)).otherwise(
-            F.cos(F.lit(math.pi) * e["k"] * (2 * n + 1) / (2 * N))))
+        lambda acc, e: acc + e["coefficient"] * F.when(e["_k"] == 0, F.lit(0.5)).otherwise(
+            F.cos(F.lit(math.pi) * e["_k"] * (2 * n + 1) / (2 * N))))
     d = d.withColumn(out, inv / N).drop("_coef", "_N", "_gaps")
     return _finish(d, p, added)
 
