@@ -354,9 +354,8 @@ def resample_daily(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum"
     if spine == "frame":
         valued = daily.filter(F.col("_nv") > 0)
         if keys:
-            lo = valued.select(F.min(day_col)).scalar()
-            hi = valued.select(F.max(day_col)).scalar()
-            bounds = valued.select(*keys).distinct().select(*keys, lo.alias("_lo"), hi.alias("_hi"))
+            span = valued.select(F.struct(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))).scalar()
+            bounds = valued.select(*keys).distinct().select(*keys, span["lo"].alias("_lo"), span["hi"].alias("_hi"))
         else:
             bounds = valued.agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
     elif spine == "key":

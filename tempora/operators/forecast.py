@@ -15,9 +15,10 @@ fitted by least squares for every series at once.  No moving-average terms.
   products, combined map-side), so a long series never sits on one task;
   each series' small system (p <= a handful) is solved in ``mapInPandas``.
 * forecast: one-step-ahead predictions are a column expression over every
-  row after the cutoff.  The dynamic (recursive) forecast runs per series in
-  ``applyInPandas`` over ``s + 1`` known rows plus at most ``horizon`` steps,
-  a size set by the parameter.
+  row after the cutoff.  The dynamic (recursive) forecast needs ``s + 2``
+  known rows plus at most ``horizon`` steps per series (a size set by the
+  parameters); these are packed into arrays per series and the recursion
+  runs over Arrow batches of series in ``mapInPandas``.
 * interval (F18): +- z * sigma * sqrt(sum psi_j^2) with psi the impulse
   weights of the integrated AR polynomial.
 """
@@ -145,31 +146,42 @@ def _psi(phi: float, Phi: float, season: int, h: int) -> np.ndarray:
     return psi
 
 
-def _dynamic(keys, ts, y, season, exog, z):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        coef = np.asarray(pdf["coef"].iloc[0], dtype=float)
-        sigma2 = float(pdf["sigma2"].iloc[0])
-        known = pdf[~pdf["_test"]]
-        test = pdf[pdf["_test"]]
-        if len(test) == 0 or len(known) < season + 2 or np.isnan(coef).any():
-            return pd.DataFrame(columns=[*keys, ts, "forecast", "lower", "upper"])
-        ys = list(known[y].astype(float).values[-(season + 2):])
-        dys = [ys[i] - ys[i - 1] for i in range(1, len(ys))]
-        fc = []
-        for _, r in test.iterrows():
-            x = [1.0, dys[-1], dys[-season], *[float(r[c]) for c in exog]]
-            d = float(np.dot(coef, x))
-            dys.append(d)
-            ys.append(ys[-1] + d)
-            fc.append(ys[-1])
-        psi = _psi(coef[1], coef[2], season, len(fc))
-        half = z * np.sqrt(sigma2 * np.cumsum(psi ** 2))
-        out = test[[*keys, ts]].copy()
-        out["forecast"] = fc
-        out["lower"] = np.asarray(fc) - half
-        out["upper"] = np.asarray(fc) + half
-        return out
+def _dynamic_batches(keys, ts, season, n_exog, z):
+    """Recursive forecast for a batch of series, one row per series:
+    ``ys``/``test``/``tss``/``xs`` arrays ordered by position."""
+    def run(batches):
+        for b in batches:
+            out = {k: [] for k in keys}
+            out.update({ts: [], "forecast": [], "lower": [], "upper": []})
+            for r in b.itertuples(index=False):
+                row = r._asdict()
+                coef = np.asarray(row["coef"], dtype=float)
+                test = np.asarray(row["test"], dtype=bool)
+                ys_all = np.asarray(row["ys"], dtype=float)
+                known = ys_all[~test]
+                n_test = int(test.sum())
+                if n_test == 0 or len(known) < season + 2 or np.isnan(coef).any() or np.isnan(known[-(season + 2):]).any():
+                    continue
+                ys = list(known[-(season + 2):])
+                dys = list(np.diff(ys))
+                xs = np.asarray(row["xs"], dtype=float).reshape(len(test), n_exog)[test] if n_exog else None
+                fc = []
+                for h in range(n_test):
+                    x = [1.0, dys[-1], dys[-season], *(xs[h] if n_exog else [])]
+                    d = float(np.dot(coef, x))
+                    dys.append(d)
+                    ys.append(ys[-1] + d)
+                    fc.append(ys[-1])
+                psi = _psi(coef[1], coef[2], season, n_test)
+                half = z * np.sqrt(float(row["sigma2"]) * np.cumsum(psi ** 2))
+                tss = np.asarray(row["tss"])[test]
+                for k in keys:
+                    out[k].extend([row[k]] * n_test)
+                out[ts].extend(list(tss))
+                out["forecast"].extend(fc)
+                out["lower"].extend(list(np.asarray(fc) - half))
+                out["upper"].extend(list(np.asarray(fc) + half))
+            yield pd.DataFrame(out)
     return run
 
 
@@ -178,24 +190,34 @@ def fit_forecast(features: DataFrame, by, ts: str, y: str, cutoff, horizon: int,
     """Fit per series on ``ts < cutoff`` and forecast the next ``horizon``
     rows recursively (exogenous values taken as known), with intervals.
 
-    Output: (series..., ts, forecast, lower, upper)."""
+    Each series' last ``season + 2`` known rows and ``horizon`` test rows
+    (a size bounded by the parameters) are packed into arrays by a grouped
+    ``collect_list``; the recursion then runs over Arrow batches of series
+    in ``mapInPandas``.  Output: (series..., ts, forecast, lower, upper)."""
     keys = keys_of(by)
+    exog = list(exog)
     coefs = fit_ar(features, keys, cutoff, ts, season, exog)
     cut = F.lit(cutoff).cast(features.schema[ts].dataType)
-    first_test = features.filter(F.col(ts) >= cut).groupBy(*keys).agg(F.min("pos").alias("_p0"))
-    d = join_on(features, first_test, keys) if keys else \
-        features.withColumn("_p0", first_test.select("_p0").scalar())
+    d = features
+    if not keys:
+        d = d.withColumn("_series", F.lit(0))
+        coefs = coefs.withColumn("_series", F.lit(0))
+        keys = ["_series"]
+    first_test = d.filter(F.col(ts) >= cut).groupBy(*keys).agg(F.min("pos").alias("_p0"))
+    d = join_on(d, first_test, keys)
     d = d.filter((F.col("pos") >= F.col("_p0") - (season + 2)) & (F.col("pos") < F.col("_p0") + horizon))
-    d = d.withColumn("_test", F.col("pos") >= F.col("_p0"))
-    d = join_on(d, coefs.select(*keys, "coef", "sigma2"), keys) if keys else \
-        d.withColumn("coef", coefs.select("coef").scalar()).withColumn("sigma2", coefs.select("sigma2").scalar())
-    d = d.select(*keys, ts, "pos", y, *exog, "_test", "coef", "sigma2")
-    key_fields = [features.schema[k] for k in keys]
+    row = F.struct(F.col("pos").alias("p"), F.col(y).cast("double").alias("y"), (F.col("pos") >= F.col("_p0")).alias("t"),
+                   F.col(ts).alias("ts"), F.array(*[F.col(c).cast("double") for c in exog]).alias("x"))
+    packed = d.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_r"))
+    packed = packed.select(*keys, F.transform("_r", lambda e: e["y"]).alias("ys"),
+                           F.transform("_r", lambda e: e["t"]).alias("test"),
+                           F.transform("_r", lambda e: e["ts"]).alias("tss"),
+                           F.flatten(F.transform("_r", lambda e: e["x"])).alias("xs"))
+    packed = join_on(packed, coefs.select(*keys, "coef", "sigma2"), keys)
+    key_fields = [d.schema[k] for k in keys]
     schema = T.StructType([*key_fields, features.schema[ts],
                            T.StructField("forecast", T.DoubleType()),
                            T.StructField("lower", T.DoubleType()),
                            T.StructField("upper", T.DoubleType())])
-    fn = _dynamic(keys, ts, y, season, list(exog), z)
-    if keys:
-        return d.groupBy(*keys).applyInPandas(fn, schema)
-    return d.withColumn("_series", F.lit(0)).groupBy("_series").applyInPandas(fn, schema)
+    out = packed.mapInPandas(_dynamic_batches(keys, ts, season, len(exog), z), schema)
+    return out.drop("_series") if keys == ["_series"] else out

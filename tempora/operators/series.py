@@ -131,36 +131,37 @@ def halo(df: DataFrame, by, pos: str, before: int, after: int,
 
 
 def carry(df: DataFrame, by, pos: str, items: dict[str, Column], forward: bool = True,
-          chunk: Column | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+          chunk: Column | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+          backward_items: dict[str, Column] | None = None) -> DataFrame:
     """For each name -> struct expression in ``items`` add column ``name``:
     the nearest non-NULL struct at or before the row (``forward``) or at or
-    after it, within the series ordered by ``pos``.
+    after it, within the series ordered by ``pos``.  ``backward_items`` adds
+    after-the-row look-ups in the same pass (shared partitioning and
+    summary) when ``forward`` is True.
 
     Structs should start with the position so that max/min pick the
     nearest one.
     """
     keys = keys_of(by)
+    fwd = dict(items) if forward else {}
+    bwd = dict(backward_items or {}) if forward else dict(items)
+    allitems = {**fwd, **bwd}
     ch = chunk if chunk is not None else F.floor(F.col(pos) / int(chunk_rows))
     d = df.withColumn("_ch", ch)
-    for name, s in items.items():
-        d = d.withColumn(f"_s_{name}", s)
+    d = d.withColumns({f"_s_{n}": s for n, s in allitems.items()})
     w = Window.partitionBy(*keys, "_ch").orderBy(pos)
-    if forward:
-        wf = w.rowsBetween(UNB_PREC, 0)
-        inner = {n: F.last(f"_s_{n}", ignorenulls=True).over(wf) for n in items}
-        summ = d.groupBy(*keys, "_ch").agg(*[F.max(f"_s_{n}").alias(f"_e_{n}") for n in items])
-        ws = Window.partitionBy(*keys).orderBy("_ch").rowsBetween(UNB_PREC, -1)
-        summ = summ.select(*keys, "_ch", *[F.last(f"_e_{n}", ignorenulls=True).over(ws).alias(f"_x_{n}")
-                                           for n in items])
-    else:
-        wb = w.rowsBetween(0, UNB_FOLL)
-        inner = {n: F.first(f"_s_{n}", ignorenulls=True).over(wb) for n in items}
-        summ = d.groupBy(*keys, "_ch").agg(*[F.min(f"_s_{n}").alias(f"_e_{n}") for n in items])
-        ws = Window.partitionBy(*keys).orderBy("_ch").rowsBetween(1, UNB_FOLL)
-        summ = summ.select(*keys, "_ch", *[F.first(f"_e_{n}", ignorenulls=True).over(ws).alias(f"_x_{n}")
-                                           for n in items])
+    inner = {n: F.last(f"_s_{n}", ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0)) for n in fwd}
+    inner.update({n: F.first(f"_s_{n}", ignorenulls=True).over(w.rowsBetween(0, UNB_FOLL)) for n in bwd})
+    summ = d.groupBy(*keys, "_ch").agg(*[F.max(f"_s_{n}").alias(f"_e_{n}") for n in fwd],
+                                       *[F.min(f"_s_{n}").alias(f"_e_{n}") for n in bwd])
+    ws = Window.partitionBy(*keys).orderBy("_ch")
+    summ = summ.select(*keys, "_ch",
+                       *[F.last(f"_e_{n}", ignorenulls=True).over(ws.rowsBetween(UNB_PREC, -1)).alias(f"_x_{n}")
+                         for n in fwd],
+                       *[F.first(f"_e_{n}", ignorenulls=True).over(ws.rowsBetween(1, UNB_FOLL)).alias(f"_x_{n}")
+                         for n in bwd])
     d = d.withColumns({f"_i_{n}": e for n, e in inner.items()})
     d = join_on(d, summ, [*keys, "_ch"], "left")
-    d = d.withColumns({n: F.coalesce(F.col(f"_i_{n}"), F.col(f"_x_{n}")) for n in items})
-    drop = ["_ch"] + [f"_{p}_{n}" for n in items for p in ("s", "i", "x")]
+    d = d.withColumns({n: F.coalesce(F.col(f"_i_{n}"), F.col(f"_x_{n}")) for n in allitems})
+    drop = ["_ch"] + [f"_{p}_{n}" for n in allitems for p in ("s", "i", "x")]
     return d.drop(*drop)

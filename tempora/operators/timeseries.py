@@ -78,14 +78,10 @@ def interpolate(df: DataFrame, by, order: Sequence[str], cols: Sequence[str],
     else:
         raise ValueError(method)
     d = d.withColumn("_t", t)
-    items = {f"_prev_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(p).alias("p"), F.col("_t").alias("t"),
-                                                                     F.col(c).alias("v")))
-             for c in cols}
-    d = carry(d, by, p, items, forward=True, chunk_rows=chunk_rows)
-    items = {f"_next_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(p).alias("p"), F.col("_t").alias("t"),
-                                                                     F.col(c).alias("v")))
-             for c in cols}
-    d = carry(d, by, p, items, forward=False, chunk_rows=chunk_rows)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(p).alias("p"), F.col("_t").alias("t"),
+                                                        F.col(c).alias("v"))) for c in cols}
+    d = carry(d, by, p, {f"_prev_{c}": s for c, s in known.items()}, forward=True, chunk_rows=chunk_rows,
+              backward_items={f"_next_{c}": s for c, s in known.items()})
     for c in cols:
         prev, nxt = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
         filled = (F.when(prev.isNull(), F.lit(None))
