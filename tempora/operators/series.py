@@ -89,13 +89,37 @@ def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
             .drop("_bkt", "_rin", "_boff"))
 
 
+def epoch_seconds(df: DataFrame, col: str) -> Column:
+    """Seconds since 1970-01-01 without passing through the session time
+    zone for dates and zone-less timestamps (a DST shift would otherwise
+    make a day 23 or 25 hours long)."""
+    t = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if t == "date":
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+    if t == "timestamp_ntz":
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return F.unix_timestamp(c)
+
+
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since the epoch, zone-free like :func:`epoch_seconds`."""
+    t = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if t == "date":
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400000000
+    if t == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return F.unix_micros(c)
+
+
 def grid_position(df: DataFrame, by, ts: str, step_seconds: int = 86400,
                   pos: str = "_pos") -> DataFrame:
     """Position on a regular time grid: ``(ts - first ts of the series) /
     step``.  For dense series (e.g. after ``resample_daily``) this equals
     the row position and needs only a per-series ``min``."""
     keys = keys_of(by)
-    secs = F.unix_timestamp(F.col(ts).cast("timestamp"))
+    secs = epoch_seconds(df, ts)
     if keys:
         first = df.groupBy(*keys).agg(F.min(secs).alias("_t0"))
         d = join_on(df, first, keys)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempora.operators.series import (DEFAULT_CHUNK_ROWS, carry, halo, join_on,
+from tempora.operators.series import (DEFAULT_CHUNK_ROWS, carry, epoch_micros, halo, join_on,
                                       keys_of, with_position)
 from tempora.session import cut_lineage
 
@@ -72,7 +72,7 @@ def interpolate(df: DataFrame, by, order: Sequence[str], cols: Sequence[str],
     cols = list(cols)
     d, p, added = _positioned(df, by, order, pos)
     if method == "time":
-        t = F.unix_micros(F.col(ts or order[0]).cast("timestamp")).cast("double")
+        t = epoch_micros(d, ts or order[0]).cast("double")
     elif method == "linear":
         t = F.col(p).cast("double")
     else:

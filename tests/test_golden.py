@@ -185,3 +185,20 @@ def test_melt_inverts_pivot(spark):
     wide = E.pivot_wide(df, "t", "k", "v", ["x", "y"])
     long = E.melt(wide, ["t"], ["x", "y"], "k", "v").filter(F.col("v").isNotNull())
     assert sorted(map(tuple, long.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_positions_and_time_weights_ignore_dst(spark):
+    from tempora.operators.series import grid_position
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        days = [dt.date(2024, 3, 8) + dt.timedelta(days=i) for i in range(5)]
+        df = spark.createDataFrame([("a", d) for d in days], "k string, day date")
+        assert [r._p for r in grid_position(df, "k", "day", 86400, "_p").orderBy("day").collect()] == [0, 1, 2, 3, 4]
+        ts = [dt.datetime(2024, 3, 9, 12), dt.datetime(2024, 3, 10, 12), dt.datetime(2024, 3, 11, 12)]
+        df2 = spark.createDataFrame([("a", ts[0], 0.0), ("a", ts[1], None), ("a", ts[2], 2.0)],
+                                    "k string, t timestamp_ntz, x double")
+        out = TS.interpolate(df2, "k", ["t"], ["x"], method="time").orderBy("t").collect()
+        assert [r.x for r in out] == [0.0, 1.0, 2.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
