@@ -65,8 +65,15 @@ def group_agg(df: DataFrame, group_col: str, agg: str, response: str,
     if agg not in AGGS:
         raise KeyError(agg)
     name = f"{agg}_{response}"
-    out = (_not_null_keys(df, [group_col]).groupBy(group_col)
-           .agg(AGGS[agg](response).alias(name)))
+    data = _not_null_keys(df, [group_col])
+    if agg == "median":
+        # exact and skew-safe: ranks from a range-partitioned sort, no value map per group
+        ranked = rank_within(data.select(group_col, response), [group_col], response)
+        out = _median_from_ranks(ranked, [group_col], response).withColumnRenamed("median", name)
+        groups = data.select(group_col).distinct()
+        out = groups.join(out, [group_col], "left")
+    else:
+        out = data.groupBy(group_col).agg(AGGS[agg](response).alias(name))
     return out.orderBy(F.col(name).desc_nulls_last(), F.col(group_col))
 
 

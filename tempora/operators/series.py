@@ -56,10 +56,14 @@ NUMERIC_BUCKET = 1 << 16
 
 
 def default_bucket(df: DataFrame, col: str) -> Column:
-    """A coarse bucket of an order column: the month of a time, a block of
-    ``NUMERIC_BUCKET`` values of a number, one bucket otherwise."""
+    """A coarse bucket of an order column: the day of a time (the month of a
+    date), a block of ``NUMERIC_BUCKET`` values of a number, one bucket
+    otherwise.  Pass a finer ``bucket`` to :func:`with_position` when one
+    series holds very many rows per day."""
     t = df.schema[col].dataType.typeName()
-    if t in ("timestamp", "timestamp_ntz", "date"):
+    if t in ("timestamp", "timestamp_ntz"):
+        return F.date_trunc("day", F.col(col))
+    if t == "date":
         return F.date_trunc("month", F.col(col))
     if t in ("long", "integer", "short", "byte", "double", "float", "decimal"):
         return F.floor(F.col(col) / NUMERIC_BUCKET)
@@ -71,8 +75,8 @@ def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
     """Add the 0-based row position of each row within its series.
 
     ``order`` must be a total order within a series (add a tie-break).
-    ``bucket`` is a coarse, order-compatible expression (default: the month
-    of the first order column) that splits large series across tasks.
+    ``bucket`` is a coarse, order-compatible expression (default: see
+    :func:`default_bucket`) that splits large series across tasks.
     """
     keys = keys_of(by)
     order = list(order)
