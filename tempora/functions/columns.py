@@ -43,14 +43,15 @@ def normalise_names(df: DataFrame, rename: Mapping[str, str] | None = None,
     return df.select(*[F.col(f"`{o}`").alias(n) for o, n in zip(cols, new)])
 
 
-def index_to_column(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
-    """pandas ``reset_index`` stand-in: an explicit position column.
+def index_to_column(df: DataFrame, name: str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """pandas ``reset_index`` stand-in: an explicit 0-based position column
+    in ``order`` (a total order), over the frame or per ``by`` group.
 
-    Row numbering needs a total order; it is a global rank, so only use it on
-    results that are already small (e.g. after aggregation).
+    Numbered per coarse bucket of the first order column plus a running
+    offset, so no single task holds the frame (see ``operators.series``).
     """
-    from pyspark.sql import Window
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
+    from tempora.operators.series import with_position
+    return with_position(df, list(by), order, name)
 
 
 # --- B3 ---------------------------------------------------------------------

@@ -99,3 +99,42 @@ def _a8(spark, d):
 def _a9(spark, d):
     target, new = _split(spark, d)
     return target.unionByName(new).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the cluster's checkpoint folder."""
+    import uuid
+    from tempora.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
+
+
+@check("a2_read_csv", "SELECT * FROM orders")
+def _a2(spark, d):
+    orders = S.table(spark, d, "orders")
+    path = _scratch(spark, "orders_csv")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    A.write_csv(orders, path, timestamp_format=fmt)
+    return A.read_csv(spark, path, orders.schema, timestamp_format=fmt)
+
+
+@check("a4_read_documents", """SELECT c_name AS Municipality, r_name AS Region FROM customer
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def _a4(spark, d):
+    m = S.municipalities(spark, d)
+    docs = m.select(F.concat(F.lit("doc-"), F.col("code").cast("string")).alias("_id"),
+                    F.col("name").alias("Municipality"), F.col("region").alias("Region"),
+                    "latitude", "longitude")
+    path = _scratch(spark, "municipalities_json")
+    docs.write.mode("overwrite").json(path)
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("Municipality", T.StringType()),
+                           T.StructField("Region", T.StringType()), T.StructField("latitude", T.DoubleType()),
+                           T.StructField("longitude", T.DoubleType())])
+    return A.read_documents(spark, path, schema, include=["Municipality", "Region"])
+
+
+@check("b2_index_to_column", "SELECT day, round(price, 6) AS price, row_number() OVER (ORDER BY day) - 1 AS idx FROM (" +
+       "SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS price FROM orders GROUP BY 1)")
+def _b2i(spark, d):
+    from tempora.functions import columns as B
+    from tempora.plans.registry import rounded
+    return rounded(B.index_to_column(S.gas_daily(spark, d), "idx", ["day"]))

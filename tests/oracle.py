@@ -29,7 +29,7 @@ def _cell(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(round(v, 6) + 0.0)
+        return repr(round(v, 6))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if hasattr(v, "tolist"):
