@@ -134,7 +134,8 @@ def clip_to_span(df: DataFrame, ts: str, other: DataFrame, other_ts: str) -> Dat
     ``other.other_ts`` (both ends inclusive).  The bounds are scalar
     subqueries, evaluated once."""
     span = other.select(F.struct(F.min(other_ts).alias("lo"), F.max(other_ts).alias("hi"))).scalar()
-    return df.filter((F.col(ts) >= span["lo"]) & (F.col(ts) <= span["hi"]))
+    return (df.withColumn("_span", span)
+            .filter(F.col(ts).between(F.col("_span.lo"), F.col("_span.hi"))).drop("_span"))
 
 
 def split_at(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:

@@ -207,8 +207,9 @@ def flag_outliers(df: DataFrame, col: str, k: float = 3.0, robust: bool = False,
     if keys:
         joined = df.join(limits, keys, "left")
     else:
-        joined = (df.withColumn("lower", limits.select("lower").scalar())
-                  .withColumn("upper", limits.select("upper").scalar()))
+        joined = (df.withColumn("_lim", limits.select(F.struct("lower", "upper")).scalar())
+                  .withColumn("lower", F.col("_lim.lower")).withColumn("upper", F.col("_lim.upper"))
+                  .drop("_lim"))
     x = F.col(col)
     return (joined.withColumn(flag, (x < F.col("lower")) | (x > F.col("upper")))
             .drop("lower", "upper"))
@@ -362,7 +363,8 @@ def resample_daily(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum"
         valued = daily.filter(F.col("_nv") > 0)
         if keys:
             span = valued.select(F.struct(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))).scalar()
-            bounds = valued.select(*keys).distinct().select(*keys, span["lo"].alias("_lo"), span["hi"].alias("_hi"))
+            bounds = (valued.select(*keys).distinct().withColumn("_span", span)
+                      .select(*keys, F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi")))
         else:
             bounds = valued.agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
     elif spine == "key":

@@ -211,7 +211,8 @@ def _with_length(df: DataFrame, by, col: str) -> DataFrame:
         return join_on(df, n, keys)
     stats = df.select(F.struct(F.count(F.lit(1)).alias("n"),
                                F.count_if(F.col(col).isNull()).alias("g"))).scalar()
-    return df.withColumn("_N", stats["n"]).withColumn("_gaps", stats["g"])
+    return (df.withColumn("_st", stats).withColumn("_N", F.col("_st.n"))
+            .withColumn("_gaps", F.col("_st.g")).drop("_st"))
 
 
 def _dct_coefficients(d: DataFrame, keys, p: str, col: str, kmax: int) -> DataFrame:
@@ -284,7 +285,7 @@ def sliding_corr(df: DataFrame, by, order: Sequence[str], x: str, y: str, width:
         d = join_on(d, means, keys)
     else:
         m = d.select(F.struct(F.avg(x).alias("x"), F.avg(y).alias("y"))).scalar()
-        d = d.withColumn("_mx", m["x"]).withColumn("_my", m["y"])
+        d = d.withColumn("_m", m).withColumn("_mx", F.col("_m.x")).withColumn("_my", F.col("_m.y")).drop("_m")
     d = d.withColumn("_cx", F.col(x) - F.col("_mx")).withColumn("_cy", F.col(y) - F.col("_my"))
     h, w = halo(d, by, p, before, o, chunk_rows)
     fr = w.rowsBetween(-before, o)

@@ -93,10 +93,10 @@ def exchange_stats(df: DataFrame, ts: str, value: str, k: float = 3.0, p: float
     basic = E.spc_limits(hourly, value, k=k).select(
         F.col("centre").alias("mean"), F.col("spread").alias("std"), "lower", "upper")
     tm = E.trimmed_mean(hourly, value, p)
-    md = E.mad(hourly, value)
-    return basic.select("*", tm.select("trimmed_mean").scalar().alias("trimmed_mean"),
-                        md.select("mad").scalar().alias("mad"),
-                        md.select("mad_scaled").scalar().alias("mad_scaled"))
+    md = E.mad(hourly, value).select(F.struct("mad", "mad_scaled")).scalar()
+    return (basic.select("*", tm.select("trimmed_mean").scalar().alias("trimmed_mean"), md.alias("_md"))
+            .select("*", F.col("_md.mad").alias("mad"), F.col("_md.mad_scaled").alias("mad_scaled"))
+            .drop("_md"))
 
 
 # --- H5 / H6 ----------------------------------------------------------------
