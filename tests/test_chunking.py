@@ -16,7 +16,9 @@ KEY, ORDER = "municipalityno", ["hourutc", "id"]
 
 @pytest.fixture(scope="module")
 def readings(spark):
-    return S.readings(spark, SF).cache()
+    df = S.readings(spark, SF).cache()
+    yield df
+    df.unpersist(blocking=True)
 
 
 def same(a, b, cols):
