@@ -73,7 +73,8 @@ def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key:
 
     Stations are bucketed into ``cell_deg`` grid cells.  Round ``r`` joins
     the still-open points with the stations of the cells at Chebyshev ring
-    ``r`` around their own cell (an equi-join on the cell).  A point is
+    ``r`` around their own cell (an equi-join on the cell; the first round
+    takes rings 0 and 1).  A point is
     closed once its best distance is below the least distance any station
     outside rings ``0..r`` can have, or once the rings cover every station
     cell.  Each round's open set is checkpointed, so lineage stays short.
@@ -100,10 +101,10 @@ def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key:
                 .withColumn("_best", F.lit(None).cast("struct<d:double,s:%s>" %
                                                       stations.schema[station_key].dataType.simpleString())))
     done_parts = []
-    r = 0
-    open_pts = cut_lineage(open_pts)
+    r = 1  # the first round takes the point's own cell and ring 1 (3 x 3 cells)
     while True:
-        offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _ring(r)])
+        cells = _ring(0) + _ring(1) if r == 1 else _ring(r)
+        offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in cells])
         cand = (open_pts.select("_pid", "_plat", "_plon", "_cx", "_cy", F.explode(offs).alias("_o"))
                 .select("_pid", "_plat", "_plon", (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
                         (F.col("_cy") + F.col("_o.dy")).alias("_cy")))
@@ -116,12 +117,17 @@ def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key:
                               .when(F.col("_ring_best").isNull(), F.col("_best"))
                               .otherwise(F.least("_best", "_ring_best")))
                   .drop("_ring_best"))
-        # least distance from the point to any station outside rings 0..r
-        step = math.radians(r * c)
-        bound_lat = EARTH_RADIUS_M * step
-        bound_lon = 2 * EARTH_RADIUS_M * F.asin(
-            F.sqrt(F.cos(F.radians(F.col("_plat"))) * F.lit(cos_s)) * F.lit(math.sin(step / 2)))
-        bound = F.least(F.lit(bound_lat), bound_lon)
+        # least distance from the point to any station outside rings 0..r:
+        # such a station lies r cells plus the point's margin to its own
+        # cell edge away in latitude or in longitude
+        fy = F.col("_plat") / c - F.col("_cy")
+        fx = F.col("_plon") / c - F.col("_cx")
+        gap_lat = F.radians((F.lit(float(r)) + F.least(fy, 1 - fy)) * c)
+        gap_lon = F.radians((F.lit(float(r)) + F.least(fx, 1 - fx)) * c)
+        bound_lat = F.lit(EARTH_RADIUS_M) * gap_lat
+        bound_lon = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(
+            F.cos(F.radians(F.col("_plat"))) * F.lit(cos_s)) * F.sin(F.least(gap_lon, F.lit(math.pi)) / 2)))
+        bound = F.least(bound_lat, bound_lon)
         closed = (F.col("_reach") <= r) | (F.col("_best").isNotNull() & (F.col("_best.d") <= bound))
         merged = cut_lineage(merged.withColumn("_closed", closed))
         done_parts.append(merged.filter("_closed"))
