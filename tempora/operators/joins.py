@@ -4,8 +4,8 @@ Dimension joins carry no broadcast hint unless the side has a proven bound:
 adaptive execution measures the built side at run time and turns the join
 into a broadcast when it is small, else keeps a shuffle join whose skewed
 partitions it splits.  The nearest-station join (D5) avoids pairing every
-point with every station: it is an equi-join on grid cells, widened ring by
-ring only for points whose nearest station is not yet proven.
+point with every station: it is an equi-join on grid cells, coarsened level
+by level only for points whose nearest station is not yet proven.
 """
 
 from __future__ import annotations
@@ -53,15 +53,7 @@ def anti_join(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
 
 
 # --- D5 ---------------------------------------------------------------------
-def _ring(r: int):
-    if r == 0:
-        return [(0, 0)]
-    out = []
-    for dx in range(-r, r + 1):
-        for dy in range(-r, r + 1):
-            if max(abs(dx), abs(dy)) == r:
-                out.append((dx, dy))
-    return out
+_NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
 def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key: str,
@@ -71,73 +63,74 @@ def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key:
     """Nearest station (and distance in metres) for every point; ties go to
     the lowest station key.  Exact.
 
-    Stations are bucketed into ``cell_deg`` grid cells.  Round ``r`` joins
-    the still-open points with the stations of the cells at Chebyshev ring
-    ``r`` around their own cell (an equi-join on the cell; the first round
-    takes rings 0 and 1).  A point is
-    closed once its best distance is below the least distance any station
-    outside rings ``0..r`` can have, or once the rings cover every station
-    cell.  Each round's open set is checkpointed, so lineage stays short.
-    The loop runs over rings, never over data.
+    Multi-resolution grid search.  At level ``l`` the cells are
+    ``cell_deg * 2**l`` degrees; the still-open points are joined (an
+    equi-join on the cell) with the stations of the 3 x 3 cells around
+    their own.  A point is closed once its best distance is below the least
+    distance any station outside that 3 x 3 block can have (one cell plus
+    the point's margin to its cell edge, in latitude or longitude), or once
+    the block covers every station.  The number of levels grows with the log
+    of the distance to the nearest station, and later levels see only the
+    points still open.  Each level's result is checkpointed so lineage stays
+    short; the loop runs over levels, never over data.
     """
-    c = float(cell_deg)
+    c0 = float(cell_deg)
     st = stations.select(F.col(station_key).alias("_sid"),
                          F.col(station_lat).alias("_slat"), F.col(station_lon).alias("_slon")) \
-        .filter(F.col("_slat").isNotNull() & F.col("_slon").isNotNull()) \
-        .withColumn("_cx", F.floor(F.col("_slon") / c)).withColumn("_cy", F.floor(F.col("_slat") / c))
-    ext = st.agg(F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
-                 F.min("_cy").alias("y0"), F.max("_cy").alias("y1"),
+        .filter(F.col("_slat").isNotNull() & F.col("_slon").isNotNull())
+    ext = st.agg(F.min("_slon").alias("lo0"), F.max("_slon").alias("lo1"),
+                 F.min("_slat").alias("la0"), F.max("_slat").alias("la1"),
                  F.max(F.abs("_slat")).alias("alat")).first()
     pts = points.select(F.col(point_key).alias("_pid"), F.col(lat).alias("_plat"),
                         F.col(lon).alias("_plon"))
-    if ext["x0"] is None:  # no station at all
-        return pts.select(F.col("_pid").alias(point_key), F.lit(None).cast(stations.schema[station_key].dataType)
-                          .alias(station_key), F.lit(None).cast("double").alias(dist_col))
+    sid_type = stations.schema[station_key].dataType
+    if ext["lo0"] is None:  # no station at all
+        return pts.select(F.col("_pid").alias(point_key), F.lit(None).cast(sid_type).alias(station_key),
+                          F.lit(None).cast("double").alias(dist_col))
     cos_s = math.cos(math.radians(min(90.0, ext["alat"])))
-    open_pts = (pts.withColumn("_cx", F.floor(F.col("_plon") / c))
-                .withColumn("_cy", F.floor(F.col("_plat") / c))
-                .withColumn("_reach", F.greatest(F.abs(F.col("_cx") - ext["x0"]), F.abs(F.col("_cx") - ext["x1"]),
-                                                 F.abs(F.col("_cy") - ext["y0"]), F.abs(F.col("_cy") - ext["y1"])))
-                .withColumn("_best", F.lit(None).cast("struct<d:double,s:%s>" %
-                                                      stations.schema[station_key].dataType.simpleString())))
+    open_pts = pts.withColumn("_best", F.lit(None).cast(f"struct<d:double,s:{sid_type.simpleString()}>"))
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
     done_parts = []
-    r = 1  # the first round takes the point's own cell and ring 1 (3 x 3 cells)
+    level = 0
     while True:
-        cells = _ring(0) + _ring(1) if r == 1 else _ring(r)
-        offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in cells])
-        cand = (open_pts.select("_pid", "_plat", "_plon", "_cx", "_cy", F.explode(offs).alias("_o"))
+        c = c0 * (2 ** level)
+        cells = st.withColumn("_cx", F.floor(F.col("_slon") / c)).withColumn("_cy", F.floor(F.col("_slat") / c))
+        p = (open_pts.withColumn("_cx", F.floor(F.col("_plon") / c))
+             .withColumn("_cy", F.floor(F.col("_plat") / c)))
+        cand = (p.select("_pid", "_plat", "_plon", "_cx", "_cy", F.explode(offs).alias("_o"))
                 .select("_pid", "_plat", "_plon", (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
                         (F.col("_cy") + F.col("_o.dy")).alias("_cy")))
-        hits = (cand.join(st, ["_cx", "_cy"])
+        hits = (cand.join(cells, ["_cx", "_cy"])
                 .select("_pid", F.struct(haversine_m("_plat", "_plon", "_slat", "_slon").alias("d"),
                                          F.col("_sid").alias("s")).alias("_h"))
-                .groupBy("_pid").agg(F.min("_h").alias("_ring_best")))
-        merged = (open_pts.join(hits, ["_pid"], "left")
-                  .withColumn("_best", F.when(F.col("_best").isNull(), F.col("_ring_best"))
-                              .when(F.col("_ring_best").isNull(), F.col("_best"))
-                              .otherwise(F.least("_best", "_ring_best")))
-                  .drop("_ring_best"))
-        # least distance from the point to any station outside rings 0..r:
-        # such a station lies r cells plus the point's margin to its own
-        # cell edge away in latitude or in longitude
+                .groupBy("_pid").agg(F.min("_h").alias("_lb")))
+        merged = (p.join(hits, ["_pid"], "left")
+                  .withColumn("_best", F.when(F.col("_best").isNull(), F.col("_lb"))
+                              .when(F.col("_lb").isNull(), F.col("_best"))
+                              .otherwise(F.least("_best", "_lb")))
+                  .drop("_lb"))
+        # every station cell within the 3 x 3 block: nothing can be missed
+        covered = ((F.col("_cx") - 1 <= math.floor(ext["lo0"] / c)) & (F.col("_cx") + 1 >= math.floor(ext["lo1"] / c))
+                   & (F.col("_cy") - 1 <= math.floor(ext["la0"] / c)) & (F.col("_cy") + 1 >= math.floor(ext["la1"] / c)))
+        # least distance to a station outside the block: one cell plus the
+        # point's margin to its own cell edge, in latitude or in longitude
         fy = F.col("_plat") / c - F.col("_cy")
         fx = F.col("_plon") / c - F.col("_cx")
-        gap_lat = F.radians((F.lit(float(r)) + F.least(fy, 1 - fy)) * c)
-        gap_lon = F.radians((F.lit(float(r)) + F.least(fx, 1 - fx)) * c)
+        gap_lat = F.radians((1 + F.least(fy, 1 - fy)) * c)
+        gap_lon = F.radians((1 + F.least(fx, 1 - fx)) * c)
         bound_lat = F.lit(EARTH_RADIUS_M) * gap_lat
         bound_lon = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(
             F.cos(F.radians(F.col("_plat"))) * F.lit(cos_s)) * F.sin(F.least(gap_lon, F.lit(math.pi)) / 2)))
-        bound = F.least(bound_lat, bound_lon)
-        closed = (F.col("_reach") <= r) | (F.col("_best").isNotNull() & (F.col("_best.d") <= bound))
-        merged = cut_lineage(merged.withColumn("_closed", closed))
+        closed = covered | (F.col("_best").isNotNull() & (F.col("_best.d") <= F.least(bound_lat, bound_lon)))
+        merged = cut_lineage(merged.withColumn("_closed", closed).drop("_cx", "_cy"))
         done_parts.append(merged.filter("_closed"))
         open_pts = merged.filter(~F.col("_closed")).drop("_closed")
         if open_pts.isEmpty():
             break
-        r += 1
+        level += 1
     done = done_parts[0]
-    for p in done_parts[1:]:
-        done = done.unionByName(p)
+    for part in done_parts[1:]:
+        done = done.unionByName(part)
     return done.select(F.col("_pid").alias(point_key), F.col("_best.s").alias(station_key),
                        F.col("_best.d").alias(dist_col))
 

@@ -202,3 +202,21 @@ def test_positions_and_time_weights_ignore_dst(spark):
         assert [r.x for r in out] == [0.0, 1.0, 2.0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("cell", [0.1, 0.7, 3.0])
+def test_nearest_equals_brute_force(spark, cell):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    st = [(int(i), float(a), float(b)) for i, a, b in
+          zip(range(60), rng.uniform(40, 70, 60), rng.uniform(-20, 30, 60))]
+    pt = [(int(i), float(a), float(b)) for i, a, b in
+          zip(range(300), rng.uniform(30, 80, 300), rng.uniform(-40, 50, 300))]
+    sdf = spark.createDataFrame(st, "station_id long, latitude double, longitude double")
+    pdf = spark.createDataFrame(pt, "code long, latitude double, longitude double")
+    got = {r.code: r.station_id for r in D.nearest(pdf, sdf, "code", "station_id", cell_deg=cell).collect()}
+    s = np.radians(np.array([[a, b] for _, a, b in st]))
+    for code, a, b in pt:
+        p1, l1 = math.radians(a), math.radians(b)
+        h = np.sin((s[:, 0] - p1) / 2) ** 2 + math.cos(p1) * np.cos(s[:, 0]) * np.sin((s[:, 1] - l1) / 2) ** 2
+        assert got[code] == int(np.argmin(h)), code
