@@ -85,7 +85,7 @@ def _f5(spark, d):
 
 @check("f6_impute_groups", _with(READINGS2) + _interp_sql("readings2", ["value", "value2"], _POS_EXPR))
 def _f6(spark, d):
-    out = TS.impute_groups(_readings2(spark, d), KEY, ORDER, ["value", "value2", "coco"] if False else ["value", "value2"])
+    out = TS.impute_groups(_readings2(spark, d), KEY, ORDER, ["value", "value2"])
     return rounded(out.select("id", "value", "value2"))
 
 
