@@ -80,3 +80,26 @@ def test_forecast_recovers_noise_free_ar(spark):
     assert [r.t for r in fc] == list(range(60, 70))
     assert all(abs(r.forecast - ys[r.t]) < 1e-6 for r in fc)
     assert all(r.lower <= r.forecast <= r.upper for r in fc)
+
+
+def test_hot_series_is_split_into_bounded_chunks(spark):
+    """One series holds a third of all rows: every window group stays within
+    a chunk plus its halo, and the results equal the whole-series ones."""
+    from tempora.operators.aggregate import mad
+    from tempora.operators.series import halo
+    rows = [("hot", i, float(i % 17)) for i in range(600)] + \
+        [(f"k{j}", i, float((i * j) % 11)) for j in range(40) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, t long, x double")
+    p = with_position(df, "k", ["t"], "pos")
+    h, _ = halo(p, "k", "pos", 4, 2, chunk_rows=50)
+    biggest = h.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0]
+    assert biggest <= 50 + 4 + 2
+    a = TS.sliding_corr(df, "k", ["t"], "x", "t", width=7, chunk_rows=50)
+    b = TS.sliding_corr(df, "k", ["t"], "x", "t", width=7)
+    r = lambda d: d.select("k", "t", F.round("corr", 9).alias("c"))
+    assert r(a).exceptAll(r(b)).count() == 0
+    got = {x.k: x.mad for x in mad(df, "x", by="k").collect()}
+    import statistics
+    hot = [float(i % 17) for i in range(600)]
+    med = statistics.median(hot)
+    assert got["hot"] == statistics.median([abs(v - med) for v in hot])
