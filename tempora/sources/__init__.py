@@ -1,0 +1 @@
+"""Reading landed files and stored tables, and writing them back (A)."""
