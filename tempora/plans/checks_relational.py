@@ -581,3 +581,15 @@ def _g4(spark, d):
     a = S.table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
     b = S.table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("k"))
     return G.symmetric_difference(a, b)
+
+
+@reg("e18_resample_daily_key_max", _with(READINGS) + """,
+  p AS (SELECT branche, hourutc, avg(value) AS v FROM readings GROUP BY 1, 2),
+  dd AS (SELECT branche, CAST(hourutc AS DATE) AS day, max(v) AS v FROM p GROUP BY 1, 2),
+  b AS (SELECT branche, min(day) AS lo, max(day) AS hi FROM dd GROUP BY 1),
+  s AS (SELECT branche, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM b)
+  SELECT s.branche, s.day, round(dd.v, 6) AS value
+  FROM s LEFT JOIN dd ON s.branche = dd.branche AND s.day = dd.day""")
+def _e18d(spark, d):
+    return rounded(agg.resample_daily(S.readings(spark, d), "hourutc", "value", by="branche",
+                                      agg="max", dup_agg="mean", spine="key"))

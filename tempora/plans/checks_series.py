@@ -255,3 +255,11 @@ def _f15b(spark, d):
     out = TS.dct_swc(S.gas_daily(spark, d), wind, swc_width=4, lag=2, dct_filter=False)
     return out.select("day", F.round("price", 6).alias("price"), F.round("wspd", 6).alias("wspd"),
                       F.round("corr", 4).alias("corr"))
+
+
+@check("f1_rolling_mean_w7_min3", _with(READINGS) + f"""SELECT id, round(CASE WHEN count(value) OVER w >= 3
+  THEN avg(value) OVER w END, 6) AS value_rolling FROM readings
+  WINDOW w AS ({W_KEY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def _f1b(spark, d):
+    out = TS.rolling_mean(_r(spark, d), KEY, ORDER, "value", window=7, min_periods=3)
+    return rounded(out.select("id", "value_rolling"))
