@@ -593,3 +593,15 @@ def _g4(spark, d):
 def _e18d(spark, d):
     return rounded(agg.resample_daily(S.readings(spark, d), "hourutc", "value", by="branche",
                                       agg="max", dup_agg="mean", spine="key"))
+
+
+@reg("e7_spc_limits_robust_by", _with(READINGS) + """,
+  r AS (SELECT branche, value, row_number() OVER (PARTITION BY branche ORDER BY value) AS rn,
+        count(*) OVER (PARTITION BY branche) AS n FROM readings WHERE value IS NOT NULL),
+  t AS (SELECT branche, avg(value) AS c FROM r WHERE rn > floor(n * 0.05) AND rn <= n - floor(n * 0.05) GROUP BY 1),
+  md AS (SELECT branche, median(value) AS med FROM readings GROUP BY 1),
+  ma AS (SELECT branche, median(abs(value - med)) * 1.4826 AS s FROM readings JOIN md USING (branche)
+         WHERE value IS NOT NULL GROUP BY 1)
+  SELECT branche, """ + _SPC_COLS + " FROM t JOIN ma USING (branche)")
+def _e7c(spark, d):
+    return rounded(agg.spc_limits(S.readings(spark, d), "value", k=3, robust=True, by="branche"))

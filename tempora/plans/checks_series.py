@@ -263,3 +263,10 @@ def _f15b(spark, d):
 def _f1b(spark, d):
     out = TS.rolling_mean(_r(spark, d), KEY, ORDER, "value", window=7, min_periods=3)
     return rounded(out.select("id", "value_rolling"))
+
+
+@check("f7_bfill_all", _with(READINGS) + f"""SELECT id, round(coalesce(value,
+  first_value(value IGNORE NULLS) OVER ({W_KEY} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS value
+  FROM readings""")
+def _f7b(spark, d):
+    return rounded(TS.bfill(_r(spark, d), KEY, ORDER, "value").select("id", "value"))
