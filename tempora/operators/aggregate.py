@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.session import cut_lineage
+
 # Fixed values of the reference: the aggregates offered by the summary page
 # and the scale factor of the median absolute deviation under normality.
 AGGS = {
@@ -113,8 +115,11 @@ def rank_within(df: DataFrame, by, col: str, rank_col: str = "_rank",
     keys = _cols(by)
     data = df.filter(F.col(col).isNotNull())
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (data.repartitionByRange(n, *[F.col(k) for k in keys], F.col(col))
-              .withColumn("_slice", F.spark_partition_id()))
+    # Range bounds come from sampling and differ between evaluations, so the
+    # slice assignment is checkpointed once; both branches below (and any
+    # recomputation after a lost executor) then read the same slices.
+    ranged = cut_lineage(data.repartitionByRange(n, *[F.col(k) for k in keys], F.col(col))
+                         .withColumn("_slice", F.spark_partition_id()))
     w_in = Window.partitionBy(*keys, "_slice").orderBy(F.col(col))
     local = ranged.withColumn("_local", F.row_number().over(w_in))
     counts = local.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
