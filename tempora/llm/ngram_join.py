@@ -14,9 +14,11 @@ Rows of the incidence matrix are documents, columns are word shingles.
 4. The rest accumulate overlap column by column, rarest first.  A column is
    multiplied out only for pairs whose positions still allow the overlap
    ``t / (1 + t) * (n_a + n_b)``; a true pair always passes at its first
-   common column.  Columns first multiply with one pivot per column (links
-   through a pivot put its whole group into one class), then the few pairs
-   of different components that remain are multiplied in full.
+   common column.  Columns first multiply with one pivot per column: the
+   member with the smallest share of unrepeated shingles, the likely source
+   of a group of copies, whose links join the whole group; then a random
+   one.  The pairs of different components that remain, few, are multiplied
+   in full, so no link between components is missed.
 5. Full overlaps of the candidate pairs decide exactly.  Links are joined
    into components by alternating large-star and small-star steps.
 
@@ -39,8 +41,8 @@ from tempora.llm import grams
 from tempora.session import cut_lineage
 
 NODE = 16
-SLICE_BYTES = 6 << 20
-BLOCK_ENTRIES = 3_000_000
+SLICE_BYTES = 4 << 20
+BLOCK_ENTRIES = 2_000_000
 BUCKET_CLASSES = 20_000
 # set digests a map task remembers, to send copies once per task
 SEEN_CLASSES = 200_000
@@ -262,22 +264,25 @@ def _allowed(num: int, den: int):
 
 def links(rows: DataFrame, num: int, den: int, pivot_rounds: int = 2) -> DataFrame:
     """Links that connect every component: (a, b) of class nodes."""
-    posts = rows.select("node", "n", F.posexplode("prefix").alias("i", "g"),
-                        "first_pos").select("g", "node", "n", (F.col("first_pos") + F.col("i")).alias("pos"))
+    posts = rows.select("node", "n", "first_pos", F.posexplode("prefix").alias("i", "g")) \
+        .select("g", "node", "n", (F.col("first_pos") + F.col("i")).alias("pos"),
+                (F.col("first_pos") / F.col("n")).alias("alone"))
     many = posts.groupBy("g").count().where("count > 1").select("g")
     posts = cut_lineage(posts.join(many, "g"))
     found = tested = label = None
     for step in range(pivot_rounds + 1):
         p = posts.withColumn("label", F.col("node")) if label is None else \
             posts.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        span = p.groupBy("g").agg(F.min(F.struct("label", "pos", "node", "n")).alias("pivot"),
-                                  F.max("label").alias("top")).where("pivot.label <> top")
+        first = F.col("alone") if step == 0 else F.xxhash64("node", F.lit(step))
+        span = p.groupBy("g").agg(F.min(F.struct(first, "node", "label", "pos", "n")).alias("pivot"),
+                                  F.min("label").alias("low"), F.max("label").alias("top")) \
+            .where("low <> top")
         if step < pivot_rounds:
             pairs = span.select("g", "pivot.*").alias("a").join(p.alias("b"), "g")
         else:
             rest = cut_lineage(p.join(span.select("g"), "g", "left_semi"))
-            pairs = rest.alias("a").join(rest.alias("b"), "g")
-        pairs = pairs.where((F.col("a.label") < F.col("b.label")) & _allowed(num, den)) \
+            pairs = rest.alias("a").join(rest.alias("b"), "g").where("a.node < b.node")
+        pairs = pairs.where((F.col("a.label") != F.col("b.label")) & _allowed(num, den)) \
             .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")) \
             .distinct()
         if tested is not None:
