@@ -144,3 +144,18 @@ def sliding_min(x: np.ndarray, k: int) -> np.ndarray:
         span *= 2
     rest = k - span
     return m if rest == 0 else np.minimum(m[:len(m) - rest], m[rest:])
+
+
+def sequence_digests(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each row's whole word sequence."""
+    n = len(word)
+    up, down = _powers(_WORD_BASE, n + 1)
+    a, b = first[:-1], first[1:]
+    size = (b - a).astype(np.uint64)
+    out = []
+    for salt in (0, 0x9E3779B97F4A7C15):
+        w = word if not salt else mix(word + np.uint64(salt))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(w * up[:n], out=total[1:])
+        out.append(mix((total[b] - total[a]) * down[a] + mix(size + np.uint64(salt | 1))))
+    return out[0], out[1]
