@@ -159,3 +159,12 @@ def sequence_digests(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, n
         np.cumsum(w * up[:n], out=total[1:])
         out.append(mix((total[b] - total[a]) * down[a] + mix(size + np.uint64(salt | 1))))
     return out[0], out[1]
+
+
+def span_hashes(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of words begin .. end-1 for each span."""
+    n = len(word)
+    up, down = _powers(_WORD_BASE, n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(word * up[:n], out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + mix((end - begin).astype(np.uint64)))

@@ -11,8 +11,11 @@ a document with a smaller id.  All windows are judged on the input.
    their anchor, so a run of windows is one row.  Equal windows have equal
    anchors: a window whose anchor is in one class only occurs once and needs
    no further count.
-3. Windows under anchors of several classes are counted by their own 96-bit
-   Rabin-Karp hash: the smallest id per hash, joined back.
+3. Where all runs of a repeated anchor hash alike, the middle of a shared
+   passage, they have the same windows and the run is counted as a whole.
+   Windows under other repeated anchors, at the ends of passages, are
+   counted by their own 96-bit Rabin-Karp hash.  Either way the smallest id
+   per hash is joined back.
 4. A document's repeated windows merge into maximal intervals, which are cut
    out of its words.
 
@@ -43,6 +46,11 @@ SEEN_CLASSES = 200_000
 _LOW = np.uint64(0xFFFFFFFF)
 
 
+def _tag(s1) -> int:
+    """Tells the texts of rows that share an id apart (31 bits of the text's digest)."""
+    return int(s1) & 0x7FFFFFFF
+
+
 def _slices(column):
     raw, offs = grams.text_buffers(column)
     for i, j in grams.byte_slices(offs, SLICE_BYTES):
@@ -62,7 +70,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
-    """Runs of windows with one anchor: (g, s1, at, n)."""
+    """Runs of windows with one anchor: (g, s1, r, at, n), ``r`` the hash of all the run's words."""
     k = max(1, window // 2)
 
     def scan(batches):
@@ -86,45 +94,44 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
                 at = np.arange(end[-1]) - np.repeat(end - own, own)
                 g = low[first[use][row] + at]
                 start = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (row[1:] != row[:-1])]))
+                n = np.diff(np.append(start, len(g)))
+                begin = first[use][row[start]] + at[start]
+                r = grams.span_hashes(word, begin, begin + n + window - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g[start].view(np.int64)), pa.array(s1[use][row[start]].view(np.int64)),
-                     pa.array(at[start].astype(np.int32)),
-                     pa.array(np.diff(np.append(start, len(g))).astype(np.int32))],
-                    ["g", "s1", "at", "n"])
-    return docs.select("text").mapInArrow(scan, "g long, s1 long, at int, n int")
+                     pa.array(r.view(np.int64)), pa.array(at[start].astype(np.int32)),
+                     pa.array(n.astype(np.int32))], ["g", "s1", "r", "at", "n"])
+    return docs.select("text").mapInArrow(scan, "g long, s1 long, r long, at int, n int")
 
 
 def _window_hashes(docs: DataFrame, window: int) -> DataFrame:
-    """Hashes of the windows in ``ranges``: (h, c, doc_id, at).
-
-    ``at`` holds the window's first word in its low and a tag of the row's
-    text in its high half, for ids with several rows.
-    """
+    """Hashes of the windows in ``ranges``: (h, c, doc_id, tag, at)."""
     def count(batches):
         for b in batches:
             ranges = b.column(2).to_pylist()
             for i, j, word, first in _slices(b.column(1)):
                 h = grams.windows(word, window)
-                s1, _ = grams.sequence_digests(word, first)
                 check = grams.windows(grams.mix(word), window)
-                ids, ats, spots = [], [], []
+                s1, _ = grams.sequence_digests(word, first)
+                ids, tags, ats, spots = [], [], [], []
                 for r in range(j - i):
                     a, z = int(first[r]), int(first[r + 1]) - window + 1
                     if z <= a:
                         continue
-                    parts = [np.arange(a + x["at"], min(a + x["at"] + x["n"], z)) for x in ranges[i + r]]
-                    spot = np.unique(np.concatenate(parts))
+                    spot = np.unique(np.concatenate(
+                        [np.arange(a + x["at"], min(a + x["at"] + x["n"], z)) for x in ranges[i + r]]))
                     spots.append(spot)
-                    ats.append((spot - a).astype(np.uint64) | (s1[r] << np.uint64(32)))
+                    ats.append((spot - a).astype(np.int32))
+                    tags.append(np.full(len(spot), _tag(s1[r]), np.int32))
                     ids.append(np.full(len(spot), b.column(0)[i + r].as_py(), np.int64))
                 if spots:
                     spot = np.concatenate(spots)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h[spot].view(np.int64)),
                          pa.array((check[spot] & _LOW).astype(np.uint32).view(np.int32)),
-                         pa.array(np.concatenate(ids)), pa.array(np.concatenate(ats).view(np.int64))],
-                        ["h", "c", "doc_id", "at"])
-    return docs.mapInArrow(count, "h long, c int, doc_id long, at long")
+                         pa.array(np.concatenate(ids)), pa.array(np.concatenate(tags)),
+                         pa.array(np.concatenate(ats))], ["h", "c", "doc_id", "tag", "at"])
+    return docs.mapInArrow(count, "h long, c int, doc_id long, tag int, at int")
 
 
 def _cut(docs: DataFrame, window: int) -> DataFrame:
@@ -140,13 +147,14 @@ def _cut(docs: DataFrame, window: int) -> DataFrame:
                     s1 = grams.sequence_digests(*grams.words(raw, offs))[0]
                     if whole and int(s1.view(np.int64)[0]) in whole:
                         spans = [(0, len(own))]
-                    elif gone:
-                        at = np.array(gone, np.int64).view(np.uint64)
-                        at = np.unique(at[at >> np.uint64(32) == s1[0] & _LOW] & _LOW).astype(np.int64)
-                        if len(at):
-                            start = np.flatnonzero(np.append(True, at[1:] > at[:-1] + window))
-                            stop = np.append(start[1:] - 1, len(at) - 1)
-                            spans = [(int(at[x]), int(at[y]) + window) for x, y in zip(start, stop)]
+                    else:
+                        # windows that touch or overlap merge into one interval
+                        for x in sorted((g["at"], g["at"] + g["n"] + window - 1)
+                                        for g in gone or () if g["tag"] == _tag(s1[0])):
+                            if spans and x[0] <= spans[-1][1]:
+                                spans[-1] = (spans[-1][0], max(x[1], spans[-1][1]))
+                            else:
+                                spans.append(x)
                 kept, pos = [], 0
                 for x, y in spans:
                     kept += own[pos:x]
@@ -176,19 +184,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = signed.join(low, ["n_words", "s1", "s2"]).where("doc_id > low") \
         .groupBy("doc_id").agg(F.collect_set("s1").alias("whole"))
     anchors = _anchors(some, window)
-    many = anchors.groupBy("g").agg(F.min("s1").alias("a"), F.max("s1").alias("z")).where("a <> z").select("g")
-    ranges = cut_lineage(
-        anchors.join(many, "g").join(low.select("s1", F.col("low").alias("doc_id")), "s1")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("ranges")))
+    many = anchors.groupBy("g").agg(F.min("s1").alias("a"), F.max("s1").alias("z"),
+                                    (F.min("r") == F.max("r")).alias("alike")).where("a <> z")
+    runs = cut_lineage(anchors.join(many.select("g", "alike"), "g")
+                       .join(low.select("s1", F.col("low").alias("doc_id")), "s1")
+                       .select("g", "alike", "doc_id", F.expr("cast(s1 & 2147483647 as int)").alias("tag"),
+                               "at", "n").distinct())
+    alike = runs.where("alike")
+    gone = alike.join(alike.groupBy("g").agg(F.min("doc_id").alias("low")), "g").where("doc_id > low") \
+        .select("doc_id", "tag", "at", "n")
+    ranges = runs.where("not alike").groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("ranges"))
     # one exchange of the texts, read by both joins below
     spread = some.repartition("doc_id")
     hashed = _window_hashes(spread.join(ranges, "doc_id").select("doc_id", "text", "ranges"), window)
-    first = hashed.groupBy("h", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")) \
-        .where("low < top").select("h", "c", "low")
-    gone = hashed.join(first, ["h", "c"]).where("doc_id > low") \
-        .groupBy("doc_id").agg(F.collect_list("at").alias("gone"))
+    first = hashed.groupBy("h", "c").agg(F.min("doc_id").alias("low"))
+    gone = gone.union(hashed.join(first, ["h", "c"]).where("doc_id > low")
+                      .select("doc_id", "tag", "at", F.lit(1).alias("n"))) \
+        .groupBy("doc_id").agg(F.collect_list(F.struct("tag", "at", "n")).alias("gone"))
     marked = spread.join(gone, "doc_id", "left").join(whole, "doc_id", "left") \
         .select("doc_id", "text", "gone", "whole")
     nameless = docs.where("doc_id is null").select(
-        "doc_id", "text", F.lit(None).cast("array<long>"), F.lit(None).cast("array<long>"))
+        "doc_id", "text", F.lit(None).cast("array<struct<tag:int,at:int,n:int>>"), F.lit(None).cast("array<long>"))
     return _cut(marked.union(nameless), window)
