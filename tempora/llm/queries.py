@@ -8,13 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tempora.llm import ngram_join, quality, substring
+from tempora.llm import mixing, ngram_join, quality, sharding, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shards")
+
+
+def op2_byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "size",
+        F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -30,5 +42,5 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op5_quality_rules, op8_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_byte_sharding, op3_substring_dedup, op5_quality_rules, op8_ngram_jaccard_join)}
 ORACLES: dict[str, str] = {}
