@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tempora.llm import mixing, ngram_join, quality, sharding, substring
+from tempora.llm import chat, html_extract, langid, mixing, ngram_join, quality, sharding, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,9 +38,34 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words", "base_failed", "kept")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_byte_sharding, op3_substring_dedup, op5_quality_rules, op8_ngram_jaccard_join)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.expr("coalesce(crc32(cast(doc_id as string)) % 4 = 2, false)"))
+    learned = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs, learned, extra=("held_out",))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    return chat.read_back(chat.format_conversations(rows.union(more)))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_source_mixing, op2_byte_sharding, op3_substring_dedup, op5_quality_rules, op6_html_extraction,
+    op7_warc_zstd, op8_ngram_jaccard_join, op9_language_id, op10_chat_formatting)}
 ORACLES: dict[str, str] = {}
