@@ -35,7 +35,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tempora.llm import grams
 from tempora.session import cut_lineage
@@ -318,3 +318,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return labelled.join(low, "label", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The input rows without near duplicates: the smallest id of every component stays.
+
+    Rows alike in id and text stay once; rows with a null id and rows without words all stay.
+    """
+    found = jaccard_components(docs, id_col, text_col, k, threshold)
+    lead = found.where("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         F.col(f"`{id_col}`").cast("long").alias("_id"))
+    again = F.row_number().over(W.partitionBy("_id", f"row.`{text_col}`").orderBy(F.lit(0)))
+    kept = packed.join(lead, F.col("_id") == F.col("_lead")).withColumn("_n", again).where("_n = 1")
+    return kept.select("row.*").union(packed.where("_id is null").select("row.*"))

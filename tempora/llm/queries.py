@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tempora.llm import chat, html_extract, langid, mixing, ngram_join, quality, sharding, substring, warc
+from tempora.llm import (chat, decontaminate, html_extract, langid, mixing, ngram_join, quality, sharding,
+                         substring, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "item_id", "start", "n_words", "similarity", "distance")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -66,6 +72,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_source_mixing, op2_byte_sharding, op3_substring_dedup, op5_quality_rules, op6_html_extraction,
-    op7_warc_zstd, op8_ngram_jaccard_join, op9_language_id, op10_chat_formatting)}
+    op1_source_mixing, op2_byte_sharding, op3_substring_dedup, op4_decontamination, op5_quality_rules,
+    op6_html_extraction, op7_warc_zstd, op8_ngram_jaccard_join, op9_language_id, op10_chat_formatting)}
 ORACLES: dict[str, str] = {}
