@@ -16,7 +16,7 @@ _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD6E8FEB86659FD95 | 1
 _MASK = (1 << 64) - 1
 # bytes hashed at a time, so that the 64-bit work arrays stay small
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True

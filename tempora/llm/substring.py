@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from tempora.llm import grams
 from tempora.session import cut_lineage
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # sequence digests a map task remembers, to send copies once per task
 SEEN_CLASSES = 200_000
 _LOW = np.uint64(0xFFFFFFFF)
@@ -137,7 +137,8 @@ def _window_hashes(docs: DataFrame, window: int) -> DataFrame:
 def _cut(docs: DataFrame, window: int) -> DataFrame:
     """Apply the removals: (doc_id, n_words, n_removed, intervals, kept_text)."""
     def cut(batches):
-        for b in batches:
+        # a few rows at a time: their words are Python objects
+        for b in (x.slice(i, 512) for x in batches for i in range(0, x.num_rows, 512)):
             out = {c: [] for c in ("doc_id", "n_words", "n_removed", "intervals", "kept_text")}
             for doc_id, text, gone, whole in zip(*(b.column(c).to_pylist() for c in range(4))):
                 own = (text or "").encode().split()
