@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tempora.session import cut_lineage
 
 BITS = 64
-# benchmark shingles up to this number are broadcast (16 bytes each)
-BROADCAST_SHINGLES = 1_000_000
+# benchmark shingles, and index entries, up to this number of rows are broadcast (40 bytes each at most)
+BROADCAST_ROWS = 1_000_000
 # counters of the fingerprint are 16 bits wide
 MAX_ITEM_SHINGLES = (1 << 15) - 1
 
@@ -70,10 +70,9 @@ def _bit_sums(hs: str) -> str:
 def _fingerprint(df: DataFrame) -> DataFrame:
     """Add ``fp`` for the shingles in ``win``; a bit is set where most shingles have it."""
     df = _step(df, _sums=_bit_sums("win"))
-    bit = " ^ ".join(
-        f"shiftleft(if(2 * (shiftrightunsigned(_sums[{b}], {16 * lane}) & 65535) > size(win), 1L, 0L), {b + 16 * lane})"
-        for b in range(16) for lane in range(4))
-    return _step(df, fp=bit).drop("_sums")
+    return _step(df, fp="""aggregate(sequence(0, 63), 0L, (a, i) -> a ^ if(
+        2 * (shiftrightunsigned(_sums[i % 16], cast(16 * (i div 16) as int)) & 65535) > size(win),
+        shiftleft(1L, i), 0L))""").drop("_sums")
 
 
 def _block(fp: str, i: int, width: int) -> Column:
@@ -88,9 +87,9 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, blocks: int, radius: int
     """Verified (uid, doc_id, item_id, start, n_words, similarity, distance) for items of this shingle length."""
     items = cut_lineage(_fingerprint(items.withColumn("win", F.col("hs"))).select("item_id", "len", "hs", "fp"))
     known = items.select("len", F.explode("hs").alias("h")).distinct()
-    small = known.count() <= BROADCAST_SHINGLES
-    hint = F.broadcast if small else (lambda df: df)
-    hits = _shingled(docs, k).select("uid", "n", F.posexplode("hs").alias("pos", "h")).join(hint(known), "h")
+    hint = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    n_known, n_items = known.count(), items.count()
+    hits = _shingled(docs, k).select("uid", "n", F.posexplode("hs").alias("pos", "h")).join(hint(known, n_known), "h")
     # every item-sized window that holds the common shingle
     spots = hits.select("uid", "len", F.explode(F.sequence(
         F.greatest(F.lit(0), F.least(F.col("pos") - (F.col("len") - k), F.col("n") - F.col("len"))),
@@ -104,18 +103,20 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, blocks: int, radius: int
     width = BITS // blocks
     entry = F.explode(F.array(*(F.struct(F.lit(i).alias("block"), _block("fp", i, width).alias("value"))
                                 for i in range(blocks)))).alias("e")
-    near = F.explode(F.transform(F.array(*map(F.lit, _variants(width, radius // blocks))),
-                                 lambda v: F.col("e.value").bitwiseXOR(v))).alias("value")
-    index = items.select("item_id", F.col("len"), F.col("hs").alias("item_hs"), F.col("fp").alias("item_fp"), entry) \
-        .select("item_id", "len", "item_hs", "item_fp", "e.block", near)
+    variants = _variants(width, radius // blocks)
+    near = F.explode(F.transform(F.array(*map(F.lit, variants)), lambda v: F.col("e.value").bitwiseXOR(v))).alias("value")
+    index = items.select("item_id", "len", F.col("fp").alias("item_fp"), entry) \
+        .select("item_id", "len", "item_fp", "e.block", near)
     pairs = found.select("*", entry).select("uid", "doc_id", "len", "start", "n_words", "win", "fp", "e.*") \
-        .join(hint(index), ["len", "block", "value"]) \
+        .join(hint(index, n_items * blocks * len(variants)), ["len", "block", "value"]) \
         .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))) \
         .where(F.col("distance") <= radius) \
         .where(  # a pair may meet in several blocks: the first of them reports it
             F.col("block") == F.expr("array_min(filter(array({}), x -> x is not null))".format(", ".join(
                 f"if(bit_count((shiftrightunsigned(fp ^ item_fp, {i * width})) & {(1 << width) - 1}) <= "
                 f"{radius // blocks}, {i}, null)" for i in range(blocks)))))
+    shingles = items.select("item_id", "len", F.col("hs").alias("item_hs"))
+    pairs = pairs.join(hint(shingles, items.agg(F.sum(F.size("hs"))).first()[0] or 0), ["item_id", "len"])
     both = F.expr("""aggregate(array_distinct(item_hs), 0, (a, h) -> a + least(
         size(filter(win, x -> x = h)), size(filter(item_hs, x -> x = h))))""")
     pairs = _step(pairs, overlap=both, total="size(win) + size(item_hs)")
