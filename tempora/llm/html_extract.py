@@ -44,6 +44,8 @@ CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"d
           "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
 P_BORDER = frozenset(("button", "table", "td", "th", "caption", "object", "html"))
 _NAME = re.compile(r"[a-z0-9]+")
+# a tag that the end of the page cuts short is no text
+_CUT_SHORT = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -171,7 +173,7 @@ def _measure(nodes: list[Node]) -> None:
 def extract(html: str) -> str:
     """The main text of one page."""
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(_CUT_SHORT.sub("", html))
     builder.close()
     nodes = _nodes(builder.root)
     for node in reversed(nodes):
