@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.session import cut_lineage
+
 DEFAULT_CHUNK_ROWS = 1 << 16
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
@@ -71,17 +73,24 @@ def default_bucket(df: DataFrame, col: str) -> Column:
 
 
 def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | None = None, balanced: bool = False) -> DataFrame:
     """Add the 0-based row position of each row within its series.
 
     ``order`` must be a total order within a series (add a tie-break).
     ``bucket`` is a coarse, order-compatible expression (default: see
     :func:`default_bucket`) that splits large series across tasks.
+    ``balanced`` cuts by row counts instead: rows are range-partitioned on
+    (series, order), so that a series of any density becomes slices of about
+    equal size.  That costs a sort of the keys and a checkpoint, as range
+    bounds are sampled and have to be the same for both uses below.
     """
     keys = keys_of(by)
     order = list(order)
-    b = bucket if bucket is not None else default_bucket(df, order[0])
-    d = df.withColumn("_bkt", b)
+    if balanced:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("_bkt", F.spark_partition_id()))
+    else:
+        d = df.withColumn("_bkt", bucket if bucket is not None else default_bucket(df, order[0]))
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     d = d.withColumn("_rin", F.row_number().over(w_in) - 1)
     counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_bc"))

@@ -63,6 +63,14 @@ def test_positions_are_dense(readings):
     assert chk.filter((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1) | (F.col("d") != F.col("n"))).count() == 0
 
 
+def test_balanced_positions_are_the_same(readings):
+    """Slices of equal counts number a dense series like calendar buckets do."""
+    dense = readings.withColumn(KEY, F.when(F.col(KEY) % 3 == 0, F.lit(None)).otherwise(F.lit(1)))
+    a = with_position(dense, KEY, ORDER).select("id", "_pos")
+    b = with_position(dense, KEY, ORDER, balanced=True).select("id", "_pos")
+    assert a.count() == dense.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_forecast_recovers_noise_free_ar(spark):
     # dy_t = 0.5 + 0.6 dy_{t-1} + 0.2 dy_{t-4} exactly: fit and forecast are exact
     rows, ys, dys = [], [0.0, 1.0, 2.5, 3.0, 4.2], [1.0, 1.5, 0.5, 1.2]
