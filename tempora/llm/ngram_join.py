@@ -44,6 +44,8 @@ NODE = 16
 SLICE_BYTES = 4 << 20
 BLOCK_ENTRIES = 2_000_000
 BUCKET_CLASSES = 20_000
+# candidate pairs up to this number are broadcast (32 bytes each)
+BROADCAST_PAIRS = 200_000
 # set digests a map task remembers, to send copies once per task
 SEEN_CLASSES = 200_000
 
@@ -223,8 +225,13 @@ def _verified(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFram
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     side = lambda p: rows.select(F.col("node").alias(p), F.col("n").alias(f"n{p}"),
                                  F.col("grams").alias(f"g{p}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b") \
-        .select("a", "b", "na", "nb", "ga", "gb").mapInArrow(decide, "a binary, b binary")
+    if pairs.count() <= BROADCAST_PAIRS:
+        # few pairs go to the columns, instead of all columns to the pairs
+        few = F.broadcast(pairs)
+        both = side("a").join(few, "a").join(side("b").join(few, "b"), ["a", "b"])
+    else:
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(decide, "a binary, b binary")
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
