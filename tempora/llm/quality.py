@@ -29,8 +29,9 @@ FEATURES = {
     "symbol_share": "coalesce(try_divide(n_symbols, word_chars), 0D)",
     "dup_line_share": "coalesce(try_divide(n_dup_lines, n_lines), 0D)",
     "repeat_share": "coalesce(try_divide(n_repeat_words, n_words), 0D)",
+    "echo_share": "coalesce(try_divide(n_echoes, n_words), 0D)",
 }
-STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
 
 
 def _step(df: DataFrame, **exprs: str) -> DataFrame:
@@ -47,7 +48,7 @@ def _step(df: DataFrame, **exprs: str) -> DataFrame:
 def word_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Columns ``row`` (the input row) and STATS.
 
-    ``n_repeat_words`` counts words inside 5-word windows that the text has
+    ``n_echoes`` counts words equal to the next one, ``n_repeat_words`` words inside 5-word windows that the text has
     twice or more.  Words become 64-bit hashes, window hashes combine them by
     doubling (1, 2, 4, 4 + 1), and only texts with a repeated window sort
     their windows to find the covered positions.
@@ -65,7 +66,9 @@ def word_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
                               (a, b) -> xxhash64(a, b)), null)""")
     df = _step(df, _h5="""zip_with(zip_with(slice(_h2, 1, size(_h2) - 3), slice(_h2, 3, size(_h2) - 3),
                               (a, b) -> xxhash64(a, b)), slice(_h, 5, size(_h) - 4),
-                              (a, b) -> xxhash64(a, b))""").drop("_h", "_h2")
+                              (a, b) -> xxhash64(a, b))""",
+               n_echoes="""if(n_words < 2, 0L, cast(size(filter(zip_with(slice(_h, 1, size(_h) - 1),
+                              slice(_h, 2, size(_h) - 1), (a, b) -> a = b), e -> e)) as long))""").drop("_h", "_h2")
     df = _step(df, _s5="""if(size(array_distinct(_h5)) < size(_h5),
                              sort_array(transform(_h5, (h, i) -> struct(h, i))), null)""").drop("_h5")
     df = _step(df, _p="""sort_array(transform(filter(_s5, (x, i) -> x.h <=> get(_s5, i - 1).h
@@ -92,13 +95,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, max_rows: i
     return docs.join(picked, F.col(f"`{id_col}`") == F.col("_label_id")).drop("_label_id")
 
 
-def _best(counts, p0: int, n0: int):
+def _best(counts, p0: int, n0: int, banned=frozenset()):
     """The (feature, threshold, above) of the highest FOIL gain over per-bucket counts."""
     best = (0.0, None)
     base = math.log2(p0 / (p0 + n0))
     for f, (cuts, bad, good) in counts.items():
         for above in (True, False):
-            for c in range(len(cuts)):
+            for c in () if (f, above) in banned else range(len(cuts)):
                 p = sum(bad[c + 1:]) if above else sum(bad[:c + 1])
                 n = sum(good[c + 1:]) if above else sum(good[:c + 1])
                 if p == 0 or p + n == p0 + n0:
@@ -114,12 +117,13 @@ def _holds(rule) -> str:
 
 
 def learn_rules(sample: DataFrame, quantiles: int = 24, max_rules: int = 8, max_conditions: int = 3,
-                min_precision: float = 0.9, min_covered: int = 8) -> list[list[tuple[str, float, bool]]]:
+                min_precision: float = 0.9, min_covered: int = 3) -> list[list[tuple[str, float, bool]]]:
     """Ordered rules that reject; ``sample`` has STATS and ``bad``.
 
     Thresholds lie midway between neighbouring quantiles of the good and of
     the bad rows (``quantiles`` each), so the driver receives a table of a
-    size set by the parameters alone.
+    size set by the parameters alone.  A rule that does not hold on the other
+    third is dropped, and no later rule starts with its feature and direction.
     """
     data = cut_lineage(sample.select(
         "bad", (F.pmod(F.xxhash64(*STATS), F.lit(3)) < 2).alias("grow"), *STATS))
@@ -136,6 +140,7 @@ def learn_rules(sample: DataFrame, quantiles: int = 24, max_rules: int = 8, max_
         f"size(filter(array({', '.join(f'{c!r}D' for c in cuts[f]) or '0D'}), c -> c < {FEATURES[f]}))"
     ).alias("bin")) for f in FEATURES))
     rules: list = []
+    banned: set = set()  # first conditions whose rules failed on the other third
     left = "true"
     while len(rules) < max_rules:
         rule: list = []
@@ -151,7 +156,7 @@ def learn_rules(sample: DataFrame, quantiles: int = 24, max_rules: int = 8, max_
             _, bad, good = counts["n_words"]
             if not sum(bad) or not sum(good):
                 break
-            step = _best(counts, sum(bad), sum(good))
+            step = _best(counts, sum(bad), sum(good), () if rule else banned)
             if step is None:
                 break
             rule.append(step)
@@ -166,7 +171,8 @@ def learn_rules(sample: DataFrame, quantiles: int = 24, max_rules: int = 8, max_
         k = max(range(len(worth)), key=lambda i: (round(worth[i][0], 3), worth[i][1], -i))
         _, p, n = worth[k]
         if p < min_covered or p < min_precision * (p + n):
-            break
+            banned.add((rule[0][0], rule[0][2]))
+            continue
         rules.append(rule[:k + 1])
         left += f" and not ({_holds(rules[-1])})"
     return rules
