@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -78,11 +79,23 @@ def mask(token_ends: np.ndarray, starts: list[int], ends: list[int]) -> np.ndarr
     return inside & (np.array(starts)[np.minimum(span, len(starts) - 1)] < token_ends) & (token_ends > begin)
 
 
-def encode(formatted: str, path: str = TOKENIZER) -> tuple[list[int], np.ndarray]:
+def encode(formatted: str, path: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
     """Token ids and the character where each token ends; spans lie end to end."""
     found = tokenizer(path).encode(formatted, add_special_tokens=False)
-    ends = np.array([e for _, e in found.offsets], np.int64)
-    return found.ids, np.maximum.accumulate(ends) if len(ends) else ends
+    ids = np.array(found.ids, np.int32)
+    spans = np.fromiter(itertools.chain.from_iterable(found.offsets), np.int32, 2 * len(ids))
+    return ids, np.maximum.accumulate(spans[1::2])
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts), kind))
+
+
+def _pieces(column: pa.ListArray):
+    """The values of each list, without a copy as Python objects."""
+    values, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return (values[x:y] for x, y in zip(at, at[1:]))
 
 
 def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -96,27 +109,33 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
         def pack(conv, part, turns):
             text, starts, ends = render(turns)
             ids, token_ends = encode(text, path)
+            return conv, part, len(turns), text, ids, token_ends, mask(token_ends, starts, ends)
+
+        def batch(done):
+            conv, part, n, text, ids, token_ends, under = zip(*done)
             return pa.RecordBatch.from_arrays(
-                [pa.array([conv], pa.int64()), pa.array([part], pa.int32()), pa.array([len(turns)], pa.int64()),
-                 pa.array([text], pa.string()), pa.array([ids], pa.list_(pa.int32())),
-                 pa.array([token_ends], pa.list_(pa.int32())),
-                 pa.array([mask(token_ends, starts, ends)], pa.list_(pa.bool_()))],
+                [pa.array(conv, pa.int64()), pa.array(part, pa.int32()), pa.array(n, pa.int64()),
+                 pa.array(text, pa.string()), _lists(ids, pa.int32()), _lists(token_ends, pa.int32()),
+                 _lists(under, pa.bool_())],
                 ["conv_id", "part", "n_turns", "formatted", "input_ids", "token_ends", "loss_mask"])
-        turns, size, part, now = [], 0, 0, (None,)
+        turns, size, part, now, done, held = [], 0, 0, (None,), [], 0
         for b in batches:
-            done = []
             for conv, role, text in zip(*(c.to_pylist() for c in b.columns)):
                 if (conv,) != now or size >= part_chars:
                     if turns:
                         done.append(pack(now[0], part, turns))
+                        held += size
                     part = part + 1 if (conv,) == now and turns else 0
                     turns, size, now = [], 0, (conv,)
+                    if held >= part_chars:
+                        yield batch(done)
+                        done, held = [], 0
                 turns.append((role, text))
                 size += len(role) + len(text)
-            if done:
-                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
         if turns:
-            yield pack(now[0], part, turns)
+            done.append(pack(now[0], part, turns))
+        if done:
+            yield batch(done)
     return rows.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn"),
                        F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")) \
@@ -133,8 +152,8 @@ def read_back(parts: DataFrame) -> DataFrame:
         close = lambda s, conv: (conv, s[0], s[1].hexdigest(), s[2], s[3].hexdigest(), s[4])
         for b in batches:
             done = []
-            for conv, text, ends, under in zip(*(b.column(c).to_pylist() for c in (
-                    "conv_id", "formatted", "token_ends", "loss_mask"))):
+            for conv, text, ends, under in zip(b.column("conv_id").to_pylist(), b.column("formatted").to_pylist(),
+                                               _pieces(b.column("token_ends")), _pieces(b.column("loss_mask"))):
                 if state is None or (conv,) != now:
                     if state is not None:
                         done.append(close(state, now[0]))
@@ -148,8 +167,10 @@ def read_back(parts: DataFrame) -> DataFrame:
                     state[1].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
                 if at != len(text):
                     raise ValueError(f"conversation {conv}: cut short at {at}")
-                begin = [0, *ends[:-1]]
-                loss = unescape("".join(text[x:y] for x, y, u in zip(begin, ends, under) if u))
+                # runs of masked tokens: the tokens where the mask turns on and off
+                turn = np.flatnonzero(np.diff(under.astype(np.int8), prepend=0, append=0))
+                border = np.concatenate([[0], ends])[turn].tolist()
+                loss = unescape("".join(text[x:y] for x, y in zip(border[::2], border[1::2])))
                 state[2] += len(loss)
                 state[3].update(loss.encode())
                 state[4] += len(text)
