@@ -17,8 +17,9 @@ the next one's size; ``score`` maps it to 0.5 .. 1.  Below ``min_margin``
 the operator rejects: ``und``, score kept.
 
 Defined results: null text and text without a letter are ``und`` with score
-0; ties go to the first language in code point order; one learned language
-always wins with score 1; without training rows all is ``und``.
+0; ties go to the language with more training rows, then by code point order;
+one learned language always wins with score 1; without training rows all is
+``und``.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def _normal(text: str) -> bytes:
 
 def learn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_rows: int = 100, row_chars: int = 200) -> dict[str, bytes]:
-    """A raw-content dictionary per language; ``rows`` are the training rows."""
+    """A raw-content dictionary per language, the most frequent one first; ``rows`` are the training rows."""
     rows = rows.where(f"`{lang_col}` is not null and `{text_col}` is not null") \
         .select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
                 F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("key")).where("text rlike '\\\\p{L}'")
@@ -57,7 +58,8 @@ def learn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     out = {}
     for r in part.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("t")).collect():
         out[r["lang"]] = _normal("\n".join(x["text"] for x in r["t"]))[:DICT_BYTES]
-    return dict(sorted(out.items()))
+    often = {r["lang"]: r["count"] for r in counts}
+    return {lang: out[lang] for lang in sorted(out, key=lambda x: (-often[x], x))}
 
 
 def _segments(data: bytes) -> list[bytes]:
@@ -95,7 +97,9 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
                     margins.append(0.0)
                     continue
                 parts = _segments(_normal(text))
-                sizes = sorted((sum(len(pack(p)) for p in parts), lang) for pack, lang in zip(packers, langs))
+                # a stable sort: ties keep the order of the dictionaries
+                sizes = sorted(((sum(len(pack(p)) for p in parts), lang) for pack, lang in zip(packers, langs)),
+                               key=lambda x: x[0])
                 margin = 1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0]
                 preds.append(sizes[0][1] if margin >= min_margin else "und")
                 scores.append(min(1.0, 0.5 + 5 * margin))

@@ -301,6 +301,10 @@ def test_language(spark, docs, rows, empty):
     assert all(r["held"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
     held = [r for r in got if r["held"] and r["lang"]]
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held)
+    even = spark.createDataFrame([(1, "b", "xx"), (2, "a", "xx"), (3, "b", "xx")], "doc_id long, lang string, text string")
+    assert list(langid.learn(even)) == ["b", "a"]
+    tie = langid.predict(even, {"b": b"xx", "a": b"xx"}).first()
+    assert tie["lang_pred"] == "b" and tie["score"] == 0.5
     odd = langid.predict(docs, learned).collect()
     assert len(odd) == len(rows) and all(0 <= r["score"] <= 1 for r in odd)
     none = {r[0] for r in rows if r[0] is not None and not re.search(r"[^\W\d_]", r[1] or "")}
