@@ -33,10 +33,12 @@ CUT_NAMES = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments disqus respond replies "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share "
     "sharing social related recommended widget toolbar pagination pager search".split())
+TEXT_NAMES = frozenset("article post entry story".split())
 MAIN_TAGS = frozenset(("article", "main"))
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td "
                    "tfoot th thead tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td dd li".split())
 # a start tag closes the open element of these names, up to a border
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -46,6 +48,8 @@ P_BORDER = frozenset(("button", "table", "td", "th", "caption", "object", "html"
 _NAME = re.compile(r"[a-z0-9]+")
 # a tag that the end of the page cuts short is no text
 _CUT_SHORT = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
+# "has-sidebar" says what stands beside an element, not what it is
+_BESIDE = re.compile(r"\b(?:no|has|with|without)[-_]+[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -85,12 +89,15 @@ class TreeBuilder(HTMLParser):
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         a = {k: v or "" for k, v in attrs}
-        names = set(_NAME.findall(_CAMEL.sub(" ", f"{a.get('class', '')} {a.get('id', '')}").lower()))
+        named = _CAMEL.sub("-", f"{a.get('class', '')} {a.get('id', '')}").lower()
+        names = set(_NAME.findall(_BESIDE.sub(" ", named)))
         hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or \
             "display:none" in a.get("style", "").replace(" ", "").lower()
-        inside = tag == "header" and self._inside_main()
-        soft = not inside and (tag == "header" or bool(names & CUT_NAMES)
-                               or a.get("role", "").lower() in CUT_ROLES)
+        if tag == "header":
+            names.add("header")
+        if "header" in names and (names & TEXT_NAMES or self._inside_main()):
+            names.discard("header")  # the article's own header, with its title
+        soft = bool(names & CUT_NAMES) or a.get("role", "").lower() in CUT_ROLES
         node = Node(tag, self.at, tag in CUT_TAGS or hidden, soft and tag not in ("html", "body", *MAIN_TAGS))
         self.at.kids.append(node)
         self.at = node
@@ -157,6 +164,12 @@ def _blocks(root: Node) -> list[str]:
     return out
 
 
+def _is_heading(node: Node) -> bool:
+    """A heading, or an element around nothing but headings."""
+    return node.tag in HEADINGS or all(
+        not k.strip() if isinstance(k, str) else k.cut or k.tag in HEADINGS for k in node.kids)
+
+
 def _measure(nodes: list[Node]) -> None:
     """Characters and link characters of every element that is not cut, from the leaves up."""
     for node in reversed(nodes):
@@ -185,7 +198,7 @@ def extract(html: str) -> str:
         if node.cut or not node.chars:
             continue
         loose = node.tag not in PARAGRAPHS and any(isinstance(k, str) and k.strip() for k in node.kids)
-        if node.tag not in PARAGRAPHS and not (loose and node.tag in BLOCKS and not re.match("h[1-6]$", node.tag)):
+        if node.tag not in PARAGRAPHS and not (loose and node.tag in BLOCKS and node.tag not in HEADINGS):
             continue
         own = "".join(k if isinstance(k, str) else " " for k in node.kids) if loose else " ".join(_blocks(node))
         size = len(own.strip())
@@ -214,7 +227,7 @@ def extract(html: str) -> str:
             out += _blocks(k)
         elif isinstance(k, Node) and not k.cut and k.chars and best.tag not in MAIN_TAGS:
             few_links = k.links / k.chars < 0.25
-            reads = k.tag == "p" and k.chars > 80 or re.match("h[1-6]$", k.tag)
+            reads = k.tag == "p" and k.chars > 80 or _is_heading(k)
             if few_links and (k.score >= least or reads):
                 out += _blocks(k)
     return "\n".join(out)

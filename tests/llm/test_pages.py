@@ -33,6 +33,10 @@ ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><scrip
      "a\nb\nc\nx y\nloose € &unknown; text"),
     ("<article><section><p>One, two.</p></section><section><p>Three.</p></section>"
      "<section class=related><p>See, also, this</p></section></article>", "One, two.\nThree."),
+    ("<article><div class=entry-header><h1>Title</h1></div><p>Be, it.</p><div class=share-box>Share</div></article>",
+     "Title\nBe, it."),
+    ("<div class='wrap with-sidebar'><div class=post-header><h1>Title</h1></div><div class=text><p>Long text, with commas, "
+     "here and there.</p><p>More text, and more.</p></div></div>", "Title\nLong text, with commas, here and there.\nMore text, and more."),
     ("<article><p hidden>no</p><p>yes<!-- ad --> it is</p><noscript>no</noscript></article>", "yes it is"),
 ])
 def test_extract(body, want):
