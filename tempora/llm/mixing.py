@@ -3,9 +3,11 @@
 A block is one document, drawn whole.  Every source has an exact word target,
 and its blocks a random order per pass (by hash): pass 1 takes a prefix, and
 pass 2 repeats a fresh prefix when the target exceeds the source.  A prefix
-stops before the block that would pass the target; then the largest block
-that still fits what is missing is added, ``FILLS`` times, so that a source
-ends close to its target.
+stops before the block that would pass the target.  Then blocks larger than
+the words still missing are dropped, the longest fitting prefix of the others
+is taken, and so on; it stops when no block left fits what is missing, so a
+source misses its target by less than its smallest block left out.  Every
+round takes a block and drops the one that stopped the round before.
 
 The numbers of blocks so drawn are then split over the output shards.  A
 binary tree halves the shards; at each node the left half's share of every
@@ -27,7 +29,6 @@ gives an empty mix; other columns pass through, whatever their names.
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
@@ -38,8 +39,6 @@ from tempora.session import cut_lineage
 WORDS = r"[^\x20\x09-\x0D]+"
 MAX_SOURCES = 100_000
 BUCKET_ROWS = 20_000
-# blocks that fill up the words a prefix leaves open
-FILLS = 3
 
 
 def targets(sizes: dict, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> dict:
@@ -89,23 +88,47 @@ def split_tree(quotas: list[int], shards: int, seed: int = 0) -> np.ndarray:
     return out
 
 
-def _ranked(df: DataFrame, n_rows: int, seed: int) -> DataFrame:
-    """Add ``pos`` and ``before``: rank and words before, in the source's random order of this pass."""
+def _ranked(df: DataFrame, n_rows: int) -> DataFrame:
+    """Add ``pos`` and ``before``: rank and words before, per source and pass in the random order of ``key``."""
     buckets = max(1, math.ceil(n_rows / BUCKET_ROWS))
-    df = df.withColumn("key", F.xxhash64("uid", F.lit(seed))) \
-        .withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
-    sums = df.groupBy("sid", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    over = W.partitionBy("sid").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("sid", "bucket", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("n0"),
+    df = df.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
+    sums = df.groupBy("sid", "copy", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    over = W.partitionBy("sid", "copy").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select("sid", "copy", "bucket", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("n0"),
                        F.coalesce(F.sum("words").over(over), F.lit(0)).alias("w0"))
-    inner = W.partitionBy("sid", "bucket").orderBy("key", "uid", "size")
+    inner = W.partitionBy("sid", "copy", "bucket").orderBy("key", "uid", "size")
     return df.select("*", (F.row_number().over(inner) - 1).alias("i"),
                      (F.sum("size").over(inner.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")).alias("w")) \
-        .join(sums, ["sid", "bucket"]) \
-        .select("uid", "sid", "size", "key", (F.col("n0") + F.col("i")).alias("pos"),
+        .join(sums, ["sid", "copy", "bucket"]) \
+        .select("uid", "sid", "copy", "size", "key", (F.col("n0") + F.col("i")).alias("pos"),
                 (F.col("w0") + F.col("w")).alias("before"))
 
 
+def _chosen(blocks: DataFrame, room: dict, n_rows: int) -> DataFrame:
+    """The blocks drawn: ``room`` holds the words that each (sid, copy) may take."""
+    spark, pool, picks = blocks.sparkSession, blocks, None
+    while room:
+        # a row per source and pass, 2 * MAX_SOURCES at most
+        now = F.broadcast(spark.createDataFrame([(*k, float(v)) for k, v in room.items()],
+                                                "sid int, copy int, room double"))
+        # the first round takes the whole order, later ones the blocks that fit by themselves
+        fits = pool if picks is None else pool.join(now, ["sid", "copy"]).where("size <= room").drop("room")
+        ranked = cut_lineage(_ranked(fits, n_rows).join(now, ["sid", "copy"])
+                             .withColumn("head", F.expr("before + size <= room")))
+        head = ranked.where("head").select("uid", "sid", "copy", "size", "key")
+        picks = head if picks is None else picks.union(head)
+        pool = ranked.where("not head and size > 0").select("uid", "sid", "copy", "size", "key")
+        state = ranked.groupBy("sid", "copy").agg(
+            F.max(F.expr("if(head, before + size, 0)")).alias("took"),
+            F.min(F.expr("if(not head and size > 0, size, null)")).alias("least"),
+            F.count_if(F.expr("not head and size > 0")).alias("n")).collect()
+        left = {(r["sid"], r["copy"]): room[r["sid"], r["copy"]] - r["took"] for r in state}
+        open_ = [r for r in state if r["least"] is not None and r["least"] <= left[r["sid"], r["copy"]]]
+        room = {(r["sid"], r["copy"]): left[r["sid"], r["copy"]] for r in open_}
+        n_rows = sum(r["n"] for r in open_)
+    return picks
+
+
 def _uid(id_col: str, text_col: str, source_col: str):
     text, source = F.col(f"`{text_col}`").cast("string"), F.col(f"`{source_col}`").cast("string")
     return F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.crc32(F.coalesce(text, F.lit(""))),
@@ -138,32 +161,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                        F.col("source").eqNullSafe(F.col("_s"))).select("uid", "doc_id", "sid", "size")
     blocks = cut_lineage(sized.groupBy("uid", "sid").agg(F.sum("size").alias("size")))
     n_rows = sum(r["n"] for r in own)
-    chosen = []
-    for copy in (1, 2):
-        # words this pass may take: what the passes before it leave of the target
-        room = F.greatest(F.lit(0.0), F.col("target") - F.lit(copy - 1) * F.col("source_size"))
-        ranked = cut_lineage(_ranked(blocks, n_rows, seed + copy)
-                             .join(F.broadcast(sources.select("sid", room.alias("room"))), "sid"))
-        head = ranked.where("before + size <= room")
-        state = head.groupBy("sid").agg(F.max(F.col("before") + F.col("size")).alias("reached"),
-                                        (F.max("pos") + 1).alias("next"))
-        state = sources.join(state, "sid", "left").select(
-            "sid", (room - F.coalesce("reached", F.lit(0))).alias("gap"),
-            F.coalesce("next", F.lit(0)).alias("next"),
-            F.lit(None).cast("struct<size:long,uid:long>").alias("last"))
-        rest = ranked.where("before + size > room and size > 0").select(
-            "sid", F.struct("size", "uid").alias("f"))
-        picks = [head.select("uid", "sid", "size", "pos")]
-        for _ in range(FILLS):
-            # the largest block that still fits stands right behind the others
-            best = rest.join(F.broadcast(state), "sid").where("f.size <= gap and (last is null or f < last)") \
-                .groupBy("sid").agg(F.max("f").alias("f"))
-            state = cut_lineage(state.join(best, "sid").select(
-                "sid", (F.col("gap") - F.col("f.size")).alias("gap"), (F.col("next") + 1).alias("next"),
-                F.col("f").alias("last")))
-            picks.append(state.select("last.uid", "sid", "last.size", (F.col("next") - 1).alias("pos")))
-        chosen.append(functools.reduce(DataFrame.union, picks).withColumn("copy", F.lit(copy)))
-    drawn = cut_lineage(chosen[0].union(chosen[1]))
+    passes = blocks.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")) \
+        .withColumn("key", F.xxhash64("uid", F.lit(seed) + F.col("copy")))
+    # words a pass may take: what the passes before it leave of the target
+    room = {(i, copy): max(0.0, target - (copy - 1) * size) for i, _, size, target in rows for copy in (1, 2)}
+    if not room:
+        return sized, sources, passes.select("uid", "sid", "size", "copy", F.lit(0).alias("shard"),
+                                             F.col("key").alias("shuffle"))
+    # blocks of later rounds stand among the others again, so that no shard gets them all
+    drawn = cut_lineage(_ranked(_chosen(passes, room, n_rows), n_rows))
     # a source's blocks in order: pass 1, then pass 2
     counts = {r["sid"]: (r["a"], r["n"]) for r in drawn.groupBy("sid").agg(
         F.count_if(F.col("copy") == 1).alias("a"), F.count("*").alias("n")).collect()}

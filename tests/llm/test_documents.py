@@ -95,6 +95,22 @@ def test_mix(spark, rows, docs, empty):
 
 # ---- 2 sharding
 
+@pytest.mark.parametrize("share", [0.5, 1.5])
+def test_mix_reaches_targets(spark, share):
+    # one very long block among short ones: whatever the order, no block left out fits the words missing
+    sizes = [300] * 500 + [150_000]
+    df = spark.createDataFrame([(i, "w " * n, s, n) for s in "ab" for i, n in enumerate(sizes)],
+                               "doc_id long, text string, source string, n long").repartition(4).cache()
+    for seed in range(4):
+        got = mixing.taken(df, weights=(1,), share=share, seed=seed).collect()
+        for target, source in {(r["target"], r["source_size"]) for r in got}:
+            took = sum(r["size"] * r["copies"] for r in got) / 2
+            copies = min(r["copies"] for r in got)
+            assert copies == int(share) and source == sum(sizes)
+            least = min((r["size"] for r in got if r["copies"] == copies), default=0)
+            assert 0 <= target - took < least, (seed, target, took)
+
+
 def test_sharding(spark, rows, docs, empty):
     got = sharding.shard(docs, shards=7).select("row.doc_id", "row.text", "size", "shard", "slot").collect()
     assert len(got) == len(rows)
