@@ -2,7 +2,11 @@
 
 A page becomes a small tree.  Elements that are never main text (menus,
 headers, footers, sidebars, adverts, notices, forms, comments, scripts) are
-cut by tag, role or class name.  Each paragraph gives points for itself, its
+cut by tag, role or class name.  Words with other uses (search, related,
+notice, widget, ...) cut by themselves only elements that do not read as
+text; ids count as a whole inside an article or main element, and never on
+headings; a form stays where it holds the main element or most of the page's
+text.  Each paragraph gives points for itself, its
 commas and its length to its parent, half to the parent's parent and less to
 further ancestors; a container's sum is discounted by its share of link
 text.  The best container, widened to the article or main element around it,
@@ -25,14 +29,17 @@ from pyspark.sql import DataFrame, functions as F
 
 # fixed values: element and class names with a role in the page
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CUT_TAGS = frozenset("head script style noscript template nav footer aside form button select textarea iframe "
+CUT_TAGS = frozenset("head script style noscript template nav footer aside button select textarea iframe "
                      "object svg canvas dialog menu audio video".split())
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
+CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
 CUT_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar "
     "menu nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments disqus respond replies "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share "
     "sharing social related recommended widget toolbar pagination pager search".split())
+# of these, words that stand in names and headings of text as well
+TWO_USES = frozenset("header notice notices alert search share sharing social related recommended widget banner promo "
+                     "promotion overlay modal popup menu toolbar pager signup login".split())
 TEXT_NAMES = frozenset("article post entry story".split())
 MAIN_TAGS = frozenset(("article", "main"))
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure "
@@ -40,6 +47,9 @@ BLOCKS = frozenset("address article aside blockquote body center dd details div
                    "tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td dd li".split())
+# an element with few links reads as text from so many characters, or with a paragraph or heading in a widget's frame
+FEW_LINKS = 0.25
+LONG_TEXT = 140
 # a start tag closes the open element of these names, up to a border
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -54,12 +64,15 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "cut", "soft", "score", "chars", "links", "holds_main")
+    __slots__ = ("tag", "parent", "kids", "cut", "soft", "weak", "form", "framed", "in_main", "score", "chars", "links",
+                 "holds_main", "holds_text")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False, soft: bool = False):
+    def __init__(self, tag: str, parent: Node | None, cut: bool = False):
         self.tag, self.parent, self.kids = tag, parent, []
-        self.cut, self.soft = cut, soft  # soft: cut by name, unless the main element is inside
-        self.score, self.chars, self.links, self.holds_main = 0.0, 0, 0, False
+        # soft: cut by name, unless the main element is inside; weak: the same, unless it reads as text
+        self.cut, self.soft, self.weak, self.framed, self.form = cut, False, False, False, False
+        self.in_main = parent is not None and (parent.in_main or parent.tag in MAIN_TAGS)
+        self.score, self.chars, self.links, self.holds_main, self.holds_text = 0.0, 0, 0, False, False
 
 
 class TreeBuilder(HTMLParser):
@@ -89,16 +102,11 @@ class TreeBuilder(HTMLParser):
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         a = {k: v or "" for k, v in attrs}
-        named = _CAMEL.sub("-", f"{a.get('class', '')} {a.get('id', '')}").lower()
-        names = set(_NAME.findall(_BESIDE.sub(" ", named)))
         hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or \
             "display:none" in a.get("style", "").replace(" ", "").lower()
-        if tag == "header":
-            names.add("header")
-        if "header" in names and (names & TEXT_NAMES or self._inside_main()):
-            names.discard("header")  # the article's own header, with its title
-        soft = bool(names & CUT_NAMES) or a.get("role", "").lower() in CUT_ROLES
-        node = Node(tag, self.at, tag in CUT_TAGS or hidden, soft and tag not in ("html", "body", *MAIN_TAGS))
+        node = Node(tag, self.at, tag in CUT_TAGS or hidden)
+        if tag not in ("html", "body", *MAIN_TAGS):
+            self._judge(node, a.get("class", ""), a.get("id", ""), a.get("role", "").lower())
         self.at.kids.append(node)
         self.at = node
 
@@ -119,13 +127,35 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         self.at.kids.append(data)
 
-    def _inside_main(self) -> bool:
-        node = self.at
-        while node is not None:
-            if node.tag in MAIN_TAGS:
-                return True
-            node = node.parent
-        return False
+    @staticmethod
+    def _judge(node: Node, classes: str, ident: str, role: str) -> None:
+        """How the names of an element cut it."""
+        node.form = node.tag == "form" or role == "form"
+        node.soft = role in CUT_ROLES
+        plain = _CAMEL.sub("-", classes).lower()
+        names = set(_NAME.findall(_BESIDE.sub(" ", plain)))
+        whole = set(plain.split())
+        ident = _CAMEL.sub("-", ident).lower()
+        slug = set(_NAME.findall(_BESIDE.sub(" ", ident))) if node.tag not in HEADINGS else set()
+        if node.tag == "header":
+            names.add("header")
+            whole.add("header")
+        if "header" in names | slug and ((names | slug) & TEXT_NAMES or node.in_main):
+            # the article's own header, with its title
+            names.discard("header")
+            whole.discard("header")
+            slug.discard("header")
+        if node.in_main:
+            slug &= {ident}
+        names &= CUT_NAMES
+        slug &= CUT_NAMES
+        node.framed = names == {"widget"} and "widget" not in whole and not slug
+        sure = names - TWO_USES or slug - TWO_USES or names & whole or \
+            not node.in_main and (names - {"widget"} or slug & {ident})
+        if sure:
+            node.soft = True
+        elif names or slug:
+            node.weak = True
 
 
 def _nodes(root: Node) -> list[Node]:
@@ -170,9 +200,18 @@ def _is_heading(node: Node) -> bool:
         not k.strip() if isinstance(k, str) else k.cut or k.tag in HEADINGS for k in node.kids)
 
 
+def _reads(node: Node) -> bool:
+    """Whether an element with a name of two uses is text: long, or framed paragraphs, and with few links."""
+    if node.tag == "a" or not node.chars or node.links >= FEW_LINKS * node.chars:
+        return False
+    return node.chars >= LONG_TEXT or node.framed and node.holds_text
+
+
 def _measure(nodes: list[Node]) -> None:
-    """Characters and link characters of every element that is not cut, from the leaves up."""
+    """Characters and link characters of every element that is not cut, from the leaves up; weak names cut here."""
     for node in reversed(nodes):
+        node.chars = node.links = 0
+        node.holds_text = False
         if node.cut:
             continue
         for k in node.kids:
@@ -181,6 +220,29 @@ def _measure(nodes: list[Node]) -> None:
             elif not k.cut:
                 node.chars += k.chars
                 node.links += k.chars if k.tag == "a" else k.links
+                node.holds_text = node.holds_text or k.holds_text
+        if node.chars and (node.tag in PARAGRAPHS or node.tag in HEADINGS):
+            node.holds_text = True
+        if node.weak and not node.holds_main and not _reads(node):
+            node.cut = True
+
+
+def _cut(nodes: list[Node]) -> None:
+    """Decide what is cut, and measure the rest."""
+    for node in reversed(nodes):
+        node.holds_main = node.tag in MAIN_TAGS or any(isinstance(k, Node) and k.holds_main for k in node.kids)
+    for node in nodes:
+        node.cut = node.cut or (node.soft and not node.holds_main) or (node.parent is not None and node.parent.cut)
+    _measure(nodes)
+    page = nodes[0].chars - nodes[0].links
+    for node in nodes:
+        if node.form and not node.holds_main and 2 * (node.chars - node.links) <= page:
+            node.cut = True
+        node.cut = node.cut or (node.parent is not None and node.parent.cut)
+    if any(node.form and node.cut for node in nodes):
+        _measure(nodes)
+        for node in nodes:
+            node.cut = node.cut or (node.parent is not None and node.parent.cut)
 
 
 def extract(html: str) -> str:
@@ -189,11 +251,7 @@ def extract(html: str) -> str:
     builder.feed(_CUT_SHORT.sub("", html))
     builder.close()
     nodes = _nodes(builder.root)
-    for node in reversed(nodes):
-        node.holds_main = node.tag in MAIN_TAGS or any(isinstance(k, Node) and k.holds_main for k in node.kids)
-    for node in nodes:
-        node.cut = node.cut or (node.soft and not node.holds_main) or (node.parent is not None and node.parent.cut)
-    _measure(nodes)
+    _cut(nodes)
     for node in nodes:
         if node.cut or not node.chars:
             continue

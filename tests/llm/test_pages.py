@@ -43,6 +43,30 @@ def test_extract(body, want):
     assert html_extract.extract(ARTICLE % body) == want
 
 
+LONG = "Words of the text, with commas, that go on and on for a while so that the element reads as running text, not as a label."
+
+
+@pytest.mark.parametrize("page, want", [
+    # ids of sections and headings are slugs of their titles
+    ("<article><p>A, b.</p><section id=related-work><h2 id=search-results>Search</h2><p>C, d.</p></section></article>",
+     "A, b.\nSearch\nC, d."),
+    ("<article><div class='elementor-element elementor-widget-text-editor'><p>A, b.</p></div></article>", "A, b."),
+    (f"<article><p>A, b.</p><div class=notice-box><p>{LONG}</p><p>{LONG}</p></div></article>", f"A, b.\n{LONG}\n{LONG}"),
+    (f"<div class=elementor-widget-text-editor><h2 id=related-work>Related</h2><p>{LONG}</p></div>", f"Related\n{LONG}"),
+    # names of one use, whole names and lists of links still cut
+    ("<main><p>A, b.</p><div class=comment-list><p>No.</p></div><div id=comments>No.</div><div class=related>No.</div>"
+     "<div class=related-posts><a href=x>No, no, and no</a></div></main>", "A, b."),
+    # a form around the page
+    (f"<body><form id=aspnetForm><div class=nav>No</div><div><p>{LONG}</p><p>{LONG}</p></div></form></body>",
+     f"{LONG}\n{LONG}"),
+    ("<body><form><article><p>A, b.</p><form><p>Mail</p></form></article></form></body>", "A, b."),
+    (f"<article><form><p>{LONG}</p></form></article>", LONG),
+    (f"<article><p>{LONG}</p><form><p>Mail</p></form></article>", LONG),
+])
+def test_extract_keeps_text_under_names(page, want):
+    assert html_extract.extract(page) == want
+
+
 def test_extract_odd(spark):
     assert html_extract.extract("") == "" and html_extract.extract("<p") == ""
     assert html_extract.extract("just text") == "just text"
