@@ -6,12 +6,13 @@ cut by tag, role or class name.  Words with other uses (search, related,
 notice, widget, ...) cut by themselves only elements that do not read as
 text; ids count as a whole inside an article or main element, and never on
 headings; a form stays where it holds the main element or most of the page's
-text.  Each paragraph gives points for itself, its
-commas and its length to its parent, half to the parent's parent and less to
-further ancestors; a container's sum is discounted by its share of link
-text.  The best container, widened to the article or main element around it,
-is kept together with siblings that score well or read like paragraphs.
-Blocks inside are joined by a line break.
+text.  Each paragraph gives points for itself, its commas and its length to
+its parent, half to the parent's parent and less to further ancestors; a
+container's sum is discounted by its share of link text.  The best container
+is widened to the article or main element around it; without one, to the
+elements around it, up to the first that has many links.  Of these all is kept
+but lists of links beside the container.  Blocks inside are joined by a line
+break.
 
 Defined results: null or empty html gives an empty text; a page without
 paragraphs falls back to all text that is not cut; broken markup is closed
@@ -194,12 +195,6 @@ def _blocks(root: Node) -> list[str]:
     return out
 
 
-def _is_heading(node: Node) -> bool:
-    """A heading, or an element around nothing but headings."""
-    return node.tag in HEADINGS or all(
-        not k.strip() if isinstance(k, str) else k.cut or k.tag in HEADINGS for k in node.kids)
-
-
 def _reads(node: Node) -> bool:
     """Whether an element with a name of two uses is text: long, or framed paragraphs, and with few links."""
     if node.tag == "a" or not node.chars or node.links >= FEW_LINKS * node.chars:
@@ -276,19 +271,44 @@ def extract(html: str) -> str:
         if node.tag in MAIN_TAGS:
             best = node  # the widest article or main element around the best container
         node = node.parent
-    if best.parent is None:
+    if best.parent is None or best.tag in MAIN_TAGS:
         return "\n".join(_blocks(best))
-    out: list[str] = []
     least = max(5.0, 0.2 * best.score)
-    for k in best.parent.kids:
-        if k is best:
-            out += _blocks(k)
-        elif isinstance(k, Node) and not k.cut and k.chars and best.tag not in MAIN_TAGS:
-            few_links = k.links / k.chars < 0.25
-            reads = k.tag == "p" and k.chars > 80 or _is_heading(k)
-            if few_links and (k.score >= least or reads):
-                out += _blocks(k)
-    return "\n".join(out)
+    top, few = best, True
+    while few and top.parent is not None:
+        few = top.parent.links < FEW_LINKS * top.parent.chars
+        _drop_links(top, least)
+        top = top.parent
+    return "\n".join(_blocks(top))
+
+
+def _drop_links(node: Node, least: float) -> None:
+    """Drop lists of links beside a node: low-scoring blocks and runs of text and inline elements with many links."""
+    kids: list = []
+    run: list = []
+
+    def close():
+        chars = sum(len(k.strip()) if isinstance(k, str) else k.chars for k in run)
+        links = sum(k.chars if k.tag == "a" else k.links for k in run if isinstance(k, Node))
+        if links < FEW_LINKS * chars or sum(k.score for k in run if isinstance(k, Node)) >= least:
+            kids.extend(run)
+        elif run:
+            kids.append(Node("hr", node.parent))  # what stands before and after stays apart
+        run.clear()
+    for k in node.parent.kids:
+        if k is node:
+            close()
+            kids.append(k)
+        elif isinstance(k, Node) and k.cut:
+            continue
+        elif isinstance(k, Node) and k.tag in BLOCKS:
+            close()
+            run.append(k)
+            close()
+        else:
+            run.append(k)
+    close()
+    node.parent.kids = kids
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

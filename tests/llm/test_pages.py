@@ -67,6 +67,22 @@ def test_extract_keeps_text_under_names(page, want):
     assert html_extract.extract(page) == want
 
 
+def test_extract_keeps_all_parts():
+    part = [f"Paragraph {i}, with commas, " + "word " * 40 + "end." for i in range(20)]
+    last = "The closing paragraph, " + "word " * 50 + "end."
+    body = "<div class=part>" + "".join(f"<p>{p}</p>" for p in part) + "</div>"
+    tail = f"<div class=part><p>{last}</p></div><p>Short.</p><blockquote>Quote.</blockquote><pre>x = 1</pre>loose text"
+    links = "<div class=x><a href=1>One</a> <a href=2>Two</a></div><a href=3>Three</a> | <a href=4>Four</a>"
+    want = "\n".join(["Title", *part, last, "Short.", "Quote.", "x = 1", "loose text"])
+    page = f"<body>{links}<div><h1>Title</h1></div><div class=wrap>{body}{tail}</div>{links}</body>"
+    assert html_extract.extract(page) == want
+    # where the page around has many links, they go
+    many = "<ul>" + "<li><a href=x>One of very many links</a>" * 500 + "</ul>"
+    assert html_extract.extract(f"<body>{many}<div class=wrap>{body}{tail}</div>{many}</body>") == want[6:]
+    flat = f"<div><div><p>{last}</p></div>one<hr>two<div><a href=1>One</a></div>three</div>"
+    assert html_extract.extract(flat) == f"{last}\none\ntwo\nthree"
+
+
 def test_extract_odd(spark):
     assert html_extract.extract("") == "" and html_extract.extract("<p") == ""
     assert html_extract.extract("just text") == "just text"
