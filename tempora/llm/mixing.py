@@ -39,6 +39,8 @@ from tempora.session import cut_lineage
 WORDS = r"[^\x20\x09-\x0D]+"
 MAX_SOURCES = 100_000
 BUCKET_ROWS = 20_000
+# rows of a shard that are sorted in one task
+SHARD_ROWS = 2_000
 
 
 def targets(sizes: dict, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> dict:
@@ -194,14 +196,20 @@ def taken(docs: DataFrame, **how) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        **how) -> DataFrame:
+        shard_col: str | None = None, **how) -> DataFrame:
     """The mixed rows themselves, as often as drawn, with the input's columns.
 
-    Rows are dealt out by (shard, hash) and sorted by the shuffle key inside each shard.
+    Rows are dealt out by (shard, hash) and sorted by the shuffle key inside each shard.  ``shard_col``
+    names an added last column with the shard; it replaces an input column of that name.
     """
     _, _, draws = plan(docs, id_col, text_col, source_col, **how)
+    salts = max(1, math.ceil(draws.count() / how.get("shards", 16) / SHARD_ROWS))
     # at most one draw per pass
     per = draws.groupBy("uid").agg(F.collect_list(F.struct("shard", "shuffle")).alias("d"))
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-                       _uid(id_col, text_col, source_col).alias("uid")).join(per, "uid") \
-        .select("row", F.explode("d").alias("d")).sortWithinPartitions("d.shard", "d.shuffle").select("row.*")
+    dealt = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                        _uid(id_col, text_col, source_col).alias("uid")).join(per, "uid") \
+        .select("row", F.explode("d").alias("d")) \
+        .repartition("d.shard", F.pmod("d.shuffle", F.lit(salts))).sortWithinPartitions("d.shard", "d.shuffle")
+    if shard_col is None:
+        return dealt.select("row.*")
+    return dealt.select(*(f"row.`{c}`" for c in docs.columns if c != shard_col), F.col("d.shard").alias(shard_col))

@@ -111,6 +111,22 @@ def test_mix_reaches_targets(spark, share):
             assert 0 <= target - took < least, (seed, target, took)
 
 
+def test_mix_deals_by_shard(spark, docs):
+    mixed = mixing.mix(docs, shards=3, shard_col="size")
+    assert mixed.columns == [c for c in docs.columns if c != "size"] + ["size"]
+    got = mixed.rdd.mapPartitionsWithIndex(lambda i, rs: [(i, r["size"], r["doc_id"]) for r in rs]).collect()
+    # a shard is one partition here, and holds what the tree deals to it
+    assert len({(s, i) for i, s, _ in got}) == 3
+    at = {}
+    for i, s, _ in got:
+        assert at.get(i, 0) <= s
+        at[i] = s
+    per = collections.Counter(s for _, s, _ in got)
+    assert set(per) == {0, 1, 2} and max(per.values()) - min(per.values()) <= 1
+    want = {(r["doc_id"], s) for r in mixing.taken(docs, shards=3).collect() for s in r["shards"] or []}
+    assert {(d, s) for _, s, d in got} == want
+
+
 def test_sharding(spark, rows, docs, empty):
     got = sharding.shard(docs, shards=7).select("row.doc_id", "row.text", "size", "shard", "slot").collect()
     assert len(got) == len(rows)
