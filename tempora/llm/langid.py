@@ -14,7 +14,8 @@ a dictionary has ``DICT_BYTES`` at most.  Prediction covers every row.
 
 The margin is the saving of the best language over the next, as a share of
 the next one's size; ``score`` maps it to 0.5 .. 1.  Below ``min_margin``
-the operator rejects: ``und``, score kept.
+the operator rejects: ``und``, score kept.  Rejecting is off by default
+(``min_margin`` 0), so that a tie still gets a language.
 
 Defined results: null text and text without a letter are ``und`` with score
 0; ties go to the language with more training rows, then by code point order;
