@@ -8,9 +8,12 @@ all segments of the whole text count.  Texts and dictionaries are lower-cased
 and runs without letters become one space; the encoder takes matches from
 three bytes with the optimal parser, as languages differ in short strings.
 
-Training takes at most about ``max_rows`` labelled rows per language (by
-hash of the id; a documented bound) and ``row_chars`` characters of each, so
-a dictionary has ``DICT_BYTES`` at most.  Prediction covers every row.
+Training takes at most about ``max_rows`` labelled rows per language, by hash
+of id and text, rows alike in both once.  Of each it takes ``row_chars``
+characters from a hashed position, cut to an equal share of ``DICT_BYTES``;
+what short pieces leave of their share goes to longer ones.  ``max_rows``,
+``row_chars`` and ``DICT_BYTES`` (16 KB, the size of a dictionary) are the
+documented bounds.  Prediction covers every row.
 
 The margin is the saving of the best language over the next, as a share of
 the next one's size; ``score`` maps it to 0.5 .. 1.  Below ``min_margin``
@@ -40,25 +43,37 @@ def _normal(text: str) -> bytes:
     return _NO_LETTERS.sub(" ", text.lower()).encode()
 
 
+def _shares(pieces: list[bytes], size: int) -> list[bytes]:
+    """The pieces, in order, cut to equal shares of ``size`` bytes with the spaces between them."""
+    left, most = size - len(pieces) + 1, {}
+    for done, i in enumerate(sorted(range(len(pieces)), key=lambda i: len(pieces[i]))):
+        most[i] = min(len(pieces[i]), max(0, left // (len(pieces) - done)))
+        left -= most[i]
+    # a character cut apart goes
+    return [p[:most[i]].decode(errors="ignore").encode() for i, p in enumerate(pieces)]
+
+
 def learn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_rows: int = 100, row_chars: int = 200) -> dict[str, bytes]:
     """A raw-content dictionary per language, the most frequent one first; ``rows`` are the training rows."""
     rows = rows.where(f"`{lang_col}` is not null and `{text_col}` is not null") \
         .select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
-                F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("key")).where("text rlike '\\\\p{L}'")
+                F.xxhash64(F.col(f"`{id_col}`").cast("string"), f"`{text_col}`").alias("key")).where("text rlike '\\\\p{L}'")
     counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return {}
-    # about max_rows rows per language: ids whose hash falls under the language's share
+    # about max_rows rows per language: rows whose hash falls under the language's share
     share = F.create_map(*(x for r in counts for x in (
         F.lit(r["lang"]), F.lit(min(1.0, max_rows / r["count"])))))
+    start = F.pmod(F.xxhash64("key"), F.greatest(F.lit(1), F.length("text") - row_chars + 1)) + 1
     part = rows.where(F.pmod("key", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)) \
-        .select("lang", "key", F.substring("text", 1, row_chars).alias("text"))
+        .select("lang", "key", F.col("text").substr(start.cast("int"), F.lit(row_chars)).alias("text")) \
+        .groupBy("lang", "key").agg(F.min("text").alias("text"))
     out = {}
     for r in part.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("t")).collect():
-        out[r["lang"]] = _normal("\n".join(x["text"] for x in r["t"]))[:DICT_BYTES]
+        out[r["lang"]] = b" ".join(_shares([_normal(x["text"]).strip() for x in r["t"]], DICT_BYTES))
     often = {r["lang"]: r["count"] for r in counts}
     return {lang: out[lang] for lang in sorted(out, key=lambda x: (-often[x], x))}
 

@@ -347,6 +347,24 @@ def test_language(spark, docs, rows, empty):
     assert any(r["lang_pred"] == "und" for r in sure)
 
 
+def test_language_training_sample(spark):
+    # rows share a heading; each has a name of its own in the text, in letters of three bytes
+    name = lambda i: "".join(chr(0x0905 + int(c)) for c in f"{i:04d}")
+    text = lambda i: "common heading " * 20 + f"{name(i)} " * 200
+    learned = langid.learn(spark.createDataFrame([(i, "a", text(i)) for i in range(90)],
+                                                 "doc_id long, lang string, text string"))
+    assert len(learned["a"]) <= langid.DICT_BYTES
+    found = learned["a"].decode()
+    # pieces come from anywhere in a row and every sampled row has its share
+    assert sum(name(i) in found for i in range(90)) >= 75
+    # null or repeated ids are sampled like others
+    for ident in (None, 5):
+        df = spark.createDataFrame([(ident, "a", f"x{name(i)}x") for i in range(2000)] + [(ident, "a", "again")] * 2000,
+                                   "doc_id long, lang string, text string")
+        assert 30 <= len(langid.learn(df)["a"].split()) <= 90
+    assert langid._shares([b"abcdef", b"a", "éé".encode()], 9) == [b"abc", b"a", "é".encode()]
+
+
 def test_queries_over_the_table(spark):
     from tempora.llm import queries
     got = {r["doc_id"]: r for r in queries.op3_substring_dedup(spark, SF).collect()}
