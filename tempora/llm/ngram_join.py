@@ -35,7 +35,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tempora.llm import grams
 from tempora.session import cut_lineage
@@ -68,16 +68,27 @@ def _sets_by_slice(column, k, slice_bytes=SLICE_BYTES):
         yield i, j, grams.shingle_sets(word, first, k)
 
 
-def classes(docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, node): the set size and the 16-byte class of each row."""
+def _text_key(text_col: str):
+    """96 bits that tell the texts of one id apart."""
+    text = F.col(text_col)
+    return F.struct(text.isNull().alias("none"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
+
+
+def classes(docs: DataFrame, id_col: str, text_col: str, k: int = 5, keyed: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, node): the set size and the 16-byte class of each row; ``keyed`` adds the key of its text."""
+    more = ["key"] if keyed else []
+
     def sign(batches):
         for b in batches:
             for i, j, sets in _sets_by_slice(b.column(1), k):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(_digests(sets), pa.binary())], ["doc_id", "n_shingles", "node"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, node binary")
+                     pa.array(_digests(sets), pa.binary()), *(b.column(c).slice(i, j - i) for c in more)],
+                    ["doc_id", "n_shingles", "node", *more])
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       *(_text_key(text_col).alias(c) for c in more)) \
+        .mapInArrow(sign, "doc_id long, n_shingles long, node binary" + "".join(
+            f", {c} struct<none:boolean,h:long,g:int>" for c in more))
 
 
 def _incidence(docs: DataFrame, text_col: str, k: int, blocks: int) -> DataFrame:
@@ -302,15 +313,11 @@ def links(rows: DataFrame, num: int, den: int, pivot_rounds: int = 2) -> DataFra
     return label
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                       threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; see the module text.
-
-    ``threshold`` is the Jaccard bound as a fraction; two documents link
-    when ``den * overlap >= num * union``.
-    """
+def _labelled(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int],
+              keyed: bool = False) -> DataFrame:
+    """The rows of ``classes`` with the label of their component, null for empty sets."""
     num, den = threshold
-    base = cut_lineage(classes(docs, id_col, text_col, k))
+    base = cut_lineage(classes(docs, id_col, text_col, k, keyed))
     sized = base.groupBy("node").agg(F.first("n_shingles").alias("n"))
     total, n_classes = sized.agg(F.sum("n"), F.count("*")).first()
     blocks = max(16, math.ceil((total or 0) / BLOCK_ENTRIES))
@@ -319,8 +326,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = cut_lineage(_survivors(packed, num, den))
     label = links(rows, num, den)
     # empty sets share a node but link with nothing
-    own = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))
-    labelled = base.join(label, "node", "left").select("doc_id", "n_shingles", own.alias("label"))
+    return base.join(label, "node", "left").withColumn(
+        "label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                       threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; see the module text.
+
+    ``threshold`` is the Jaccard bound as a fraction; two documents link
+    when ``den * overlap >= num * union``.
+    """
+    labelled = _labelled(docs, id_col, text_col, k, threshold).select("doc_id", "n_shingles", "label")
     low = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("low"))
     return labelled.join(low, "label", "left").select(
         "doc_id", "n_shingles",
@@ -329,14 +346,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                 threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """The input rows without near duplicates: the smallest id of every component stays.
+    """The input rows without near duplicates: one row of every component stays.
 
-    Rows alike in id and text stay once; rows with a null id and rows without words all stay.
+    It is the row of the smallest id, null ids last, then of the smallest class and text key; of rows
+    alike in id and text any one.  Rows without words link with nothing and stay, once per id and text.
     """
-    found = jaccard_components(docs, id_col, text_col, k, threshold)
-    lead = found.where("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-                         F.col(f"`{id_col}`").cast("long").alias("_id"))
-    again = F.row_number().over(W.partitionBy("_id", f"row.`{text_col}`").orderBy(F.lit(0)))
-    kept = packed.join(lead, F.col("_id") == F.col("_lead")).withColumn("_n", again).where("_n = 1")
-    return kept.select("row.*").union(packed.where("_id is null").select("row.*"))
+    same = ["_null", "_id", "_key"]
+    found = _labelled(docs, f"`{id_col}`", f"`{text_col}`", k, threshold, keyed=True).select(
+        F.col("doc_id").isNull().alias("_null"), F.coalesce("doc_id", F.lit(0)).alias("_id"), "node",
+        F.col("key").alias("_key"), "label")
+    lead = found.where("label is not null").groupBy("label") \
+        .agg(F.min(F.struct("_null", "_id", "node", "_key")).alias("m")).select("m._null", "m._id", "m._key") \
+        .union(found.where("label is null").select(*same).distinct())
+    # one row per id and text, combined before the shuffle; the join deals by the same columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{id_col}`").cast("long").alias("_i"), _text_key(f"`{text_col}`").alias("_key")) \
+        .select("row", F.col("_i").isNull().alias("_null"), F.coalesce("_i", F.lit(0)).alias("_id"), "_key") \
+        .groupBy(*same).agg(F.first("row").alias("row"))
+    return rows.join(lead, same).select("row.*")

@@ -296,6 +296,21 @@ def test_jaccard(spark, rows, docs, empty):
     assert {r["doc_id"] for r in left.collect()} == want | {None}
 
 
+def test_one_of_each_group(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(100))
+    near = lambda x: text(x) + " more"
+    rows = [(1, text("a"), 0), (2, near("a"), 1), (2, text("b"), 2), (3, near("b"), 3),  # id 2: a copy, and a leader
+            (4, text("c"), 4), (4, near("c"), 5), (4, text("c").upper(), 6),  # one id, alike texts
+            (None, text("a"), 7), (None, text("d"), 8), (None, text("d"), 9), (None, near("d"), 10),
+            (None, text("e"), 11), (5, "", 12), (6, None, 13), (None, "", 14), (5, "", 15), (0, text("f"), 16)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(5)
+    got = [tuple(r) for r in ngram_join.one_of_each(df).collect()]
+    groups = [{0, 1, 7}, {2, 3}, {4, 5, 6}, {8, 9, 10}, {11}, {12, 15}, {13}, {14}, {16}]
+    kept = [n for *_, n in got]
+    assert sorted(map(len, [g & set(kept) for g in groups])) == [1] * len(groups) and len(kept) == len(groups)
+    assert {0, 2, 13, 14, 16} <= set(kept)
+
+
 def test_jaccard_chain_and_group(spark):
     """A chain of copies whose ends do not link, and a group of near copies around no common source."""
     rng = random.Random(9)
