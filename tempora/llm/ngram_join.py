@@ -18,7 +18,9 @@ Rows of the incidence matrix are documents, columns are word shingles.
    member with the smallest share of unrepeated shingles, the likely source
    of a group of copies, whose links join the whole group; then a random
    one.  The pairs of different components that remain, few, are multiplied
-   in full, so no link between components is missed.
+   in full, so no link between components is missed: by sizes first, then the
+   entries whose positions allow those sizes, then labels that differ, so
+   that no other pair of a column is made.
 5. Full overlaps of the candidate pairs decide exactly.  Links are joined
    into components by alternating large-star and small-star steps.
 
@@ -280,6 +282,29 @@ def _allowed(num: int, den: int):
         (F.col("a.pos") <= F.col("a.n") - need) & (F.col("b.pos") <= F.col("b.n") - need)
 
 
+def _rest_pairs(rest: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) that meet in a column, are allowed and have different labels; no other pair is made.
+
+    Whether a pair is allowed depends on its sizes, and on a bound on the position of each side.  So pairs
+    of sizes come first, then the entries of each side under its bound, then pairs of their labels.
+    """
+    sizes = rest.groupBy("g", "n").agg(F.min("pos").alias("pos"))
+    sizes = sizes.alias("a").join(sizes.alias("b"), "g").where((F.col("a.n") <= F.col("b.n")) & _allowed(num, den)) \
+        .select("g", F.col("a.n").alias("na"), F.col("b.n").alias("nb"),
+                F.ceil((num * (F.col("a.n") + F.col("b.n"))) / (num + den)).alias("need"))
+
+    def side(p: str) -> DataFrame:
+        return rest.select("g", F.col("n").alias(f"n{p}"), "pos", F.col("node").alias(p), F.col("label").alias(f"l{p}")) \
+            .join(sizes, ["g", f"n{p}"]).where(F.col("pos") <= F.col(f"n{p}") - F.col("need")) \
+            .select("g", "na", "nb", p, f"l{p}")
+    a, b = side("a"), side("b")
+    meet = ["g", "na", "nb"]
+    labels = a.select(*meet, "la").distinct().join(b.select(*meet, "lb").distinct(), meet) \
+        .where("la <> lb and (na < nb or la < lb)")
+    return labels.join(a, [*meet, "la"]).join(b, [*meet, "lb"]).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(rows: DataFrame, num: int, den: int, pivot_rounds: int = 2) -> DataFrame:
     """Links that connect every component: (a, b) of class nodes."""
     posts = rows.select("node", "n", "first_pos", F.posexplode("prefix").alias("i", "g")) \
@@ -296,13 +321,12 @@ def links(rows: DataFrame, num: int, den: int, pivot_rounds: int = 2) -> DataFra
                                   F.min("label").alias("low"), F.max("label").alias("top")) \
             .where("low <> top")
         if step < pivot_rounds:
-            pairs = span.select("g", "pivot.*").alias("a").join(p.alias("b"), "g")
+            pairs = span.select("g", "pivot.*").alias("a").join(p.alias("b"), "g") \
+                .where((F.col("a.label") != F.col("b.label")) & _allowed(num, den)) \
+                .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")) \
+                .distinct()
         else:
-            rest = cut_lineage(p.join(span.select("g"), "g", "left_semi"))
-            pairs = rest.alias("a").join(rest.alias("b"), "g").where("a.node < b.node")
-        pairs = pairs.where((F.col("a.label") != F.col("b.label")) & _allowed(num, den)) \
-            .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")) \
-            .distinct()
+            pairs = _rest_pairs(cut_lineage(p.join(span.select("g"), "g", "left_semi")), num, den)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)

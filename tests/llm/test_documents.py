@@ -331,6 +331,34 @@ def test_jaccard_chain_and_group(spark):
     assert sorted(got) == sorted(components(rows))
 
 
+def test_rest_pairs(spark):
+    """The last round makes the allowed pairs of different labels, and no others of a hot column."""
+    rng = random.Random(4)
+    num, den = 75, 100
+    posts = {(rng.randrange(3), f"{i:03d}".encode()): (n, rng.randrange(6), f"{rng.choice([i, i, 0]):03d}".encode())
+             for i, n in ((i, rng.randint(4, 24)) for i in range(120))}
+    rows = [(g, node, n, pos, label) for (g, node), (n, pos, label) in posts.items()]
+    schema = "g long, node binary, n long, pos long, label binary"
+    want = set()
+    for g, a, na, pa, la in rows:
+        for h, b, nb, pb, lb in rows:
+            need = -(-num * (na + nb) // (num + den))
+            if g == h and a < b and la != lb and den * min(na, nb) >= num * max(na, nb) and \
+                    pa <= na - need and pb <= nb - need:
+                want.add((a, b))
+    got = [(bytes(r["a"]), bytes(r["b"])) for r in ngram_join._rest_pairs(
+        spark.createDataFrame(rows, schema), num, den).collect()]
+    assert want and len(got) == len(want) and set(got) == want
+    # two hundred thousand entries in one column: of short templates, and of one component but for one entry
+    ids = spark.range(200_000)
+    short = ids.selectExpr("1L as g", "cast(cast(id as string) as binary) as node", "4L as n", "1L as pos",
+                           "cast(cast(id as string) as binary) as label")
+    assert ngram_join._rest_pairs(short, num, den).count() == 0
+    group = ids.selectExpr("1L as g", "cast(cast(id as string) as binary) as node", "40L as n", "0L as pos",
+                           "cast(cast(least(id, 1) as string) as binary) as label")
+    assert ngram_join._rest_pairs(group, num, den).count() == 199_999
+
+
 def test_jaccard_table(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in table.collect()]
