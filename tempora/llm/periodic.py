@@ -234,18 +234,44 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     return found.join(names, ["a", "b"]).select("doc_id", "start", "period", "length").distinct()
 
 
-def _with_hits(keyed: DataFrame, min_length: int, exponent: int, hit: bool) -> DataFrame:
-    """The rows with (or without) a grid point, so with (or without) a tile."""
+def _hits(column, min_length: int, exponent: int) -> np.ndarray:
+    """Which texts have a grid point, so a tile."""
+    got = np.zeros(len(column), bool)
+    for i, _, word, first in _slices(column):
+        for _, rows, _ in points(word, first, min_length, exponent):
+            got[i + rows] = True
+    return got
+
+
+def _with_hits(keyed: DataFrame, min_length: int, exponent: int) -> DataFrame:
     def pick(batches):
         for batch in batches:
-            got = np.zeros(batch.num_rows, bool)
-            for i, _, word, first in _slices(batch.column(3)):
-                for _, rows, _ in points(word, first, min_length, exponent):
-                    got[i + rows] = True
-            yield batch.filter(pa.array(got == hit))
+            yield batch.filter(pa.array(_hits(batch.column(3), min_length, exponent)))
     return keyed.mapInArrow(pick, keyed.schema)
 
 
+CUT_SCHEMA = f"doc_id long, n_words long, runs {RUNS}, n_dropped long, kept_text string"
+_RUNS = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "period", "length")]))
+
+
+def _cut(ids, texts, runs) -> pa.RecordBatch:
+    n, dropped, kept = [], [], []
+    for text, own_runs in zip(texts, runs):
+        own = (text or "").encode().split()
+        n.append(len(own))
+        if own_runs:
+            gone = np.zeros(len(own) + 1, np.int64)
+            for r in own_runs:
+                gone[r["start"] + r["period"]] += 1
+                gone[r["start"] + r["length"]] -= 1
+            own = [own[x] for x in np.flatnonzero(np.cumsum(gone[:-1]) == 0)]
+        dropped.append(n[-1] - len(own))
+        kept.append(b" ".join(own).decode())
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(n, pa.int64()), pa.array(runs, _RUNS), pa.array(dropped, pa.int64()),
+         pa.array(kept, pa.string())], ["doc_id", "n_words", "runs", "n_dropped", "kept_text"])
+
+
 def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 24,
              exponent: int = 3) -> DataFrame:
     """Per input row: doc_id, n_words, runs (by start, then period), n_dropped, kept_text.
@@ -257,27 +283,15 @@ def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     keyed = _keyed(docs, id_col, text_col)
     found = _runs(keyed, min_length, exponent).groupBy("a", "b") \
         .agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
-    moved = _with_hits(keyed, min_length, exponent, True).join(found, ["a", "b"], "left") \
-        .select("doc_id", "text", "runs")
-    still = _with_hits(keyed, min_length, exponent, False).select("doc_id", "text", F.lit(None).cast(RUNS).alias("runs"))
+    moved = _with_hits(keyed, min_length, exponent).join(found, ["a", "b"], "left").select("doc_id", "text", "runs")
+
+    def still(batches):
+        for batch in batches:
+            rest = batch.filter(pa.array(~_hits(batch.column(1), min_length, exponent)))
+            for b in (rest.slice(i, 512) for i in range(0, rest.num_rows, 512)):
+                yield _cut(b.column(0), b.column(1).to_pylist(), [[]] * b.num_rows)
 
     def cut(batches):
         for b in (x.slice(i, 512) for x in batches for i in range(0, x.num_rows, 512)):
-            n, dropped, kept = [], [], []
-            for text, runs in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                own = (text or "").encode().split()
-                n.append(len(own))
-                if runs:
-                    gone = np.zeros(len(own) + 1, np.int64)
-                    for r in runs:
-                        gone[r["start"] + r["period"]] += 1
-                        gone[r["start"] + r["length"]] -= 1
-                    own = [own[x] for x in np.flatnonzero(np.cumsum(gone[:-1]) == 0)]
-                dropped.append(n[-1] - len(own))
-                kept.append(b" ".join(own).decode())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(dropped, pa.int64()),
-                 pa.array(kept, pa.string())], ["doc_id", "runs", "n_words", "n_dropped", "kept_text"])
-    return moved.union(still).mapInArrow(
-        cut, f"doc_id long, runs {RUNS}, n_words long, n_dropped long, kept_text string") \
-        .select("doc_id", "n_words", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"), "n_dropped", "kept_text")
+            yield _cut(b.column(0), b.column(1).to_pylist(), [r or [] for r in b.column(2).to_pylist()])
+    return moved.mapInArrow(cut, CUT_SCHEMA).union(keyed.select("doc_id", "text").mapInArrow(still, CUT_SCHEMA))
