@@ -1,22 +1,24 @@
 """Operator 11: phrase collocations from FM-indexes of word ids, one per shard of documents.
 
-1. A map task cuts its texts into shards of about ``shard_bytes``, always
+1. A first pass counts the hashes of all phrases in a table of cells whose
+   size follows the corpus up to a fixed bound.  A cell's sum is no less than
+   the count of any phrase in it, so phrases whose cell stays below
+   ``min_count`` cannot be frequent.  The cells that reach it are one bit
+   each; a wrong "may" costs a row in a shuffle and never changes a count.
+2. A map task cuts its texts into shards of about ``shard_bytes``, always
    between pieces.  The words of a shard become ids, one per language and
    word, with a separator at every piece border.
-2. Two indexes are built for a shard, one of the id sequence and one of its
+3. Two indexes are built for a shard, one of the id sequence and one of its
    reverse.  An index is the Burrows-Wheeler transform of suffixes sorted by
    their first ``depth`` words, which is enough for patterns up to that
    depth: the rows of a pattern are one interval, and the symbols of the
    transform in it are the words that extend the pattern on one side.  The
    interval in the other index moves along with it, so a pattern can grow on
-   either side (``FmIndex.extend``, all patterns of a level at once).
-3. The counts of all shards are summed by Spark.  Level by level: words and
-   pairs first; a longer phrase is sent only when both phrases that it
-   extends may reach ``min_count``.  That is asked of a bitmap of fixed size
-   with the hashes of the frequent phrases; a wrong "may" costs a row in the
-   shuffle and never changes a count.
-4. Candidates, their cuts and the longer phrases that replace them are joins
-   of the frequent phrases.  Scores are exact decimals.
+   either side (``FmIndex.extend``, all patterns of a level at once).  Only
+   patterns that may be frequent grow.
+4. Spark sums the counts of all shards, which are exact.  Candidates, their
+   cuts and the longer phrases that replace them are joins of the frequent
+   phrases.  Scores are exact decimals.
 
 Defined results: null text is empty; null language is ``und`` (and joins a
 language of that name); repeated rows count each; a language without
@@ -27,7 +29,6 @@ UTF-8 bytes; ids and other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
@@ -35,11 +36,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tempora.llm import grams
 from tempora.session import cut_lineage
 
-SHARD_BYTES = 6 << 20
-# bits of the bitmap of frequent phrases: 4 MB, whatever the size of the corpus
-BITMAP_BITS = 1 << 25
-# bits of one map that Spark's bitmap aggregate makes
-MAP_PART = 32768
+SHARD_BYTES = 3 << 20
+# a cell for so many bytes of text; cells at the least and at the most (32 MB of bits per phrase size)
+CELL_BYTES, MIN_CELLS, MAX_CELLS = 32, 1 << 16, 1 << 28
+# cells that are sent together
+PART_CELLS = 1 << 16
 # parts of a language that are ranked apart before the language is
 RANK_PARTS = 64
 
@@ -86,16 +87,22 @@ class FmIndex:
 
 def _shards(raw: np.ndarray, offs: np.ndarray, limit: int):
     """(from byte, to byte) of about ``limit`` bytes each, cut behind a break or a document."""
-    ends = np.union1d(np.flatnonzero(_KIND[raw] == 2) + 1, offs[1:])
     at = 0
     while at < len(raw):
-        x = min(int(np.searchsorted(ends, at + limit)), len(ends) - 1)
-        yield at, int(ends[x])
-        at = int(ends[x])
+        look = at + limit - 1
+        end = int(offs[min(np.searchsorted(offs, look, "right"), len(offs) - 1)])
+        while look < end:
+            found = np.flatnonzero(_KIND[raw[look:min(look + limit, end)]] == 2)
+            if len(found):
+                end = look + int(found[0]) + 1
+                break
+            look += limit
+        yield at, end
+        at = end
 
 
-class _Shard:
-    """Ids of the words of some pieces: ``text`` with separators, and the words and languages behind the ids."""
+class _Words:
+    """The words of some pieces: codes into ``words``, language of each, and whether it begins a piece."""
 
     def __init__(self, raw: np.ndarray, border: np.ndarray, lang: np.ndarray):
         kind = _KIND[raw]
@@ -108,106 +115,146 @@ class _Shard:
         ends[inner - 1] = word[inner - 1]
         start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.n = len(start)
-        if not self.n:
-            return
         doc = np.searchsorted(border, start, "right") - 1
-        piece = np.cumsum(kind == 2)[start] + doc
+        piece = np.searchsorted(np.flatnonzero(kind == 2), start) + doc
         offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_string(), self.n, [
             None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[raw[word]])]).dictionary_encode()
-        self.words = coded.dictionary
-        key = lang[doc].astype(np.int64) * len(self.words) + coded.indices.to_numpy()
-        key, ids = np.unique(key, return_inverse=True)
-        # id 0 separates, so both lists have an unused first place
-        self.word_of = np.concatenate([[0], key % len(self.words)])
-        self.lang_of = np.concatenate([[0], key // len(self.words)])
-        place = np.concatenate([[0], np.cumsum(piece[1:] != piece[:-1])])
-        self.text = np.zeros(self.n + int(place[-1]) + 2, np.int64)
-        self.text[np.arange(self.n) + place + 1] = ids + 1
-
-
-def _hashes(words: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False) if len(words) \
-        else np.zeros(0, np.uint64)
-
-
-def _bits(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """Place in the bitmap of a phrase, from the hashes of its language and words."""
+        self.words, self.codes = coded.dictionary, coded.indices.to_numpy()
+        self.lang = lang[doc].astype(np.int64)
+        self.fresh = np.concatenate([[True], piece[1:] != piece[:-1]])[:self.n]
+
+    def ids(self):
+        """(text, word_of, lang_of): ids by language and word from 1, 0 before, between and behind pieces."""
+        key, ids = np.unique(self.lang * len(self.words) + self.codes, return_inverse=True)
+        text = np.zeros(self.n + int(self.fresh.sum()) + 1, np.int64)
+        text[np.arange(self.n) + np.cumsum(self.fresh)] = ids + 1
+        # id 0 has no word, so both lists have an unused first place
+        return text, np.concatenate([[0], key % len(self.words)]), np.concatenate([[0], key // len(self.words)])
+
+
+def _shard_words(batches, shard_bytes: int):
+    """(words of a shard, hashes of its dictionary, languages, their hashes) for each shard."""
+    for b in batches:
+        raw, offs = grams.text_buffers(b.column(0))
+        langs = b.column(1).dictionary_encode()
+        code = langs.indices.to_numpy()
+        for lo, hi in _shards(raw, offs, shard_bytes):
+            found = _Words(raw[lo:hi], np.clip(offs, lo, hi)[:-1] - lo, code)
+            if found.n:
+                yield found, _hashes(found.words), langs.dictionary, _hashes(langs.dictionary)
+
+
+def _hashes(strings: pa.Array) -> np.ndarray:
+    raw, offs = grams.text_buffers(strings)
+    # each string is one span of bytes; a space more keeps those without bytes apart
+    whole = np.full(len(raw) + len(strings), 0x5F, np.uint8)
+    whole[np.arange(len(raw)) + np.repeat(np.arange(len(strings)), np.diff(offs))] = raw
+    at = offs + np.arange(len(offs))
+    return grams.byte_spans(whole, at[:-1], at[1:])
+
+
+def _cell(lang: np.ndarray, words: list[np.ndarray], cells: int) -> np.ndarray:
+    """The cell of each phrase, from the hashes of its language and words."""
     h = lang
     for w in words:
         h = grams.mix(h * np.uint64(0x9E3779B97F4A7C15) + w)
-    return (h % np.uint64(BITMAP_BITS)).astype(np.int64)
-
-
-def _count(docs: DataFrame, size: int, known: dict[int, bytes], shard_bytes: int) -> DataFrame:
-    """(lang, size, phrase, a) per shard: phrases of ``size`` words whose parts are ``known``.
-
-    For size 2 the words come along as size 1, and their number as size 0.
-    """
+    return (h & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _may_be_frequent(docs: DataFrame, max_words: int, min_count: int, cells: int, shard_bytes: int) -> dict[int, bytes]:
+    """For each size of phrase the bits of its cells, set where the sum reaches ``min_count``."""
+    # sums beyond a byte need not be told apart: they pass
+    least = min(min_count, 255)
+
+    def count(batches):
+        for found, word_hash, _, lang_hash in _shard_words(batches, shard_bytes):
+            h, lang = word_hash[found.codes], lang_hash[found.lang]
+            rows = {c: [] for c in ("size", "part", "cells", "counts")}
+            inside = np.ones(found.n, bool)
+            for size in range(1, max_words + 1):
+                if size > 1:
+                    # places whose next size - 1 words are in the same piece
+                    inside = inside[:-1] & ~found.fresh[size - 1:]
+                at = np.flatnonzero(inside)
+                cell, n = np.unique(_cell(lang[at], [h[at + d] for d in range(size)], cells), return_counts=True)
+                edge = np.flatnonzero(np.concatenate([[True], np.diff(cell // PART_CELLS) > 0, [True]])) \
+                    if len(cell) else []
+                for lo, hi in zip(edge[:-1], edge[1:]):
+                    for c, v in zip(rows, (size, int(cell[lo]) // PART_CELLS,
+                                           (cell[lo:hi] % PART_CELLS).astype(np.uint16).tobytes(),
+                                           np.minimum(n[lo:hi], 255).astype(np.uint8).tobytes())):
+                        rows[c].append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows["size"], pa.int32()), pa.array(rows["part"], pa.int32()),
+                 pa.array(rows["cells"], pa.binary()), pa.array(rows["counts"], pa.binary())], list(rows))
+
+    def add(batches):
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for size, part, at, n in zip(*(c.to_pylist() for c in b.columns)):
+                have = sums.setdefault((size, part), np.zeros(PART_CELLS, np.uint8))
+                at, n = np.frombuffer(at, np.uint16), np.frombuffer(n, np.uint8)
+                have[at] = np.minimum(have[at].astype(np.uint16) + n, 255)
+        for (size, part), have in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([size], pa.int32()), pa.array([part], pa.int32()),
+                 pa.array([np.packbits(have >= least, bitorder="little").tobytes()], pa.binary())],
+                ["size", "part", "bits"])
+    parts = max(8, min(2000, max_words * cells // PART_CELLS // 64))
+    sums = docs.mapInArrow(count, "size int, part int, cells binary, counts binary") \
+        .repartition(parts, "size", "part").mapInArrow(add, "size int, part int, bits binary")
+    out = {size: bytearray(cells // 8) for size in range(1, max_words + 1)}
+    for size, part, bits in sums.collect():
+        out[size][part * PART_CELLS // 8:(part + 1) * PART_CELLS // 8] = bytes(bits)
+    return {size: bytes(bits) for size, bits in out.items()}
+
+
+def _count(docs: DataFrame, max_words: int, bits: dict[int, bytes], cells: int, shard_bytes: int) -> DataFrame:
+    """(lang, size, phrase, a) per shard of the phrases that may be frequent; size 0 has the number of words."""
     def scan(batches):
-        maps = {d: np.frombuffer(b, np.uint8) for d, b in known.items()}
+        maps = {size: np.frombuffer(b, np.uint8) for size, b in bits.items()}
 
         def may(lang, words):
-            bit = _bits(lang, words)
-            return (maps[len(words)][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-
-        for b in batches:
-            raw, offs = grams.text_buffers(b.column(0))
-            langs = b.column(1).dictionary_encode()
-            code = langs.indices.to_numpy()
-            for lo, hi in _shards(raw, offs, shard_bytes):
-                border = np.clip(offs, lo, hi) - lo
-                shard = _Shard(raw[lo:hi], border[:-1], code)
-                if not shard.n:
-                    continue
-                word_hash, lang_hash = _hashes(shard.words), _hashes(langs.dictionary)
-                hash_of = lambda ids: word_hash[shard.word_of[ids]]
-                back = FmIndex(shard.text[::-1].copy(), 2)
-                first, n, out = np.arange(1, back.sigma), np.diff(back.first)[1:], []
-                if size == 2:
-                    total = np.bincount(shard.lang_of[1:], weights=n).astype(np.int64)
-                    out += [(0, [], np.flatnonzero(total), total[total > 0]), (1, [first], shard.lang_of[first], n)]
-                # pairs: words grown to the right; the rows of a pair in ``ahead`` lie within those of its first word
-                who, word, _, n, before = back.extend(back.first[1:-1], n)
-                ids, low = [first[who], word], back.first[1:-1][who] + before
-                ahead = FmIndex(shard.text, size) if size > 2 else None
-                # longer phrases: grown to the left
-                for d in range(2, size):
-                    keep = may(lang_hash[shard.lang_of[ids[0]]], [hash_of(x) for x in ids])
-                    who, word, low, n, _ = ahead.extend(low[keep], n[keep])
-                    ids = [word] + [x[keep][who] for x in ids]
-                    keep = may(lang_hash[shard.lang_of[word]], [hash_of(x) for x in ids[:-1]])
-                    ids, low, n = [x[keep] for x in ids], low[keep], n[keep]
-                out.append((size, ids, shard.lang_of[ids[0]], n))
-                for d, ids, lang, n in out:
-                    text = [shard.words.take(pa.array(shard.word_of[x])) for x in ids]
-                    phrase = pc.binary_join_element_wise(*text, pa.scalar(" ", pa.large_string())) if text \
-                        else pa.array([""] * len(n), pa.large_string())
-                    yield pa.RecordBatch.from_arrays(
-                        [langs.dictionary.take(pa.array(lang)).cast(pa.string()),
-                         pa.array(np.full(len(n), d, np.int32)), phrase.cast(pa.string()), pa.array(n)],
-                        ["lang", "size", "phrase", "a"])
+            cell = _cell(lang, words, cells)
+            return (maps[len(words)][cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+
+        for found, word_hash, langs, lang_hash in _shard_words(batches, shard_bytes):
+            text, word_of, lang_of = found.ids()
+            hash_of, hash_of_lang = word_hash[word_of], lang_hash[lang_of]
+            back = FmIndex(text[::-1].copy(), 2)
+            ahead = FmIndex(text, max_words) if max_words > 2 else None
+            total = np.bincount(found.lang)
+            out = [(0, [], np.flatnonzero(total), total[total > 0])]
+            one, n = np.arange(1, back.sigma), np.diff(back.first)[1:]
+            keep = may(hash_of_lang[one], [hash_of[one]])
+            one, n, low = one[keep], n[keep], back.first[1:-1][keep]
+            out.append((1, [one], lang_of[one], n))
+            # pairs: words grown to the right; the rows of a pair in ``ahead`` lie within those of its first word
+            who, word, _, n, before = back.extend(low, n)
+            ids, low = [one[who], word], low[who] + before
+            for size in range(2, max_words + 1):
+                keep = np.ones(len(n), bool)
+                for d in range(1, size + 1):
+                    # its ends of d words have to be frequent, too
+                    for part in (ids[:d], ids[size - d:]):
+                        keep[keep] = may(hash_of_lang[part[0][keep]], [hash_of[x[keep]] for x in part])
+                ids, low, n = [x[keep] for x in ids], low[keep], n[keep]
+                out.append((size, ids, lang_of[ids[0]], n))
+                if size < max_words:
+                    # longer phrases: grown to the left
+                    who, word, low, n, _ = ahead.extend(low, n)
+                    ids = [word] + [x[who] for x in ids]
+            for size, ids, lang, n in out:
+                text = [found.words.take(pa.array(word_of[x])) for x in ids]
+                phrase = pc.binary_join_element_wise(*text, pa.scalar(" ", pa.large_string())) if text \
+                    else pa.array([""] * len(n), pa.large_string())
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(lang)).cast(pa.string()), pa.array(np.full(len(n), size, np.int32)),
+                     phrase.cast(pa.string()), pa.array(n)], ["lang", "size", "phrase", "a"])
     return docs.mapInArrow(scan, "lang string, size int, phrase string, a long")
 
 
-def _bitmap(frequent: DataFrame) -> bytes:
-    """Bitmap of the hashes of phrases (lang, phrase): BITMAP_BITS bits on the driver, by union of parts."""
-    def places(batches):
-        for b in batches:
-            words = [p.split(" ") for p in b.column(1).to_pylist()]
-            flat = _hashes(pa.array([w for p in words for w in p]))
-            size = len(words[0]) if words else 1
-            bit = _bits(_hashes(b.column(0)), [flat[i::size] for i in range(size)])
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
-    part, place = F.expr(f"bit div {MAP_PART}"), F.expr(f"bit % {MAP_PART}")
-    parts = frequent.select("lang", "phrase").mapInArrow(places, "bit long") \
-        .groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("bits"))
-    out = bytearray(BITMAP_BITS // 8)
-    for number, bits in parts.collect():
-        out[number * MAP_PART // 8:(number + 1) * MAP_PART // 8] = bytes(bits)
-    return bytes(out)
-
-
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3,
                   min_count: int = 10, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(lang, size, phrase, a): exact counts of the phrases of 1 to ``max_words`` words found ``min_count`` times.
@@ -216,14 +263,11 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """
     docs = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    found, known = None, {}
-    for size in range(2, max(2, max_words) + 1):
-        level = cut_lineage(_count(docs, size, known, shard_bytes).groupBy("lang", "size", "phrase")
-                            .agg(F.sum("a").alias("a")).where((F.col("size") == 0) | (F.col("a") >= min_count)))
-        found = level if found is None else found.unionByName(level)
-        if size < max_words:
-            known[size] = _bitmap(level.where(F.col("size") == size))
-    return found.where(F.col("size") <= max_words)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = min(MAX_CELLS, max(MIN_CELLS, 1 << (size // CELL_BYTES).bit_length()))
+    bits = _may_be_frequent(docs, max_words, min_count, cells, shard_bytes)
+    return cut_lineage(_count(docs, max_words, bits, cells, shard_bytes).groupBy("lang", "size", "phrase")
+                       .agg(F.sum("a").alias("a")).where((F.col("size") == 0) | (F.col("a") >= min_count)))
 
 
 def _sub(first, words):

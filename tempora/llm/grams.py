@@ -168,3 +168,12 @@ def span_hashes(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(word * up[:n], out=total[1:])
     return mix((total[end] - total[begin]) * down[begin] + mix((end - begin).astype(np.uint64)))
+
+
+def byte_spans(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of bytes begin .. end-1 for each span."""
+    up, down = _powers(_BYTE_BASE, len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+    h = (total[end] - total[begin]) * down[begin]
+    return mix(h + (end - begin).astype(np.uint64) * np.uint64(_WORD_BASE))

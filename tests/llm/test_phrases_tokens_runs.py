@@ -76,13 +76,28 @@ def test_phrases_of_an_empty_table(spark):
     assert collocations.collocations(frame(spark, [(1, None, None), (2, "one", "en")]), min_count=1).count() == 0
 
 
-def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+def test_cells_that_all_pass_change_nothing(spark, monkeypatch):
     rows = phrase_rows(4, 60)
-    monkeypatch.setattr(collocations, "_bitmap", lambda f: b"\xff" * (collocations.BITMAP_BITS // 8))
+    monkeypatch.setattr(collocations, "_may_be_frequent", lambda d, words, n, cells, size: {
+        k: b"\xff" * (cells // 8) for k in range(1, words + 1)})
     got = collocations.collocations(frame(spark, rows), min_count=4, top=30)
     assert sorted(map(tuple, got.collect())) == phrases_brute(rows, 4, 3, 30)
 
 
+@pytest.mark.parametrize("least", [2, 300])
+def test_cells_never_miss_a_frequent_phrase(spark, least):
+    rows = phrase_rows(6, 120)
+    docs = frame(spark, rows).selectExpr("text", "coalesce(lang, 'und') lang")
+    bits = collocations._may_be_frequent(docs, 2, least, collocations.MIN_CELLS, 500)
+    counts = collocations.phrase_counts(frame(spark, rows), max_words=2, min_count=least).where("size > 0").collect()
+    import pyarrow as pa
+    hashed = lambda x: collocations._hashes(pa.array([x], pa.large_string()))
+    assert counts
+    for r in counts:
+        cell = int(collocations._cell(hashed(r.lang), [hashed(w) for w in r.phrase.split(" ")], collocations.MIN_CELLS)[0])
+        assert bits[r.size][cell >> 3] >> (cell & 7) & 1
+
+
 def test_scores_beyond_64_bits(spark):
     big = 3_000_000_000
     counts = [("en", 0, "", 9 * big), ("en", 1, "x", big), ("en", 1, "y", 2 * big), ("en", 2, "x y", big - 1)]
@@ -151,11 +166,10 @@ def test_token_store_and_answers(spark, library):
 
 
 def test_steps_beyond_a_byte_are_listed(spark, monkeypatch):
-    monkeypatch.setattr(token_counts.Prefixes, "unit", lambda self, u: [300] + [-1] * (len(u) - 1))
+    monkeypatch.setattr(token_counts.Prefixes, "chars", lambda self, u: [0] + list(range(300, 300 - len(u), -1)))
     monkeypatch.setattr(token_counts, "_made", {})
     table = token_counts.Prefixes(BPE)
-    steps = table.steps("ab cd")
-    assert steps.tolist() == [300, -1, 300, -1, -1]
+    assert table.steps("ab cd").tolist() == [300, -1, 300, -1, -1]
     assert token_counts.counts(np.array([-128, -1, -128, -1, -1], np.int8).tobytes(), [
         {"at": 0, "step": 300}, {"at": 2, "step": 300}]).tolist() == [0, 300, 299, 599, 598, 597]
 
