@@ -27,6 +27,7 @@ repeated id are counted one by one; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 # units and pretokens that a task remembers, and the longest worth it
-UNITS, UNIT_CHARS = 300_000, 64
+UNITS, UNIT_CHARS = 350_000, 64
 # fixed values: the pretoken pattern of this family of encodings, and Unicode's white space
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -49,6 +50,13 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _packed(count: list[int]) -> bytes:
+    steps = [y - x for x, y in zip(count, count[1:])]
+    if min(steps) <= _WIDE or max(steps) > 127:
+        raise OverflowError
+    return bytes([x & 255 for x in steps])
+
+
 class Prefixes(dict):
     """Steps of the token count by unit; a missing unit is worked out.  Made once per task from the tokenizer file."""
 
@@ -66,6 +74,8 @@ class Prefixes(dict):
         for i, m in enumerate(model["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             self.rank[raw(a), raw(b)] = i
+        # what a token is merged from, and when
+        self.made = {a + b: (i, a, b) for (a, b), i in sorted(self.rank.items(), key=lambda x: -x[1])}
         # tokens by their bytes read backwards, as nested dicts; 256 marks the end of a token
         self.back: dict = {}
         for token in {bytes([b]) for b in range(256)} | {a + b for a, b in self.rank}:
@@ -74,64 +84,86 @@ class Prefixes(dict):
                 at = at.setdefault(byte, {})
             at[256] = token
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        # the last token of byte prefixes
+        self.states: dict[bytes, bytes] = {}
         self.special = [t["content"] for t in spec.get("added_tokens", ())]
         if any(a != b and a in b for a in self.special for b in self.special) or \
                 any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", ())):
             raise ValueError("special tokens inside one another, or that strip or need borders, are not supported")
         self.at_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pretokens = regex.compile(PRETOKEN)
-        self.units = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.blank = regex.compile(f"[{WHITE}]*")
-
-    def merged(self, parts: list[bytes]) -> list[bytes]:
-        """Merge neighbours, lowest rank first, leftmost first."""
-        while len(parts) > 1:
-            ranks = [self.rank.get(x, len(self.rank)) for x in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == len(self.rank):
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and ranks[i] == best and self.rank.get((parts[i], parts[i + 1])) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
+        self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+        self.blank = re.compile(f"[{WHITE}]*")
 
     def _fit(self, a: bytes, b: bytes) -> bool:
+        """Whether the encoding of ``a + b`` is these two tokens: no merge across the border comes first.
+
+        The merges of both are undone from the last one on.  While a piece x ends at the border and y begins
+        there, they merge if their rank is below that of the merge that takes x away to the left, and not above
+        that of the merge that takes y away to the right (of equal ranks the left one comes first).
+        """
         known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) > UNITS:
-                self.fits.clear()
-            known = self.fits[a, b] = self.merged([bytes([x]) for x in a + b]) == [a, b]
+        if known is not None:
+            return known
+        rank, made, never = self.rank, self.made, len(self.rank)
+        x, y, x_goes, y_goes, known = a, b, never, never, True
+        while True:
+            r = rank.get((x, y), never)
+            if r < x_goes and r <= y_goes and r < never:
+                known = False
+                break
+            rx, ry = made.get(x, (-1,))[0], made.get(y, (-1,))[0]
+            if rx > ry:
+                x_goes, x = rx, made[x][2]
+            elif ry >= 0:
+                y_goes, y = ry, made[y][1]
+            else:
+                break
+        if len(self.fits) > UNITS:
+            self.fits.clear()
+        self.fits[a, b] = known
         return known
 
     def pretoken(self, raw: bytes) -> list[int]:
         """Token count of every byte prefix of one pretoken, the empty one first."""
-        last: list[bytes | None] = [None] * (len(raw) + 1)
-        count = [0] * (len(raw) + 1)
-        for end in range(1, len(raw) + 1):
-            at, begin = self.back, end
+        size, states = len(raw), self.states
+        short = size <= UNIT_CHARS
+        last: list[bytes | None] = [None]
+        count = [0]
+        begun = 1
+        while short and begun <= size:
+            # words that begin alike share the states of their common prefixes
+            token = states.get(raw[:begun])
+            if token is None:
+                break
+            last.append(token)
+            count.append(count[begun - len(token)] + 1)
+            begun += 1
+        if short and len(states) > 2 * UNITS:
+            states.clear()
+        fits, fit, back = self.fits, self._fit, self.back
+        for end in range(begun, size + 1):
+            at, begin = back, end
             while begin:
                 begin -= 1
                 at = at.get(raw[begin])
                 if at is None:
                     break
                 token = at.get(256)
-                if token is not None and (not begin or last[begin] is not None and self._fit(last[begin], token)):
-                    last[end], count[end] = token, count[begin] + 1
-                    break
+                if token is not None:
+                    before = last[begin]
+                    # a prefix has one last token: the one that fits
+                    if before is None or fits.get((before, token)) or fit(before, token):
+                        last.append(token)
+                        count.append(count[begin] + 1)
+                        if short:
+                            states[raw[:end]] = token
+                        break
         return count
 
     def chars(self, text: str) -> list[int]:
         """Token count of every character prefix of one pretoken, the empty one first."""
-        known = self.known.get(text)
-        if known is not None:
-            return known
         raw = text.encode()
         count = self.pretoken(raw)
         if len(raw) != len(text):
@@ -140,30 +172,36 @@ class Prefixes(dict):
         if text in CONTRACTIONS and len(text) == 3:
             # a prefix that ends before the last letter is an apostrophe and a letter
             count[2] = 2
-        if len(text) <= UNIT_CHARS:
-            if len(self.known) >= UNITS:
-                self.known.clear()
-            self.known[text] = count
         return count
 
+    def own(self, part: str) -> bytes:
+        """Packed steps of one pretoken."""
+        known = self.known.get(part)
+        if known is None:
+            known = _packed(self.chars(part))
+            if len(part) <= UNIT_CHARS:
+                if len(self.known) >= UNITS:
+                    self.known.clear()
+                self.known[part] = known
+        return known
+
     def unit(self, text: str) -> list[int]:
-        """Steps of the count at each character of a unit (white space, then other characters)."""
+        """Token count of every prefix of a unit: white space, then other characters."""
         total, base = [0], 0
         for part in self.pretokens.findall(text):
             count = self.chars(part)
-            total += [base + c for c in count[1:]] if base else count[1:]
+            total += [base + c for c in count[1:]]
             base += count[-1]
         blank = self.blank.match(text).end()
-        if blank > 1:
-            # a prefix that ends in the white space has it as one pretoken
-            total[1:blank + 1] = self.chars(text[:blank])[1:]
-        return [b - a for a, b in zip(total, total[1:])]
+        # a prefix that ends in the white space has it as one pretoken
+        total[1:blank + 1] = self.chars(text[:blank])[1:]
+        return total
 
     def __missing__(self, unit: str) -> bytes:
-        steps = self.unit(unit)
-        if min(steps) <= _WIDE or max(steps) > 127:
-            raise OverflowError
-        found = bytes([x & 255 for x in steps])
+        if self.blank.match(unit).end() > 1:
+            found = _packed(self.unit(unit))
+        else:
+            found = b"".join(map(self.own, self.pretokens.findall(unit)))
         if len(unit) <= UNIT_CHARS:
             if len(self) >= UNITS:
                 self.clear()
@@ -176,7 +214,7 @@ class Prefixes(dict):
         try:
             return b"".join(map(self.__getitem__, units))
         except OverflowError:
-            return np.concatenate([np.array(self.unit(u), np.int64) for u in units])
+            return np.concatenate([np.diff(np.array(self.unit(u), np.int64)) for u in units])
 
     def steps(self, text: str) -> np.ndarray | bytes:
         """Steps of the count at each character of a whole text."""
