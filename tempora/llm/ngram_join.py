@@ -48,6 +48,8 @@ BLOCK_ENTRIES = 2_000_000
 BUCKET_CLASSES = 20_000
 # candidate pairs up to this number are broadcast (32 bytes each)
 BROADCAST_PAIRS = 200_000
+# keys of rows up to this number are broadcast (about 50 bytes each)
+BROADCAST_KEYS = 500_000
 # set digests a map task remembers, to send copies once per task
 SEEN_CLASSES = 200_000
 
@@ -125,7 +127,7 @@ def _incidence(docs: DataFrame, text_col: str, k: int, blocks: int) -> DataFrame
                     count = np.bincount(doc[lo:hi], minlength=len(keep)).astype(np.uint32)
                     has = count > 0
                     for c, v in zip(rows, (q, node[has].tobytes(), n[has].tobytes(),
-                                           count[has].tobytes(), h[lo:hi].tobytes())):
+                                           count[has].tobytes(), _six(h[lo:hi] // np.uint64(blocks)))):
                         rows[c].append(v)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows["block"], pa.int32())] +
@@ -135,15 +137,28 @@ def _incidence(docs: DataFrame, text_col: str, k: int, blocks: int) -> DataFrame
         cut, "block int, nodes binary, ns binary, counts binary, hashes binary")
 
 
+def _six(h: np.ndarray) -> bytes:
+    """The lower 48 bits of each number."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _from_six(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
-def _repeated(entries: DataFrame, buckets: int) -> DataFrame:
+def _repeated(entries: DataFrame, blocks: int, buckets: int) -> DataFrame:
     """Columns of two documents or more, with their counts, packed per class bucket."""
     def reduce(table: pa.Table) -> pa.Table:
         node, n = _joined(table, "nodes", f"V{NODE}"), _joined(table, "ns", np.uint32)
-        count, h = _joined(table, "counts", np.uint32), _joined(table, "hashes", np.uint64)
+        count, h = _joined(table, "counts", np.uint32), _from_six(b"".join(table.column("hashes").to_pylist()))
+        # a column is its 48 bits within the block, and the block
+        h = grams.mix(h + (np.uint64(table.column("block")[0].as_py()) << np.uint64(48)))
         # one row per class: tasks may have sent the same class twice
         key = node.view(">u8").reshape(-1, 2)
         by = np.lexsort((key[:, 1], key[:, 0]))
@@ -179,7 +194,7 @@ def _repeated(entries: DataFrame, buckets: int) -> DataFrame:
                 rows[c].append(v)
         return pa.table([pa.array(rows["bucket"], pa.int32())] +
                         [pa.array(rows[c], pa.binary()) for c in list(rows)[1:]], names=list(rows))
-    return entries.groupBy("block").applyInArrow(
+    return entries.repartition(blocks, "block").groupBy("block").applyInArrow(
         reduce, "bucket int, nodes binary, ns binary, counts binary, hashes binary, dfs binary")
 
 
@@ -188,7 +203,7 @@ def _need(n, num: int, den: int):
     return -(-num * n // den)
 
 
-def _survivors(packed: DataFrame, num: int, den: int) -> DataFrame:
+def _survivors(packed: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
     """Classes with enough repeated columns: (node, n, grams, first_pos, prefix).
 
     ``grams`` are the sorted repeated hashes, ``prefix`` those in whose
@@ -222,7 +237,7 @@ def _survivors(packed: DataFrame, num: int, den: int) -> DataFrame:
         return pa.table([pa.array(out["node"], pa.binary()), pa.array(out["n"], pa.int64()),
                          pa.array(out["grams"], pa.binary()), pa.array(out["first_pos"], pa.int64()),
                          pa.array(out["prefix"], pa.list_(pa.int64()))], names=list(out))
-    return packed.groupBy("bucket").applyInArrow(
+    return packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
         gather, "node binary, n long, grams binary, first_pos long, prefix array<long>")
 
 
@@ -247,6 +262,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFram
     return both.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(decide, "a binary, b binary")
 
 
+def _forget(df: DataFrame) -> None:
+    """Have the driver collect its garbage, so that Spark removes the files of superseded shuffles and checkpoints.
+
+    Otherwise they stay until the driver's memory runs short, and the many small steps of a fixpoint add up on disk.
+    """
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the smallest node of each component, by alternating star steps.
 
@@ -271,6 +294,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*") \
             .where("u <> v").distinct()
         now = cut_lineage(small)
+        del both, low, large, small
+        _forget(now)
     return now.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node") \
         .union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
@@ -333,6 +358,7 @@ def links(rows: DataFrame, num: int, den: int, pivot_rounds: int = 2) -> DataFra
         linked = _verified(pairs, rows, num, den)
         found = cut_lineage(linked if found is None else found.union(linked))
         tested = pairs if tested is None else tested.union(pairs)
+        del p, span, pairs, linked
         label = connected(found)
     return label
 
@@ -346,8 +372,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tu
     total, n_classes = sized.agg(F.sum("n"), F.count("*")).first()
     blocks = max(16, math.ceil((total or 0) / BLOCK_ENTRIES))
     buckets = max(16, math.ceil(n_classes / BUCKET_CLASSES))
-    packed = _repeated(_incidence(docs, text_col, k, blocks), buckets)
-    rows = cut_lineage(_survivors(packed, num, den))
+    rows = cut_lineage(_survivors(_repeated(_incidence(docs, text_col, k, blocks), blocks, buckets), buckets, num, den))
+    _forget(rows)
     label = links(rows, num, den)
     # empty sets share a node but link with nothing
     return base.join(label, "node", "left").withColumn(
@@ -381,10 +407,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("key").alias("_key"), "label")
     lead = found.where("label is not null").groupBy("label") \
         .agg(F.min(F.struct("_null", "_id", "node", "_key")).alias("m")).select("m._null", "m._id", "m._key") \
-        .union(found.where("label is null").select(*same).distinct())
-    # one row per id and text, combined before the shuffle; the join deals by the same columns
+        .withColumn("_lead", F.lit(True))
+    # decided on keys alone: those that go, and those kept that several rows have
+    keys = found.groupBy(*same).agg(F.count("*").alias("_rows"), F.max(F.col("label").isNull()).alias("_alone")) \
+        .join(lead, same, "left").withColumn("_goes", ~F.col("_alone") & F.col("_lead").isNull()) \
+        .where("_goes or _rows > 1").select(*same, "_goes")
+    keys = cut_lineage(keys)
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                        F.col(f"`{id_col}`").cast("long").alias("_i"), _text_key(f"`{text_col}`").alias("_key")) \
         .select("row", F.col("_i").isNull().alias("_null"), F.coalesce("_i", F.lit(0)).alias("_id"), "_key") \
-        .groupBy(*same).agg(F.first("row").alias("row"))
-    return rows.join(lead, same).select("row.*")
+        .join(keys, same, "left")
+    # only rows of one id and text go through an aggregate
+    once = rows.where("_goes is null").select("row")
+    first = rows.where("not _goes").groupBy(*same).agg(F.first("row").alias("row")).select("row")
+    return once.union(first).select("row.*")
