@@ -73,7 +73,8 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     dp = p2 - p1
     dl = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(a))
+    # rounding can take opposite points a little over 1
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
 # --- C9 ---------------------------------------------------------------------

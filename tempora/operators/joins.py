@@ -4,8 +4,8 @@ Dimension joins carry no broadcast hint unless the side has a proven bound:
 adaptive execution measures the built side at run time and turns the join
 into a broadcast when it is small, else keeps a shuffle join whose skewed
 partitions it splits.  The nearest-station join (D5) avoids pairing every
-point with every station: it is an equi-join on grid cells, coarsened level
-by level only for points whose nearest station is not yet proven.
+point with every station: it is an equi-join on cells of space, coarsened
+level by level only for points whose nearest stations are not yet proven.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.scalar import EARTH_RADIUS_M, haversine_m
@@ -53,86 +53,112 @@ def anti_join(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
 
 
 # --- D5 ---------------------------------------------------------------------
-_NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+_AXES = ("_cx", "_cy", "_cz")
+_BLOCK = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
+# stations in the fullest cell when the first cell size is chosen from the data
+AUTO_CELL_STATIONS = 32
+
+
+def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the unit vector (_x, _y, _z) of a position."""
+    la, lo = F.radians(lat), F.radians(lon)
+    return df.withColumn("_x", F.cos(la) * F.cos(lo)).withColumn("_y", F.cos(la) * F.sin(lo)) \
+        .withColumn("_z", F.sin(la))
+
+
+def _in_cells(df: DataFrame, size: float) -> DataFrame:
+    return df.withColumns({c: F.floor(F.col(v) / size) for c, v in zip(_AXES, ("_x", "_y", "_z"))})
+
+
+def _first_cell(stations: DataFrame) -> float:
+    """The largest cell, of sizes 2**-1, 2**-2, ..., in which at most AUTO_CELL_STATIONS stations meet."""
+    sizes = stations.withColumn("_l", F.explode(F.sequence(F.lit(1), F.lit(24)))) \
+        .withColumn("_s", F.pow(F.lit(2.0), -F.col("_l")))
+    full = (sizes.groupBy("_l", *(F.floor(F.col(v) / F.col("_s")).alias(c) for c, v in zip(_AXES, ("_x", "_y", "_z"))))
+            .count().groupBy("_l").agg(F.max("count").alias("n")).where(F.col("n") <= AUTO_CELL_STATIONS))
+    level = full.agg(F.min("_l")).first()[0]
+    return 2.0 ** -(level or 24)
 
 
 def nearest(points: DataFrame, stations: DataFrame, point_key: str, station_key: str,
             lat: str = "latitude", lon: str = "longitude",
             station_lat: str = "latitude", station_lon: str = "longitude",
-            cell_deg: float = 0.5, dist_col: str = "distance_m") -> DataFrame:
-    """Nearest station (and distance in metres) for every point; ties go to
-    the lowest station key.  Exact.
-
-    Multi-resolution grid search.  At level ``l`` the cells are
-    ``cell_deg * 2**l`` degrees; the still-open points are joined (an
-    equi-join on the cell) with the stations of the 3 x 3 cells around
-    their own.  A point is closed once its best distance is below the least
-    distance any station outside that 3 x 3 block can have (one cell plus
-    the point's margin to its cell edge, in latitude or longitude), or once
-    the block covers every station.  The number of levels grows with the log
-    of the distance to the nearest station, and later levels see only the
-    points still open.  Each level's result is checkpointed so lineage stays
-    short; the loop runs over levels, never over data.
+            cell_deg: float | None = 0.5, dist_col: str = "distance_m", k: int = 1,
+            rank_col: str = "rank") -> DataFrame:
+    """The ``k`` nearest stations (and distances in metres) of every point, on the whole sphere; exact.
+
+    Ties go to the lowest station key.  With ``k`` = 1 there is one row per point, else one per point and
+    rank (fewer where there are fewer stations).  A point without coordinates, or no station at all: one
+    row with a NULL station.
+
+    Positions are unit vectors in space, so neither the date line nor a pole is an edge.  Space is cut in
+    cubes of edge ``cell_deg`` (as a chord; None: from the density of the stations), doubled at each level.
+    A station is entered in the 27 cubes around its own and a point looks only into its own, so the points,
+    usually many more, are never multiplied.  A point is closed when its k-th distance is below the least
+    that any station outside its block can have, one edge and the point's margin to the side of its cube,
+    or when the block holds every station.  Later levels see only the points still open.
+
+    Points at one place are one search, and of stations at one place only the ``k`` lowest keys can count,
+    so crowds of either cost nothing.  The candidates of a point are cut to ``k`` before they are shuffled.
+    Each level is checkpointed; the loop runs over levels, never over data.
     """
-    c0 = float(cell_deg)
-    st = stations.select(F.col(station_key).alias("_sid"),
-                         F.col(station_lat).alias("_slat"), F.col(station_lon).alias("_slon")) \
-        .filter(F.col("_slat").isNotNull() & F.col("_slon").isNotNull())
-    ext = st.agg(F.min("_slon").alias("lo0"), F.max("_slon").alias("lo1"),
-                 F.min("_slat").alias("la0"), F.max("_slat").alias("la1"),
-                 F.max(F.abs("_slat")).alias("alat")).first()
-    pts = points.select(F.col(point_key).alias("_pid"), F.col(lat).alias("_plat"),
-                        F.col(lon).alias("_plon"))
+    if k < 1:
+        raise ValueError("k must be 1 or more")
     sid_type = stations.schema[station_key].dataType
-    if ext["lo0"] is None:  # no station at all
-        return pts.select(F.col("_pid").alias(point_key), F.lit(None).cast(sid_type).alias(station_key),
-                          F.lit(None).cast("double").alias(dist_col))
-    cos_s = math.cos(math.radians(min(90.0, ext["alat"])))
-    open_pts = pts.withColumn("_best", F.lit(None).cast(f"struct<d:double,s:{sid_type.simpleString()}>"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
-    done_parts = []
-    level = 0
-    while True:
-        c = c0 * (2 ** level)
-        cells = st.withColumn("_cx", F.floor(F.col("_slon") / c)).withColumn("_cy", F.floor(F.col("_slat") / c))
-        p = (open_pts.withColumn("_cx", F.floor(F.col("_plon") / c))
-             .withColumn("_cy", F.floor(F.col("_plat") / c)))
-        cand = (p.select("_pid", "_plat", "_plon", "_cx", "_cy", F.explode(offs).alias("_o"))
-                .select("_pid", "_plat", "_plon", (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
-                        (F.col("_cy") + F.col("_o.dy")).alias("_cy")))
-        hits = (cand.join(cells, ["_cx", "_cy"])
-                .select("_pid", F.struct(haversine_m("_plat", "_plon", "_slat", "_slon").alias("d"),
-                                         F.col("_sid").alias("s")).alias("_h"))
-                .groupBy("_pid").agg(F.min("_h").alias("_lb")))
-        merged = (p.join(hits, ["_pid"], "left")
-                  .withColumn("_best", F.when(F.col("_best").isNull(), F.col("_lb"))
-                              .when(F.col("_lb").isNull(), F.col("_best"))
-                              .otherwise(F.least("_best", "_lb")))
-                  .drop("_lb"))
-        # every station cell within the 3 x 3 block: nothing can be missed
-        covered = ((F.col("_cx") - 1 <= math.floor(ext["lo0"] / c)) & (F.col("_cx") + 1 >= math.floor(ext["lo1"] / c))
-                   & (F.col("_cy") - 1 <= math.floor(ext["la0"] / c)) & (F.col("_cy") + 1 >= math.floor(ext["la1"] / c)))
-        # least distance to a station outside the block: one cell plus the
-        # point's margin to its own cell edge, in latitude or in longitude
-        fy = F.col("_plat") / c - F.col("_cy")
-        fx = F.col("_plon") / c - F.col("_cx")
-        gap_lat = F.radians((1 + F.least(fy, 1 - fy)) * c)
-        gap_lon = F.radians((1 + F.least(fx, 1 - fx)) * c)
-        bound_lat = F.lit(EARTH_RADIUS_M) * gap_lat
-        bound_lon = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(
-            F.cos(F.radians(F.col("_plat"))) * F.lit(cos_s)) * F.sin(F.least(gap_lon, F.lit(math.pi)) / 2)))
-        closed = covered | (F.col("_best").isNotNull() & (F.col("_best.d") <= F.least(bound_lat, bound_lon)))
-        merged = cut_lineage(merged.withColumn("_closed", closed).drop("_cx", "_cy"))
-        done_parts.append(merged.filter("_closed"))
-        open_pts = merged.filter(~F.col("_closed")).drop("_closed")
-        if open_pts.isEmpty():
-            break
-        level += 1
-    done = done_parts[0]
-    for part in done_parts[1:]:
-        done = done.unionByName(part)
-    return done.select(F.col("_pid").alias(point_key), F.col("_best.s").alias(station_key),
-                       F.col("_best.d").alias(dist_col))
+    real = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    st = stations.select(F.col(station_key).alias("_sid"), F.col(station_lat).cast("double").alias("_slat"),
+                         F.col(station_lon).cast("double").alias("_slon")) \
+        .where(real("_slat") & real("_slon") & F.col("_sid").isNotNull()).distinct() \
+        .withColumn("_n", F.row_number().over(Window.partitionBy("_slat", "_slon").orderBy("_sid"))) \
+        .where(F.col("_n") <= k).drop("_n")
+    st = cut_lineage(_on_sphere(st, "_slat", "_slon"))
+    here = [F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon")]
+    pts = points.select(F.col(point_key).alias("_pid"), *here)
+    best_type = f"array<struct<d:double,s:{sid_type.simpleString()}>>"
+    open_pts = _on_sphere(pts.select("_plat", "_plon").where(real("_plat") & real("_plon")).distinct(), "_plat", "_plon")
+    ext = st.agg(*(f(v).alias(f"{n}{v}") for n, f in (("lo", F.min), ("hi", F.max)) for v in ("_x", "_y", "_z"))).first()
+    done = open_pts.select("_plat", "_plon", F.lit(None).cast(best_type).alias("_best")).limit(0)
+    if ext["lo_x"] is not None:
+        size = _first_cell(st) if cell_deg is None else 2 * math.sin(math.radians(min(float(cell_deg), 180.0)) / 2)
+        around = F.array(*[F.struct(*(F.lit(v).alias(c) for c, v in zip(_AXES, o))) for o in _BLOCK])
+        place = ["_plat", "_plon"]
+        while True:
+            cells = _in_cells(st, size).withColumn("_o", F.explode(around)) \
+                .select("_sid", "_slat", "_slon", *((F.col(c) + F.col(f"_o.{c}")).alias(c) for c in _AXES))
+            p = _in_cells(open_pts, size)
+            hits = p.select(*place, *_AXES).join(cells, list(_AXES)).select(*place, F.struct(
+                haversine_m("_plat", "_plon", "_slat", "_slon").alias("d"), F.col("_sid").alias("s")).alias("_h"))
+            if k == 1:
+                hits = hits.groupBy(*place).agg(F.array(F.min("_h")).alias("_best"))
+            else:
+                # Spark keeps the k first of a place in every task before it shuffles them
+                first = Window.partitionBy(*place).orderBy("_h.d", "_h.s")
+                hits = hits.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k) \
+                    .groupBy(*place).agg(F.sort_array(F.collect_list("_h")).alias("_best"))
+            covered, gap = F.lit(True), None
+            for c, v in zip(_AXES, ("_x", "_y", "_z")):
+                covered = covered & (F.col(c) - 1 <= math.floor(ext[f"lo{v}"] / size)) \
+                    & (F.col(c) + 1 >= math.floor(ext[f"hi{v}"] / size))
+                part = F.col(v) / size - F.col(c)
+                edge = (1 + F.least(part, 1 - part)) * size
+                gap = edge if gap is None else F.least(gap, edge)
+            # a little less, for the rounding of the unit vectors
+            bound = F.lit(2 * EARTH_RADIUS_M * (1 - 1e-9)) * F.asin(F.least(F.lit(1.0), gap / 2))
+            closed = covered | ((F.size("_best") == k) & (F.col("_best")[k - 1]["d"] <= bound))
+            level = cut_lineage(p.join(hits, place, "left").withColumn("_closed", F.coalesce(closed, F.lit(False)))
+                                .drop(*_AXES))
+            done = done.unionByName(level.where("_closed").select(*place, "_best"))
+            open_pts = level.where("not _closed").drop("_closed", "_best")
+            if open_pts.isEmpty():
+                break
+            size *= 2
+    out = pts.join(done, ["_plat", "_plon"], "left")
+    key = F.col("_pid").alias(point_key)
+    if k == 1:
+        return out.select(key, F.col("_best")[0]["s"].alias(station_key), F.col("_best")[0]["d"].alias(dist_col))
+    return out.select(key, F.posexplode_outer("_best").alias("_at", "_b")).select(
+        F.col(point_key), (F.col("_at") + 1).cast("long").alias(rank_col),
+        F.col("_b.s").alias(station_key), F.col("_b.d").alias(dist_col))
 
 
 # --- D6 / D7 ----------------------------------------------------------------

@@ -314,6 +314,16 @@ def _d5(spark, d):
     return out.withColumn("distance_m", F.round("distance_m", 3))
 
 
+@reg("d5_nearest_k3", _with(MUNI, STATIONS) + """SELECT code, station_id, rank, round(d, 3) AS distance_m FROM (
+  SELECT *, row_number() OVER (PARTITION BY code ORDER BY d, station_id) AS rank FROM (
+  SELECT m.code, s.station_id, """ + _HAV.format(lat1="m.latitude", lon1="m.longitude",
+                                               lat2="s.latitude", lon2="s.longitude") + """ AS d
+  FROM muni m, stations s)) WHERE rank <= 3""")
+def _d5_k3(spark, d):
+    out = D.nearest(S.municipalities(spark, d), S.stations(spark, d), "code", "station_id", cell_deg=None, k=3)
+    return out.withColumn("distance_m", F.round("distance_m", 3))
+
+
 @reg("d6_enrich", """SELECT c_custkey, c_name, coalesce(a.acct, c_acctbal) AS c_acctbal, a.n_orders
   FROM customer LEFT JOIN (SELECT o_custkey, round(max(o_totalprice) / 1000.0, 6) AS acct, count(*) AS n_orders
   FROM orders GROUP BY 1) a ON c_custkey = a.o_custkey""")

@@ -220,3 +220,57 @@ def test_nearest_equals_brute_force(spark, cell):
         p1, l1 = math.radians(a), math.radians(b)
         h = np.sin((s[:, 0] - p1) / 2) ** 2 + math.cos(p1) * np.cos(s[:, 0]) * np.sin((s[:, 1] - l1) / 2) ** 2
         assert got[code] == int(np.argmin(h)), code
+
+
+def _globe(n, seed):
+    """Positions everywhere, many at the date line, the poles and at one place."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    rows = [(float(a), float(b)) for a, b in zip(np.degrees(np.arcsin(rng.uniform(-1, 1, n))), rng.uniform(-180, 180, n))]
+    rows += [(float(a), float(s * b)) for a, b, s in
+             zip(rng.uniform(-60, 60, n), rng.uniform(179, 180, n), rng.choice([-1, 1], n))]
+    rows += [(float(s * a), float(b)) for a, b, s in
+             zip(rng.uniform(88, 90, n), rng.uniform(-180, 180, n), rng.choice([-1, 1], n))]
+    return rows + [(0.0, 180.0), (0.0, -180.0), (90.0, 0.0), (-90.0, 33.0), (0.0, 0.0)] + [(12.5, 44.25)] * 7
+
+
+@pytest.mark.parametrize("k,cell", [(1, 0.5), (3, 0.5), (3, None), (1, 40.0), (5, 7.0)])
+def test_nearest_on_the_whole_sphere(spark, k, cell):
+    st = [(i, a, b) for i, (a, b) in enumerate(_globe(25, 1))]
+    pt = [(i, a, b) for i, (a, b) in enumerate(_globe(60, 2))]
+    sdf = spark.createDataFrame(st, "station_id long, latitude double, longitude double").repartition(3)
+    pdf = spark.createDataFrame(pt + [(900, None, 1.0), (901, 2.0, float("nan")), (902, 0.0, 179.9), (902, 0.0, -10.0)],
+                                "code long, latitude double, longitude double")
+    out = D.nearest(pdf, sdf, "code", "station_id", cell_deg=cell, k=k)
+    got = {}
+    for r in out.where("code < 900").collect():
+        got.setdefault(r.code, []).append((r["rank"] if k > 1 else 1, r.station_id, r.distance_m))
+
+    def far(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * 6371008.8 * math.asin(min(1.0, math.sqrt(h)))
+    from tempora.functions.scalar import EARTH_RADIUS_M
+    scale = EARTH_RADIUS_M / 6371008.8
+    for code, a, b in pt:
+        want = sorted((far(a, b, c, d) * scale, i) for i, c, d in st)
+        mine = sorted(got[code])
+        assert [r for r, _, _ in mine] == list(range(1, k + 1))
+        for (_, sid, dist), (wd, _) in zip(mine, want):
+            assert dist == pytest.approx(wd, abs=1e-3)
+            assert far(a, b, *st[sid][1:]) * scale == pytest.approx(dist, abs=1e-3)
+        # exact ties, stations at one place, are in order of their keys
+        same = [s for _, s, x in mine if st[s][1:] == (12.5, 44.25)]
+        assert same == sorted(same)
+    assert {r.code: r.station_id for r in out.where("code in (900, 901)").collect()} == {900: None, 901: None}
+    assert out.where("code = 902").count() == 2 * k
+
+
+def test_nearest_over_the_date_line(spark):
+    stations = spark.createDataFrame([(10, 0.0, -179.9), (11, 0.0, 179.0)], "station_id long, latitude double, longitude double")
+    points = spark.createDataFrame([(1, 0.0, 179.9)], "code long, latitude double, longitude double")
+    assert D.nearest(points, stations, "code", "station_id").first().station_id == 10
+    many = D.nearest(points, stations, "code", "station_id", k=5).orderBy("rank").collect()
+    assert [(r["rank"], r.station_id) for r in many] == [(1, 10), (2, 11)]
+    none = D.nearest(points, stations.limit(0), "code", "station_id").first()
+    assert none.station_id is None and none.distance_m is None
