@@ -4,9 +4,10 @@ All aggregates are plain ``groupBy().agg`` plans, so Spark combines map-side
 before the shuffle and a hot key costs one row per map task.  Whole-frame
 statistics are attached to rows as scalar subqueries (``DataFrame.scalar``),
 which Spark evaluates once; no frame is joined against all rows.
-Exact order statistics (trimmed mean, median absolute deviation) rank rows
-through a range-partitioned sort, so a large group is spread over many
-tasks instead of being held by one.
+Exact order statistics (median, trimmed mean, median absolute deviation)
+count each value once and rank the counted values through a range-partitioned
+sort, so neither a large group nor a value that many rows share is held by
+one task.
 """
 
 from __future__ import annotations
@@ -69,9 +70,8 @@ def group_agg(df: DataFrame, group_col: str, agg: str, response: str,
     name = f"{agg}_{response}"
     data = _not_null_keys(df, [group_col])
     if agg == "median":
-        # exact and skew-safe: ranks from a range-partitioned sort, no value map per group
-        ranked = rank_within(data.select(group_col, response), [group_col], response)
-        out = _median_from_ranks(ranked, [group_col], response).withColumnRenamed("median", name)
+        # exact and skew-safe: weighted ranks of the distinct values, no value map per group
+        out = _median(counted(data, [group_col], response), [group_col], response, name)
         groups = data.select(group_col).distinct()
         out = groups.join(out, [group_col], "left")
     else:
@@ -101,45 +101,49 @@ def mean_std(df: DataFrame, col: str, by=None) -> DataFrame:
 
 
 # --- exact ranks without one-task windows -------------------------------------
-def rank_within(df: DataFrame, by, col: str, rank_col: str = "_rank",
-                n_col: str = "_n", num_partitions: int | None = None) -> DataFrame:
-    """Add the 1-based rank of ``col`` (ascending, nulls removed) inside each
-    group and the group's size.
-
-    Rows are range-partitioned on (group, value): a group larger than one
-    partition is cut into value slices held by different tasks.  Each task
-    numbers its slice; the slice offsets come from a running sum over the
-    (partition, group) count table, which has at most partitions x groups
-    rows.
+def counted(df: DataFrame, by, col: str, weight: str | None = None) -> DataFrame:
+    """(group..., value, _w): each value of ``col`` once per group, with the number of its rows (nulls removed)."""
+    keys = _cols(by)
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(n.alias("_w"))
+
+
+def weighted_ranks(values: DataFrame, by, col: str, num_partitions: int | None = None) -> DataFrame:
+    """Add to a :func:`counted` table the ranks of each value's rows in its group, ``_before`` + 1 to ``_upto``,
+    and the group's number of rows ``_n``.
+
+    Equal values are one row, however many rows they stand for, so a value that a third of all rows share
+    fills no task.  The values are range-partitioned on (group, value): a group larger than one partition is
+    cut into slices held by different tasks.  Each slice adds up its counts; its offset comes from a running
+    sum over the (slice, group) totals, at most partitions x groups rows.
     """
     keys = _cols(by)
-    data = df.filter(F.col(col).isNotNull())
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from sampling and differ between evaluations, so the
-    # slice assignment is checkpointed once; both branches below (and any
-    # recomputation after a lost executor) then read the same slices.
-    ranged = cut_lineage(data.repartitionByRange(n, *[F.col(k) for k in keys], F.col(col))
+    n = num_partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Range bounds come from sampling and differ between evaluations, so the slice assignment is checkpointed
+    # once; both branches below (and any recomputation after a lost executor) then read the same slices.
+    ranged = cut_lineage(values.repartitionByRange(n, *[F.col(k) for k in keys], F.col(col))
                          .withColumn("_slice", F.spark_partition_id()))
-    w_in = Window.partitionBy(*keys, "_slice").orderBy(F.col(col))
-    local = ranged.withColumn("_local", F.row_number().over(w_in))
-    counts = local.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.partitionBy(*keys).orderBy("_slice")
-    offsets = (counts
-               .withColumn("_off", F.coalesce(F.sum("_cnt").over(
-                   w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn(n_col, F.sum("_cnt").over(Window.partitionBy(*keys)))
-               .drop("_cnt"))
-    return (local.join(offsets, [*keys, "_slice"])
-            .withColumn(rank_col, F.col("_off") + F.col("_local"))
-            .drop("_slice", "_local", "_off"))
-
-
-def _median_from_ranks(ranked: DataFrame, keys, col: str, rank_col="_rank", n_col="_n") -> DataFrame:
-    """Median (mean of the two middle values for even sizes) per group."""
-    lo = F.floor((F.col(n_col) + 1) / 2)
-    hi = F.floor(F.col(n_col) / 2) + 1
-    mid = ranked.filter((F.col(rank_col) == lo) | (F.col(rank_col) == hi))
-    return mid.groupBy(*keys).agg(F.avg(col).alias("median"))
+    totals = ranged.groupBy(*keys, "_slice").agg(F.sum("_w").alias("_sum"))
+    group = Window.partitionBy(*keys)
+    offsets = totals.select(
+        *keys, "_slice", F.sum("_sum").over(group).alias("_n"),
+        F.coalesce(F.sum("_sum").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"))
+    inside = F.sum("_w").over(Window.partitionBy(*keys, "_slice").orderBy(F.col(col))
+                              .rowsBetween(Window.unboundedPreceding, 0))
+    return (ranged.withColumn("_in", inside).join(offsets, [*keys, "_slice"])
+            .withColumn("_upto", F.col("_off") + F.col("_in"))
+            .withColumn("_before", F.col("_upto") - F.col("_w"))
+            .drop("_slice", "_off", "_in"))
+
+
+def _median(values: DataFrame, keys, col: str, alias: str = "median") -> DataFrame:
+    """Median (mean of the two middle rows for even sizes) per group of a :func:`counted` table."""
+    ranked = weighted_ranks(values, keys, col)
+    holds = lambda r: ((F.col("_before") < r) & (r <= F.col("_upto"))).cast("int")
+    middle = holds(F.floor((F.col("_n") + 1) / 2)) + holds(F.floor(F.col("_n") / 2) + 1)
+    return (ranked.withColumn("_m", middle).filter("_m > 0").groupBy(*keys)
+            .agg((F.sum(F.col(col) * F.col("_m")) / 2).alias(alias)))
 
 
 # --- E5 ---------------------------------------------------------------------
@@ -147,10 +151,12 @@ def trimmed_mean(df: DataFrame, col: str, p: float, by=None) -> DataFrame:
     """Mean after cutting ``floor(p*n)`` values from each end (scipy
     ``trim_mean``), exact, per group or over the frame."""
     keys = _cols(by)
-    ranked = rank_within(df.select(*keys, col), keys, col)
+    ranked = weighted_ranks(counted(df, keys, col), keys, col)
     g = F.floor(F.col("_n") * F.lit(p))
-    kept = ranked.filter((F.col("_rank") > g) & (F.col("_rank") <= F.col("_n") - g))
-    return kept.groupBy(*keys).agg(F.avg(col).alias("trimmed_mean"))
+    # rows of this value that neither end takes away
+    kept = F.greatest(F.lit(0), F.least("_upto", F.col("_n") - g) - F.greatest("_before", g))
+    return (ranked.withColumn("_k", kept).filter("_k > 0").groupBy(*keys)
+            .agg((F.sum(F.col(col) * F.col("_k")) / F.sum("_k")).alias("trimmed_mean")))
 
 
 # --- E6 ---------------------------------------------------------------------
@@ -158,24 +164,24 @@ def mad(df: DataFrame, col: str, by=None, scale: float = MAD_NORMAL_SCALE,
         approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Median absolute deviation, raw (``mad``) and scaled (``mad_scaled``).
 
-    Exact by default (two rank passes); ``approx=True`` uses
+    Exact by default (two passes over weighted ranks; the second one starts
+    from the counted values of the first); ``approx=True`` uses
     ``percentile_approx`` for both medians instead.
     """
     keys = _cols(by)
-    data = df.select(*keys, col).filter(F.col(col).isNotNull())
+    values = df.select(*keys, col).filter(F.col(col).isNotNull())
     if approx:
-        med = data.groupBy(*keys).agg(F.percentile_approx(col, 0.5, accuracy).alias("_med"))
+        med = values.groupBy(*keys).agg(F.percentile_approx(col, 0.5, accuracy).alias("_med"))
     else:
-        med = _median_from_ranks(rank_within(data, keys, col), keys, col) \
-            .withColumnRenamed("median", "_med")
-    dev = (data.join(med, keys) if keys else
-           data.withColumn("_med", med.select("_med").scalar()))
-    dev = dev.select(*keys, F.abs(F.col(col) - F.col("_med")).alias("_dev"))
+        values = cut_lineage(counted(values, keys, col))
+        med = _median(values, keys, col, "_med")
+    dev = (values.join(med, keys) if keys else
+           values.withColumn("_med", med.select("_med").scalar()))
+    dev = dev.withColumn("_dev", F.abs(F.col(col) - F.col("_med")))
     if approx:
         out = dev.groupBy(*keys).agg(F.percentile_approx("_dev", 0.5, accuracy).alias("mad"))
     else:
-        out = _median_from_ranks(rank_within(dev, keys, "_dev"), keys, "_dev") \
-            .withColumnRenamed("median", "mad")
+        out = _median(counted(dev, keys, "_dev", "_w"), keys, "_dev", "mad")
     return out.withColumn("mad_scaled", F.col("mad") * F.lit(scale))
 
 

@@ -274,3 +274,49 @@ def test_nearest_over_the_date_line(spark):
     assert [(r["rank"], r.station_id) for r in many] == [(1, 10), (2, 11)]
     none = D.nearest(points, stations.limit(0), "code", "station_id").first()
     assert none.station_id is None and none.distance_m is None
+
+
+def _order_statistics(rows, p=0.1):
+    import numpy as np
+    out = {}
+    for k in {k for k, _ in rows}:
+        v = np.sort([x for kk, x in rows if kk == k and x is not None])
+        g = math.floor(p * len(v))
+        if len(v):
+            med = float(np.median(v))
+            out[k] = (float(v[g:len(v) - g].mean()), med, float(np.median(np.abs(v - med))))
+    return out
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "8"])
+def test_order_statistics_with_a_hot_value(spark, partitions):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = [("a", 0.0)] * 1500 + [("a", float(x)) for x in rng.normal(0, 1, 1501)]
+    rows += [("b", float(x)) for x in rng.integers(-3, 4, 700)] + [("c", 5.0), ("c", None), ("d", None), ("e", 1.0), ("e", 2.0)]
+    rows += [("a", None)] * 5
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    want = _order_statistics(rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        tm = {r.k: r.trimmed_mean for r in E.trimmed_mean(df, "v", 0.1, "k").collect()}
+        md = {r.k: r.mad for r in E.mad(df, "v", "k").collect()}
+        med = {r.k: r.median_v for r in E.group_agg(df, "k", "median", "v").collect()}
+        # every value is one row of the ranked table: no slice holds the rows of the hot one
+        ranked = E.weighted_ranks(E.counted(df, "k", "v"), "k", "v").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for k, (t, m, d) in want.items():
+        assert (tm[k], med[k], md[k]) == (pytest.approx(t), pytest.approx(m), pytest.approx(d)), k
+    assert med["d"] is None and "d" not in tm and "d" not in md
+    hot = [r for r in ranked if r.k == "a" and r.v == 0.0]
+    assert len(hot) == 1 and hot[0]["_w"] == 1500 and hot[0]["_upto"] - hot[0]["_before"] == 1500
+    assert len(ranked) == len({(k, v) for k, v in rows if v is not None})
+
+
+def test_weighted_ranks_without_a_group(spark):
+    df = spark.createDataFrame([(2.0,), (1.0,), (2.0,), (None,), (9.0,)], "v double")
+    got = sorted((r.v, r["_before"], r["_upto"], r["_n"]) for r in E.weighted_ranks(E.counted(df, None, "v"), None, "v").collect())
+    assert got == [(1.0, 0, 1, 4), (2.0, 1, 3, 4), (9.0, 3, 4, 4)]
+    assert E.trimmed_mean(df, "v", 0.25).first()[0] == 2.0 and E.mad(df, "v").first().mad == 0.5
