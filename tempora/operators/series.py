@@ -6,7 +6,8 @@ series holding a third of the data that task is the job.  The operators in
 
 * :func:`with_position` numbers the rows of every series 0..n-1.  Rows are
   ranked inside (series, time bucket) and each bucket's offset comes from a
-  running sum over the small (series, bucket) count table.
+  running sum over the small (series, bucket) count table.  Buckets that
+  hold very many rows are split by finer digits of the time.
 * :func:`halo` cuts a series into chunks of ``chunk_rows`` positions and
   copies the few rows a bounded frame needs from the neighbouring chunks,
   so ``rowsBetween(-before, after)`` over (series, chunk) equals the frame
@@ -55,13 +56,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 NUMERIC_BUCKET = 1 << 16
+# rows of one series in one bucket beyond which buckets are split, and the size of an input (as Spark estimates
+# it) that no bucket needs splitting for: one task can take it all
+DENSE_ROWS = 1 << 20
+SMALL_BYTES = 128 << 20
 
 
 def default_bucket(df: DataFrame, col: str) -> Column:
     """A coarse bucket of an order column: the day of a time (the month of a
     date), a block of ``NUMERIC_BUCKET`` values of a number, one bucket
-    otherwise.  Pass a finer ``bucket`` to :func:`with_position` when one
-    series holds very many rows per day."""
+    otherwise."""
     t = df.schema[col].dataType.typeName()
     if t in ("timestamp", "timestamp_ntz"):
         return F.date_trunc("day", F.col(col))
@@ -72,34 +76,78 @@ def default_bucket(df: DataFrame, col: str) -> Column:
     return F.lit(0)
 
 
+def finer_buckets(df: DataFrame, col: str) -> list[Column]:
+    """Order-compatible parts of a bucket of :func:`default_bucket`, each with a bounded number of values: the
+    second of the day and its microsecond for a time, the day of the month for a date, 2**22 parts of a block
+    of numbers; none for other types."""
+    t = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if t in ("timestamp", "timestamp_ntz"):
+        micros = F.expr(f"cast(extract(second from `{col}`) * 1000000 as long)")
+        return [F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(micros / 1000000), micros % 1000000]
+    if t == "date":
+        return [F.dayofmonth(c)]
+    if t in ("long", "integer", "short", "byte", "double", "float", "decimal"):
+        return [F.floor((c - F.floor(c / NUMERIC_BUCKET) * NUMERIC_BUCKET) * 64)]
+    return []
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def with_position(df: DataFrame, by, order: Sequence[str], pos: str = "_pos",
-                  bucket: Column | None = None, balanced: bool = False) -> DataFrame:
+                  bucket: Column | None = None, balanced: bool = False,
+                  dense_rows: int | None = None) -> DataFrame:
     """Add the 0-based row position of each row within its series.
 
-    ``order`` must be a total order within a series (add a tie-break).
-    ``bucket`` is a coarse, order-compatible expression (default: see
-    :func:`default_bucket`) that splits large series across tasks.
-    ``balanced`` cuts by row counts instead: rows are range-partitioned on
-    (series, order), so that a series of any density becomes slices of about
-    equal size.  That costs a sort of the keys and a checkpoint, as range
-    bounds are sampled and have to be the same for both uses below.
+    ``order`` must be a total order within a series (add a tie-break).  Rows are ranked inside (series,
+    bucket); the bucket is a coarse, order-compatible expression (default: see :func:`default_bucket`).
+    Where a series has more than ``dense_rows`` rows in a bucket, which a count per (series, bucket) tells,
+    buckets are split by finer digits of the order column (:func:`finer_buckets`) and counted again.  The
+    offsets are running sums level by level, each over the bounded number of parts of one bucket, so a
+    series-day with a third of all rows is as many groups as it has seconds.  The count is spared for inputs
+    that are small as a whole.
+
+    A ``bucket`` of one's own is used as it is.  ``balanced`` cuts by row counts instead, for order columns
+    without digits (strings): rows are range-partitioned on (series, order), which costs a sort of the keys
+    and a checkpoint, as range bounds are sampled and have to be the same for both uses below.
     """
     keys = keys_of(by)
     order = list(order)
     if balanced:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("_bkt", F.spark_partition_id()))
+        d, levels = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("_b0", F.spark_partition_id())), ["_b0"]
+    elif bucket is not None:
+        d, levels = df.withColumn("_b0", bucket), ["_b0"]
     else:
-        d = df.withColumn("_bkt", bucket if bucket is not None else default_bucket(df, order[0]))
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    d = d.withColumn("_rin", F.row_number().over(w_in) - 1)
-    counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_bc"))
-    w_sum = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(UNB_PREC, -1)
-    offs = counts.select(*keys, "_bkt",
-                         F.coalesce(F.sum("_bc").over(w_sum), F.lit(0)).alias("_boff"))
-    return (join_on(d, offs, [*keys, "_bkt"])
+        d, levels = df.withColumn("_b0", default_bucket(df, order[0])), ["_b0"]
+        if _estimated_bytes(df) > SMALL_BYTES:
+            most = DENSE_ROWS if dense_rows is None else dense_rows
+            for part in finer_buckets(df, order[0]):
+                if d.groupBy(*keys, *levels).count().where(F.col("count") > most).isEmpty():
+                    break
+                levels.append(f"_b{len(levels)}")
+                d = d.withColumn(levels[-1], part)
+    d = d.withColumn("_rin", F.row_number().over(Window.partitionBy(*keys, *levels).orderBy(*order)) - 1)
+    counts = d.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_bc"))
+    offs = None
+    while levels:
+        outer = [*keys, *levels[:-1]]
+        before = F.coalesce(F.sum("_bc").over(Window.partitionBy(*outer).orderBy(levels[-1]).rowsBetween(UNB_PREC, -1)),
+                            F.lit(0))
+        here = counts.select(*outer, levels[-1], before.alias("_boff"))
+        if offs is None:
+            offs, all_levels = here, list(levels)
+        else:
+            offs = join_on(offs, here.withColumnRenamed("_boff", "_more"), [*outer, levels[-1]]) \
+                .withColumn("_boff", F.col("_boff") + F.col("_more")).drop("_more")
+        levels = levels[:-1]
+        if levels:
+            counts = counts.groupBy(*keys, *levels).agg(F.sum("_bc").alias("_bc"))
+    return (join_on(d, offs, [*keys, *all_levels])
             .withColumn(pos, F.col("_boff") + F.col("_rin"))
-            .drop("_bkt", "_rin", "_boff"))
+            .drop("_rin", "_boff", *all_levels))
 
 
 def epoch_seconds(df: DataFrame, col: str) -> Column:

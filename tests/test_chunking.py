@@ -2,6 +2,8 @@
 
 Tiny chunks force every halo and carry path on the driver tables."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,110 @@ def test_hot_series_is_split_into_bounded_chunks(spark):
     hot = [float(i % 17) for i in range(600)]
     med = statistics.median(hot)
     assert got["hot"] == statistics.median([abs(v - med) for v in hot])
+
+
+def _simulated(n, phi, season_phi, theta, season_theta, season, seed):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    e, d = rng.normal(0, 1, n), np.zeros(n)
+    for t in range(season, n):
+        d[t] = 0.1 + phi * d[t - 1] + season_phi * d[t - season] + e[t] + theta * e[t - 1] + season_theta * e[t - season]
+    return np.cumsum(d), e
+
+
+def test_moving_average_terms_are_recovered(spark):
+    season, n = 6, 6000
+    rows, true = [], {"a": (0.5, 0.2, 0.4, 0.3), "b": (-0.3, 0.3, 0.5, -0.4)}
+    for i, (k, (phi, sp, th, sth)) in enumerate(true.items()):
+        y, _ = _simulated(n, phi, sp, th, sth, season, i)
+        rows += [(k, t, float(v)) for t, v in enumerate(y)]
+    rows += [("few", t, float(t)) for t in range(10)]
+    df = spark.createDataFrame(rows, "k string, t long, y double").repartition(5)
+    lags = list(range(1, 25))
+    # chunks far shorter than a series
+    feats = FC.forecast_features(df, "k", ["t"], "y", season, lags=lags, chunk_rows=100)
+    shocks = FC.with_shocks(feats, "k", n - 200, "t", [1, season], lags, chunk_rows=100).cache()
+    fit = {r.k: r for r in FC.fit_arma(shocks, "k", n - 200, "t", season, [1, season]).collect()}
+    for k, want in true.items():
+        assert [float(c) for c in fit[k].coef[1:]] == pytest.approx(list(want), abs=0.12), k
+        assert fit[k].sigma2 == pytest.approx(1.0, abs=0.1)
+    # the shocks explain more than an autoregression of the same lags does
+    plain = {r.k: r for r in FC.fit_ar(feats, "k", n - 200, "t", season).collect()}
+    assert all(fit[k].sigma2 < plain[k].sigma2 for k in true)
+    step = FC.predict_one_step(shocks.where(f"t >= {n - 200}"), FC.fit_arma(shocks, "k", n - 200, "t", season, [1, season]),
+                               "k", "y", season, ma=[1, season])
+    err = {r.k: r.m for r in step.groupBy("k").agg(F.avg(F.pow(F.col("y") - F.col("y_hat"), 2)).alias("m")).collect()}
+    assert all(err[k] < 1.4 for k in true)
+    fc = FC.fit_forecast(feats, "k", "t", "y", n - 200, 20, season, ma=[1, season], long_lags=lags)
+    got = {(r.k, r.t): r for r in fc.collect()}
+    assert len(got) == 40 and {k for k, _ in got} == {"a", "b"}
+    # brute force of the recursion and the interval
+    import numpy as np
+    known = {(r.k, r.t): r for r in shocks.where(f"t >= {n - 220}").collect()}
+    for k in true:
+        c, phi, sp, th, sth = fit[k].coef
+        level = {t: known[k, t].y for t in range(n - 220, n - 200)}
+        e = {t: known[k, t].e if t < n - 200 else 0.0 for t in range(n - 220, n)}
+        d = {t: known[k, t].dy for t in range(n - 220, n - 200)}
+        psi = [1.0]
+        for h in range(20):
+            t = n - 200 + h
+            d[t] = c + phi * d[t - 1] + sp * d[t - season] + th * e[t - 1] + sth * e[t - season]
+            level[t] = level[t - 1] + d[t]
+            assert got[k, t].forecast == pytest.approx(level[t])
+            half = FC.Z95 * math.sqrt(fit[k].sigma2 * sum(x * x for x in psi[:h + 1]))
+            assert got[k, t].upper - got[k, t].forecast == pytest.approx(half)
+            j = h + 1
+            at = lambda i: psi[j - i] if 0 <= j - i < len(psi) else 0.0
+            psi.append((1 + phi) * at(1) - phi * at(2) + sp * at(season) - sp * at(season + 1)
+                       + (th if j == 1 else 0) + (sth if j == season else 0))
+
+
+def _dense_rows(kind):
+    """Rows of three series; a third of all rows lie in one day (hour, block) of the first."""
+    import datetime as dt
+    import random
+    rng = random.Random(3)
+    t0 = dt.datetime(2024, 3, 10)
+    rows = []
+    for i in range(1800):
+        k = "hot" if i % 3 == 0 else rng.choice(["hot", "b", None])
+        if i % 3 == 0:
+            at = t0 + dt.timedelta(seconds=rng.choice([0, 7, 5000, 86399]), microseconds=rng.choice([0, 1, 500000, 999999]))
+        else:
+            at = t0 + dt.timedelta(days=rng.randint(-40, 40), seconds=rng.randint(0, 86399))
+        rows.append((k, None if i == 77 else at, i))
+    number = lambda t: None if t is None else (t - t0).total_seconds() * 3.7
+    return [(k, t if kind != "date" else t and t.date(), number(t), i) for k, t, i in rows]
+
+
+@pytest.mark.parametrize("kind,col", [("timestamp_ntz", "t"), ("timestamp", "t"), ("date", "t"), ("timestamp_ntz", "x")])
+def test_positions_split_dense_buckets(spark, monkeypatch, kind, col):
+    from tempora.operators import series
+    monkeypatch.setattr(series, "SMALL_BYTES", 0)
+    rows = _dense_rows(kind)
+    df = spark.createDataFrame(rows, f"k string, t {kind}, x double, i long").repartition(6)
+    want = {}
+    at = 1 if col == "t" else 2
+    for key in ("hot", "b", None):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[at] is not None, r[at] or 0, r[3]) if r[at] is not None
+                     else (False, 0, r[3]))
+        want.update({r[3]: n for n, r in enumerate(own)})
+    for dense in (10 ** 9, 100, 1):
+        out = with_position(df, "k", [col, "i"], dense_rows=dense)
+        assert {r.i: r["_pos"] for r in out.collect()} == want
+        assert out.columns == [*df.columns, "_pos"]
+
+
+def test_a_dense_day_is_many_groups(spark, monkeypatch):
+    from tempora.operators import series
+    monkeypatch.setattr(series, "SMALL_BYTES", 0)
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 500 as string)) k", "id i",
+                                        "timestamp_seconds(if(id % 3 = 0, 1700000000 + id, 1600000000 + id * 977)) t")
+    plan = lambda **a: with_position(df, "k", ["t", "i"], **a)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_b1" in plan(dense_rows=1000) and "_b1" not in plan(dense_rows=20_000)
+    groups = df.withColumn("_b0", series.default_bucket(df, "t")).withColumn("_b1", series.finer_buckets(df, "t")[0])
+    assert groups.where("k = 'hot'").groupBy("_b0", "_b1").count().agg(F.max("count")).first()[0] < 20
+    # an input that is small as a whole is not counted
+    monkeypatch.setattr(series, "SMALL_BYTES", 1 << 40)
+    assert "_b1" not in plan(dense_rows=1)
