@@ -3,6 +3,8 @@ DDL, table swaps) are tested in ``tests/test_sources.py``."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +87,19 @@ def _a7(spark, d):
     return A.upsert_frame(target, new, ["id"], order="hourutc")
 
 
+@check("a7_upsert_buckets", _with(READINGS) + """SELECT id, hourutc, municipalityno, branche, value * 2.0 AS value
+  FROM readings WHERE hourutc >= TIMESTAMP '2024-01-15'
+  UNION ALL SELECT * FROM readings WHERE hourutc < TIMESTAMP '2024-01-20'
+    AND id NOT IN (SELECT id FROM readings WHERE hourutc >= TIMESTAMP '2024-01-15')""")
+def _a7_buckets(spark, d):
+    target, new = _split(spark, d)
+    view = f"keyed_{uuid.uuid4().hex}"
+    A.create_keyed_table(spark, view, _scratch(spark, "keyed"), target.schema, ["id"], buckets=8)
+    for frame in (target, new):
+        A.upsert_buckets(spark, view, frame, order="hourutc")
+    return spark.table(view)
+
+
 @check("a8_insert_if_absent_frame", _with(READINGS) + """SELECT id, hourutc, municipalityno, branche, value * 2.0 AS value
   FROM readings WHERE hourutc >= TIMESTAMP '2024-01-15'
     AND id NOT IN (SELECT id FROM readings WHERE hourutc < TIMESTAMP '2024-01-20')""")
@@ -103,7 +118,6 @@ def _a9(spark, d):
 
 def _scratch(spark, name: str) -> str:
     """A fresh folder under the cluster's checkpoint folder."""
-    import uuid
     from tempora.session import checkpoint_dir
     return f"{checkpoint_dir(spark).rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
 
@@ -138,3 +152,22 @@ def _b2i(spark, d):
     from tempora.functions import columns as B
     from tempora.plans.registry import rounded
     return rounded(B.index_to_column(S.gas_daily(spark, d), "idx", ["day"]))
+
+
+@check("a10_create_table", """SELECT sha256(CAST(n_nationkey AS VARCHAR)) AS id, n_nationkey, n_name, n_regionkey
+  FROM nation""")
+def _a10(spark, d):
+    rows = A.with_id(S.table(spark, d, "nation"), ["n_nationkey"])
+    name = f"nation_{uuid.uuid4().hex}"
+    A.create_table(spark, rows.drop("id").schema, "tempora_checks", name)
+    A.append(rows, f"tempora_checks.{name}")
+    return spark.table(f"tempora_checks.{name}")
+
+
+@check("a11_replace_table", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+def _a11(spark, d):
+    rows = S.table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    table = f"customer_{uuid.uuid4().hex}"
+    A.replace_table(spark, rows, table)
+    A.replace_table(spark, spark.table(table).where("c_acctbal > 0"), table)
+    return spark.table(table)

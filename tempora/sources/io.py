@@ -2,13 +2,14 @@
 
 Everything reads through ``spark.read`` with an explicit schema (no
 inference) and writes through ``DataFrameWriter``.  Writes that replace a
-table never overwrite the table being read: the new version is written
-under a fresh name and swapped in, so a failed job leaves the old table
+table never overwrite the table being read: the new version is written to
+a fresh folder and then pointed to, so a failed job leaves the old table
 intact.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.functions.scalar import random_key, row_key
+from tempora.session import cut_lineage
 
 
 # --- A1 ---------------------------------------------------------------------
@@ -142,26 +144,125 @@ def insert_if_absent_frame(target: DataFrame, new: DataFrame, key: Sequence[str]
     return latest_per_key(new, key).select(*new.columns).join(target.select(*key).distinct(), key, "left_anti")
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _restore(spark: SparkSession, table: str) -> None:
+    """Undo a swap that ended between its renames: the old version gets its name back."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__prev"):
+        spark.sql(f"ALTER TABLE {table}__prev RENAME TO {table}")
+
+
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
+
+
 def _swap_in(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Write ``df`` as ``table``: to ``table__next`` first, then rename.
+    """Write ``df`` as ``table``, whose old rows are read until the new ones are whole.
 
-    The old version is renamed aside before the new one takes its name and
-    dropped last; a failure before the renames leaves ``table`` untouched.
+    An existing table of the same columns gets a new folder, and one catalogue call points the table to it:
+    the name is never missing.  The old folder is removed last.  With other columns, which that call cannot
+    change, the new version is written as ``table__next`` and takes the name; the old one is renamed aside
+    before and dropped last, and if that ends between the renames, the next call gives it its name back.
     """
-    nxt, old = f"{table}__next", f"{table}__prev"
+    _restore(spark, table)
+    if spark.catalog.tableExists(table) and _same_columns(spark.table(table).schema, df.schema):
+        old = _location(spark, table)
+        new = f"{old.split('__v')[0].rstrip('/')}__v{uuid.uuid4().hex}"
+        df.write.parquet(new)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        spark.catalog.refreshTable(table)
+        path = spark._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        return
+    nxt, prev = f"{table}__next", f"{table}__prev"
     spark.sql(f"DROP TABLE IF EXISTS {nxt}")
-    df.write.mode("overwrite").saveAsTable(nxt)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    df.write.format("parquet").mode("overwrite").saveAsTable(nxt)
+    spark.sql(f"DROP TABLE IF EXISTS {prev}")
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {prev}")
     spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"DROP TABLE IF EXISTS {prev}")
+
+
+# --- A7 in buckets ------------------------------------------------------------
+BUCKETS = 64
+
+
+def _bucket(key: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _folders(spark: SparkSession, view: str) -> tuple[dict[str, str], dict[int, str]]:
+    """Properties of a keyed table, and the current folder of each of its buckets."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    rows = spark.read.parquet(props["tempora.manifest"]).collect()
+    return props, {r["bucket"]: r["folder"] for r in rows if r["folder"]}
+
+
+def _point_to(spark: SparkSession, view: str, base: str, key: Sequence[str], buckets: int, schema: T.StructType,
+              folders: dict[int, str]) -> None:
+    """Make ``folders`` the current version: a manifest for writers and, in one catalogue call, the view for readers."""
+    manifest = f"{base}/manifests/{uuid.uuid4().hex}"
+    spark.createDataFrame([(b, folders.get(b)) for b in range(buckets)], "bucket int, folder string") \
+        .coalesce(1).write.parquet(manifest)
+    cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+    if folders:
+        # one relation over the folders of all buckets
+        parts = sorted(f.removeprefix(f"{base}/") for f in folders.values())
+        source = f"parquet.`{base}/{{{','.join(parts)}}}`"
+    else:
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+        source = f"(SELECT {nulls}) WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('tempora.manifest' = '{manifest}', "
+              f"'tempora.base' = '{base}', 'tempora.key' = '{','.join(key)}', 'tempora.buckets' = '{buckets}') "
+              f"AS SELECT {cols} FROM {source}")
+
+
+def create_keyed_table(spark: SparkSession, view: str, base: str, schema: T.StructType, key: Sequence[str],
+                       buckets: int = BUCKETS) -> None:
+    """An empty table for :func:`upsert_buckets`, read under the name ``view``; its files lie under ``base``."""
+    _point_to(spark, view, base.rstrip("/"), list(key), buckets, schema, {})
+
+
+def upsert_buckets(spark: SparkSession, view: str, updates: DataFrame, order: str | None = None,
+                   files_per_bucket: int = 1) -> list[int]:
+    """Upsert into a keyed table, reading and writing only the buckets that have updates; returns these.
+
+    Rows lie in buckets by the hash of their key.  The buckets with updates are merged (last write wins, see
+    :func:`upsert_frame`) into new folders; the others keep their files.  Then the view, which names the
+    current folder of every bucket, is replaced in one call: readers see the version before or the one after,
+    and a run that ends early leaves the one before.  Folders of older versions stay, for readers still on
+    them, and may be removed when none is.  One writer at a time.
+    """
+    props, folders = _folders(spark, view)
+    base, key, buckets = props["tempora.base"], props["tempora.key"].split(","), int(props["tempora.buckets"])
+    schema = spark.table(view).schema
+    updates = cut_lineage(latest_per_key(updates, key, order).select(*schema.names)
+                          .withColumn("bucket", _bucket(key, buckets)))
+    touched = sorted(r[0] for r in updates.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    new = updates.drop("bucket")
+    have = [folders[b] for b in touched if b in folders]
+    merged = upsert_frame(spark.read.schema(schema).parquet(*have), new, key) if have else new
+    version = uuid.uuid4().hex
+    (merged.withColumn("bucket", _bucket(key, buckets))
+     .repartition(len(touched) * files_per_bucket, "bucket", F.pmod(F.hash(*key), F.lit(files_per_bucket)))
+     .write.partitionBy("bucket").parquet(f"{base}/{version}"))
+    _point_to(spark, view, base, key, buckets, schema,
+              {**folders, **{b: f"{base}/{version}/bucket={b}" for b in touched}})
+    return touched
 
 
 def upsert(spark: SparkSession, table: str, updates: DataFrame, key: Sequence[str],
            order: str | None = None) -> None:
     """Upsert by key into a managed table (last write wins); running it
-    twice with the same updates leaves the same table."""
+    twice with the same updates leaves the same table.  The whole table is
+    written; for few updates to a large table see :func:`upsert_buckets`."""
+    _restore(spark, table)
     if not spark.catalog.tableExists(table):
         _swap_in(spark, latest_per_key(updates, key, order).select(*updates.columns), table)
         return
@@ -173,7 +274,7 @@ def insert_if_absent(spark: SparkSession, table: str, new: DataFrame, key: Seque
     """Append the rows whose key is new; returns how many were added.
     The frame to add is checkpointed first, so it is computed once against
     the table as it was before the append."""
-    from tempora.session import cut_lineage
+    _restore(spark, table)
     if not spark.catalog.tableExists(table):
         rows = cut_lineage(latest_per_key(new, key).select(*new.columns))
         rows.write.saveAsTable(table)

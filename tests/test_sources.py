@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,3 +103,94 @@ def test_append_with_id_is_deterministic(spark):
     A.append_with_id(nation, "t_append", ["n_nationkey"])
     A.append(A.with_id(nation, ["n_nationkey"]), "t_append")
     assert spark.table("t_append").count() == 50
+
+
+class Crash(RuntimeError):
+    pass
+
+
+def _crash_at(monkeypatch, spark, word):
+    """The next SQL statement with ``word`` fails before it does anything."""
+    real = type(spark).sql
+
+    def sql(self, text, *a, **b):
+        if word in text:
+            raise Crash(text)
+        return real(self, text, *a, **b)
+    monkeypatch.setattr(type(spark), "sql", sql)
+
+
+def test_replace_keeps_the_old_rows_until_the_new_are_whole(spark, monkeypatch):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    A.replace_table(spark, nation.where("n_nationkey < 5"), "t_swap")
+    with monkeypatch.context() as m:
+        _crash_at(m, spark, "SET LOCATION")
+        with pytest.raises(Crash):
+            A.replace_table(spark, nation, "t_swap")
+    assert spark.table("t_swap").count() == 5
+    old = A._location(spark, "t_swap")
+    for n in (25, 3):
+        A.replace_table(spark, nation.where(f"n_nationkey < {n}"), "t_swap")
+        assert spark.table("t_swap").count() == n
+    assert A._location(spark, "t_swap") != old and not os.path.exists(old.removeprefix("file:"))
+    # a table that reads itself, and appending afterwards
+    A.replace_table(spark, spark.table("t_swap").where("n_nationkey > 0"), "t_swap")
+    A.append(nation.where("n_nationkey = 7"), "t_swap")
+    assert sorted(r.n_nationkey for r in spark.table("t_swap").collect()) == [1, 2, 7]
+
+
+@pytest.mark.parametrize("word", ["t_cols__next RENAME", "DROP TABLE IF EXISTS t_cols__prev"])
+def test_replace_with_other_columns_loses_nothing(spark, monkeypatch, word):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    A.replace_table(spark, nation.select("n_nationkey"), "t_cols")
+    with monkeypatch.context() as m:
+        _crash_at(m, spark, word)
+        with pytest.raises(Crash):
+            A.replace_table(spark, nation.select("n_nationkey", "n_name"), "t_cols")
+    # the next call finds the old rows again
+    A.upsert(spark, "t_cols", nation.select("n_nationkey").where("n_nationkey < 2"), ["n_nationkey"])
+    assert spark.table("t_cols").count() == 25
+    A.replace_table(spark, nation, "t_cols")
+    assert spark.table("t_cols").columns == nation.columns
+    A.replace_table(spark, nation.select("n_nationkey"), "t_cols")
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_upsert_in_buckets_touches_only_what_changes(spark, monkeypatch):
+    base = os.path.join(scratch(), "keyed")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    key = ["l_orderkey", "l_linenumber"]
+    lines = lines.groupBy(*key).agg(F.max("l_quantity").alias("l_quantity"), F.max("l_shipdate").alias("l_shipdate"))
+    A.create_keyed_table(spark, "t_keyed", base, lines.schema, key, buckets=16)
+    assert spark.table("t_keyed").count() == 0 and spark.table("t_keyed").schema.simpleString() == lines.schema.simpleString()
+    assert A.upsert_buckets(spark, "t_keyed", lines.where("l_orderkey % 2 = 0"), files_per_bucket=2) == list(range(16))
+    before = _files(base)
+    few = lines.where("l_orderkey in (2, 3)").withColumn("l_quantity", F.col("l_quantity") + 1000)
+    want = A.upsert_frame(lines.where("l_orderkey % 2 = 0"), few, key).orderBy(*key).collect()
+    with monkeypatch.context() as m:
+        _crash_at(m, spark, "CREATE OR REPLACE VIEW")
+        with pytest.raises(Crash):
+            A.upsert_buckets(spark, "t_keyed", few)
+    assert spark.table("t_keyed").where("l_quantity > 1000").count() == 0
+    touched = A.upsert_buckets(spark, "t_keyed", few)
+    assert 0 < len(touched) < 16
+    assert spark.table("t_keyed").orderBy(*key).collect() == want
+    after = _files(base)
+    assert all(after[f] == t for f, t in before.items())
+    current = set(spark.table("t_keyed").inputFiles())
+    bucket = lambda f: int(f.split("bucket=")[1].split("/")[0])
+    rows = [f for f in before if "bucket=" in f]
+    # buckets without updates are read from the same files as before, the others are not
+    for f in rows:
+        assert any(c.endswith(f.replace("=", "%3D")) or c.endswith(f) for c in current) == (bucket(f) not in touched)
+    A.upsert_buckets(spark, "t_keyed", few)
+    assert spark.table("t_keyed").orderBy(*key).collect() == want
+    # the last update of a key wins; none at all changes nothing
+    twice = few.withColumn("at", F.lit(1)).union(few.withColumn("l_quantity", F.lit(7.0)).withColumn("at", F.lit(2)))
+    A.upsert_buckets(spark, "t_keyed", twice, order="at")
+    assert {r.l_quantity for r in spark.table("t_keyed").where("l_orderkey in (2, 3)").collect()} == {7.0}
+    assert A.upsert_buckets(spark, "t_keyed", few.limit(0)) == []
