@@ -278,9 +278,10 @@ def distinct_keys(df: DataFrame, keys) -> DataFrame:
 
 def pick_random(df: DataFrame, key: str, seed: int, n: int = 1) -> DataFrame:
     """Repeatable random choice of ``n`` distinct key values: the keys are
-    ordered by a seeded hash, so the choice does not depend on partitioning."""
+    ordered by the MD5 of seed and key, so the choice does not depend on
+    partitioning and any SQL engine can repeat it."""
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    return (keys.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    return (keys.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
             .orderBy("_h", key).limit(n).drop("_h"))
 
 
@@ -305,14 +306,41 @@ def mean_point(df: DataFrame, lat: str, lon: str) -> DataFrame:
 DUP_AGGS = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min}
 
 
-def pivot_wide(df: DataFrame, ts: str, key: str, value: str, values: Sequence,
-               dup_agg: str = "mean", drop_empty: bool = False) -> DataFrame:
+MAX_PIVOT_COLUMNS = 1000
+
+
+def pivot_keys(df: DataFrame, key: str, max_columns: int = MAX_PIVOT_COLUMNS) -> tuple[list, bool]:
+    """The key values a pivot makes columns of, sorted, and whether that is all of them: with more than
+    ``max_columns`` it is those with most rows (ties to the smaller)."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count().orderBy(F.desc("count"), F.asc(key))
+    found = [r[0] for r in counts.limit(max_columns + 1).collect()]
+    return sorted(found[:max_columns]), len(found) <= max_columns
+
+
+def pivot_wide(df: DataFrame, ts: str, key: str, value: str, values: Sequence | None = None,
+               dup_agg: str = "mean", drop_empty: bool = False, max_columns: int = MAX_PIVOT_COLUMNS,
+               rest: str = "other") -> DataFrame:
     """Long to wide: one column per key value, duplicates combined with
-    ``dup_agg``.  ``values`` must be given so Spark does not run a distinct
-    job and the schema is fixed.  Pivot columns are named after the values
-    as strings."""
-    out = (df.filter(F.col(key).isNotNull()).groupBy(ts).pivot(key, list(values))
-           .agg(DUP_AGGS[dup_agg](value)))
+    ``dup_agg``.  Pivot columns are named after the values as strings.
+
+    With ``values`` given, Spark runs no job for them and the schema is fixed.  Without, a first pass over
+    the keys finds them: at most ``max_columns`` become columns, those with most rows.  Where there are
+    more, the remaining ones are in a last column ``rest``, a map from key (as string) to value, so that
+    nothing is dropped and the table's width is bounded.
+    """
+    agg = DUP_AGGS[dup_agg]
+    data = df.filter(F.col(key).isNotNull())
+    whole = True
+    if values is None:
+        values, whole = pivot_keys(df, key, max_columns)
+    values = list(values)
+    if whole:
+        out = data.groupBy(ts).pivot(key, values).agg(agg(value)) if values else data.select(ts).distinct()
+    else:
+        cells = data.groupBy(ts, key).agg(agg(value).alias("_v"))
+        cols = [F.max(F.when(F.col(key) == F.lit(v), F.col("_v"))).alias(str(v)) for v in values]
+        entry = F.when(~F.col(key).isin(values), F.struct(F.col(key).cast("string"), F.col("_v")))
+        out = cells.groupBy(ts).agg(*cols, F.map_from_entries(F.collect_list(entry)).alias(rest))
     if drop_empty:
         # pandas drops columns without any value; that needs one count job
         counts = out.agg(*[F.count(F.col(f"`{v}`")).alias(str(v)) for v in values]).first()
@@ -342,49 +370,77 @@ def _daily_value(agg: str, v: Column) -> Column:
     return F.min(v) if agg == "min" else F.max(v)
 
 
-def resample_daily(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum",
-                   dup_agg: str | None = None, spine: str = "frame",
-                   day_col: str = "day", value_col: str | None = None) -> DataFrame:
-    """Daily resample with the gap days made explicit.
+def resample_ranges(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum",
+                    dup_agg: str | None = None, spine: str = "frame",
+                    value_col: str | None = None) -> DataFrame:
+    """Daily resample with every gap as one row: (key..., first_day, last_day, value).
 
-    * ``agg``: ``sum`` (a gap day is 0), ``mean`` / ``min`` / ``max`` (a gap
-      day is NULL) or ``count`` (0).
-    * ``dup_agg``: combine rows sharing (key, timestamp) first, as a pandas
-      pivot table does (``mean`` by default there).
-    * ``spine="frame"``: every key gets every day between the first and last
-      day holding a value anywhere in the frame; keys without any value are
-      dropped (pivot form).  ``spine="key"``: each key gets the days between
-      its own first and last row (grouped form).
+    A day with rows is a range of its own; the days between two of them, and with ``spine="frame"`` those
+    before the first and after the last, are one range whose value is that of a gap day.  So a sparse key
+    costs rows in proportion to its days with data, not to the span.  Parameters as in
+    :func:`resample_daily`; :func:`expand_ranges` gives its rows.
 
-    Plan: the raw rows are reduced to (key, day) first (map-side partial
-    aggregation), the spine is generated per key with ``sequence`` and
-    ``explode`` from the bounds, and the daily rows are joined onto it.
+    The raw rows are reduced to (key, day) first (map-side partial aggregation); neighbours are found with a
+    window over a key's days.
     """
     if agg not in DAILY_AGGS:
         raise KeyError(agg)
+    if spine not in ("frame", "key"):
+        raise ValueError(spine)
     keys = _cols(by)
     out_col = value_col or value
     base = _not_null_keys(df.select(*keys, F.col(ts).alias("_ts"), F.col(value).alias("_v")), keys)
     if dup_agg:
         base = base.groupBy(*keys, "_ts").agg(DUP_AGGS[dup_agg]("_v").alias("_v"))
-    daily = (base.groupBy(*keys, F.to_date("_ts").alias(day_col))
-             .agg(_daily_value(agg, F.col("_v")).alias("_d"),
-                  F.count("_v").alias("_nv")))
+    daily = (base.groupBy(*keys, F.to_date("_ts").alias("_day"))
+             .agg(_daily_value(agg, F.col("_v")).alias("_d"), F.count("_v").alias("_nv"))
+             .filter(F.col("_day").isNotNull()))
+    own = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     if spine == "frame":
-        valued = daily.filter(F.col("_nv") > 0)
-        if keys:
-            span = valued.select(F.struct(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))).scalar()
-            bounds = (valued.select(*keys).distinct().withColumn("_span", span)
-                      .select(*keys, F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi")))
-        else:
-            bounds = valued.agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
-    elif spine == "key":
-        bounds = daily.groupBy(*keys).agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
+        span = daily.filter(F.col("_nv") > 0).select(F.struct(F.min("_day").alias("lo"), F.max("_day").alias("hi")))
+        daily = (daily.withColumn("_span", span.scalar()).filter(F.col("_day").between(F.col("_span.lo"), F.col("_span.hi")))
+                 .withColumn("_any", F.max("_nv").over(own)).filter(F.col("_any") > 0))
+        lo, hi = F.col("_span.lo"), F.col("_span.hi")
     else:
-        raise ValueError(spine)
-    days = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias(day_col))
-    filled = days.join(daily, [*keys, day_col], "left")
+        lo = hi = F.lit(None).cast("date")
     v = F.col("_d")
     if agg in ("sum", "count"):
         v = F.coalesce(v, F.lit(0.0) if agg == "sum" else F.lit(0))
-    return filled.select(*keys, day_col, v.alias(out_col))
+    gap = F.lit(None) if agg not in ("sum", "count") else (F.lit(0.0) if agg == "sum" else F.lit(0))
+    of = lambda a, b, x: F.struct(a.alias("first_day"), b.alias("last_day"),
+                                  x.cast(value_type).alias("value"))
+    value_type = daily.select(v).schema[0].dataType
+    day, order = F.col("_day"), own.orderBy("_day")
+    nearby = daily.withColumn("_prev", F.lag("_day").over(order)).withColumn("_next", F.lead("_day").over(order))
+    upto = F.coalesce(F.col("_next"), F.date_add(hi, 1))
+    ranges = F.array(F.when(F.col("_prev").isNull() & (day > lo), of(lo, F.date_sub(day, 1), gap)),
+                     of(day, day, v),
+                     F.when(upto > F.date_add(day, 1), of(F.date_add(day, 1), F.date_sub(upto, 1), gap)))
+    return (nearby.select(*keys, F.explode(F.filter(ranges, lambda r: r.isNotNull())).alias("_r"))
+            .select(*keys, "_r.first_day", "_r.last_day", F.col("_r.value").alias(out_col)))
+
+
+def expand_ranges(ranges: DataFrame, day_col: str = "day") -> DataFrame:
+    """One row per day of each range of :func:`resample_ranges`."""
+    rest = [c for c in ranges.columns if c not in ("first_day", "last_day")]
+    return ranges.select(*rest[:-1], F.explode(F.sequence("first_day", "last_day")).alias(day_col), rest[-1])
+
+
+def resample_daily(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum",
+                   dup_agg: str | None = None, spine: str = "frame",
+                   day_col: str = "day", value_col: str | None = None) -> DataFrame:
+    """Daily resample with the gap days made explicit.
+
+    * ``agg``: ``sum`` (a gap day is 0), ``mean`` / ``min`` / ``max`` (a gap
+      day is NULL) or ``count`` (0).
+    * ``dup_agg``: combine rows sharing (key, timestamp) first, as a pandas
+      pivot table does (``mean`` by default there).
+    * ``spine="frame"``: every key gets every day between the first and last
+      day holding a value anywhere in the frame; keys without any value are
+      dropped (pivot form).  ``spine="key"``: each key gets the days between
+      its own first and last row (grouped form).
+
+    The rows of :func:`resample_ranges`, expanded; where few days have data,
+    work on the ranges and expand late.
+    """
+    return expand_ranges(resample_ranges(df, ts, value, by, agg, dup_agg, spine, value_col), day_col)

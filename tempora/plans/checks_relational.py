@@ -490,7 +490,8 @@ def _e11(spark, d):
     return agg.distinct_keys(S.readings(spark, d), ["municipalityno", "branche"])
 
 
-@reg("e12_pick_random")
+@reg("e12_pick_random", _with(READINGS) + """SELECT municipalityno FROM readings WHERE municipalityno IS NOT NULL
+  GROUP BY 1 ORDER BY md5('1234341:' || CAST(municipalityno AS VARCHAR)), municipalityno LIMIT 1""")
 def _e12(spark, d):
     return agg.pick_random(S.readings(spark, d), "municipalityno", seed=1234341)
 
@@ -527,6 +528,12 @@ def _e16(spark, d):
     return rounded(_pivot(spark, d))
 
 
+@reg("e16_pivot_found", _with(READINGS) + _PIVOT_SQL)
+def _e16_found(spark, d):
+    r = S.readings(spark, d).withColumn("hour", F.date_trunc("hour", F.col("hourutc")))
+    return rounded(agg.pivot_wide(r, "hour", "branche", "value"))
+
+
 @reg("e17_melt", _with(READINGS) + ", p AS (" + _PIVOT_SQL + """)
   SELECT hour, variable, value FROM p UNPIVOT INCLUDE NULLS (value FOR variable IN (""" +
      ", ".join(BRANCHES) + "))")
@@ -547,6 +554,21 @@ def _e18a(spark, d):
                                       agg="sum", dup_agg="mean", spine="frame"))
 
 
+@reg("e18_resample_ranges", _with(READINGS) + """,
+  dd AS (SELECT municipalityno, CAST(hourutc AS DATE) AS day, sum(value) AS v, count(value) AS nv FROM readings GROUP BY 1, 2),
+  b AS (SELECT min(day) AS lo, max(day) AS hi FROM dd WHERE nv > 0),
+  k AS (SELECT municipalityno FROM dd GROUP BY 1 HAVING max(nv) > 0),
+  o AS (SELECT dd.*, lo, hi, lag(day) OVER w AS prev, lead(day) OVER w AS next FROM dd JOIN k USING (municipalityno), b
+        WHERE day BETWEEN lo AND hi WINDOW w AS (PARTITION BY municipalityno ORDER BY day))
+  SELECT municipalityno, day AS first_day, day AS last_day, round(coalesce(v, 0.0), 6) AS value FROM o
+  UNION ALL SELECT municipalityno, lo, CAST(day - INTERVAL 1 DAY AS DATE), 0.0 FROM o WHERE prev IS NULL AND day > lo
+  UNION ALL SELECT municipalityno, CAST(day + INTERVAL 1 DAY AS DATE),
+    CAST(coalesce(next, CAST(hi + INTERVAL 1 DAY AS DATE)) - INTERVAL 1 DAY AS DATE), 0.0 FROM o
+    WHERE coalesce(next, CAST(hi + INTERVAL 1 DAY AS DATE)) > day + INTERVAL 1 DAY""")
+def _e18_ranges(spark, d):
+    return rounded(agg.resample_ranges(S.readings(spark, d), "hourutc", "value", by="municipalityno"))
+
+
 @reg("e18_resample_daily_key_mean", _with(READINGS) + """,
   dd AS (SELECT municipalityno, CAST(hourutc AS DATE) AS day, avg(value) AS v FROM readings GROUP BY 1, 2),
   b AS (SELECT municipalityno, min(day) AS lo, max(day) AS hi FROM dd GROUP BY 1),

@@ -45,13 +45,18 @@ _NATION_PAGE = """'<html><body><p>intro</p><table class="wikitable sortable"><tr
   || '<table class="wikitable"><tr><td>other</td></tr></table></body></html>'"""
 
 
+# simple tables, as these pages have, read by patterns
+_ROW, _CELL, _TAG = r"(?is)<tr[^>]*>(.*?)</tr>", r"(?is)<t[dh][^>]*>(.*?)</t[dh]>", r"<[^>]+>"
+_WIKITABLE = r'(?is)<table[^>]*class="[^"]*wikitable[^"]*"[^>]*>(.*?)</table>'
+
+
 @check("a5_html_tables", f"""WITH p AS (SELECT page_id, html FROM pages
   UNION ALL SELECT 100000 + n_nationkey, {_NATION_PAGE} FROM nation),
-  t AS (SELECT page_id, regexp_extract(html, '{HT.table_pattern("wikitable")}', 1) AS tbl FROM p),
-  r AS (SELECT page_id, regexp_extract_all(tbl, '{HT._ROW}', 1) AS rows FROM t),
+  t AS (SELECT page_id, regexp_extract(html, '{_WIKITABLE}', 1) AS tbl FROM p),
+  r AS (SELECT page_id, regexp_extract_all(tbl, '{_ROW}', 1) AS rows FROM t),
   u AS (SELECT page_id, unnest(rows) AS row_html, unnest(range(len(rows))) AS row_no FROM r)
-  SELECT page_id, row_no, list_transform(regexp_extract_all(row_html, '{HT._CELL}', 1),
-    lambda c: trim(regexp_replace(c, '{HT._TAG}', '', 'g'))) AS cells FROM u""")
+  SELECT page_id, row_no, list_transform(regexp_extract_all(row_html, '{_CELL}', 1),
+    lambda c: trim(regexp_replace(c, '{_TAG}', '', 'g'))) AS cells FROM u""")
 def _a5(spark, d):
     pages = S.table(spark, d, "pages").select("page_id", "html")
     n = S.table(spark, d, "nation")

@@ -320,3 +320,39 @@ def test_weighted_ranks_without_a_group(spark):
     got = sorted((r.v, r["_before"], r["_upto"], r["_n"]) for r in E.weighted_ranks(E.counted(df, None, "v"), None, "v").collect())
     assert got == [(1.0, 0, 1, 4), (2.0, 1, 3, 4), (9.0, 3, 4, 4)]
     assert E.trimmed_mean(df, "v", 0.25).first()[0] == 2.0 and E.mad(df, "v").first().mad == 0.5
+
+
+def test_pivot_finds_its_columns(spark):
+    rows = [(t, f"k{(t * 7 + i) % 9}", float(t * 10 + i)) for t in range(12) for i in range(t % 5 + 1)]
+    rows += [(3, None, 1.0), (4, "k1", None), (5, "k1", 2.0), (5, "k1", 4.0)] + [(1, "k0", 3.0)] * 40
+    df = spark.createDataFrame(rows, "t long, k string, v double").repartition(3)
+    given = E.pivot_wide(df, "t", "k", "v", [f"k{i}" for i in range(9)])
+    found = E.pivot_wide(df, "t", "k", "v")
+    assert found.columns == given.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, given.collect()), key=str)
+    few = E.pivot_wide(df, "t", "k", "v", max_columns=2)
+    assert few.columns[1] == "k0" and len(few.columns) == 4 and few.columns[-1] == "other"
+    # columns and map together hold every cell
+    cells = {(r.t, c): r[c] for r in few.collect() for c in few.columns[1:3] if r[c] is not None}
+    cells.update({(r.t, c): v for r in few.collect() for c, v in r.other.items() if v is not None})
+    assert cells == {(r.t, c): r[c] for r in given.collect() for c in given.columns[1:] if r[c] is not None}
+    assert E.pivot_wide(df.where("k is null"), "t", "k", "v").columns == ["t"]
+
+
+def test_sparse_keys_stay_ranges(spark):
+    df = spark.range(10_000).selectExpr(
+        "id k", "explode(array(date_add(date'2000-01-01', cast(id % 900 as int)), "
+        "date_add(date'2019-12-31', -cast(id % 700 as int)))) d", "1.5D v") \
+        .selectExpr("k", "cast(d as timestamp_ntz) t", "v")
+    ranges = E.resample_ranges(df, "t", "v", "k").cache()
+    # two days, the gap between them and the ones around: five rows a key at most, not 7,305
+    assert ranges.count() <= 50_000
+    one = ranges.groupBy("k").agg(F.sum(F.datediff("last_day", "first_day") + 1).alias("days"), F.sum("v").alias("v"))
+    span = 7305
+    assert one.where(f"days <> {span} or v <> 3.0").count() == 0
+    few = df.where("k < 5")
+    own = E.resample_ranges(few, "t", "v", "k", agg="mean", spine="key")
+    daily = E.resample_daily(few, "t", "v", "k", agg="mean", spine="key")
+    assert own.count() == 15 and E.expand_ranges(own).exceptAll(daily).isEmpty()
+    assert daily.where("v is not null").count() == 10
+    assert E.resample_daily(few.where("k < 0"), "t", "v", "k").count() == 0

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-PYTHON_ALLOWED = {"f17_fit_forecast", "f17_fit_ar", "f17_fit_arma", "f17_arma_one_step", "f17_predict_one_step", "f17_ols_one", "h11_forecast_frame"}
+PYTHON_ALLOWED = {"a5_html_tables", "f17_fit_forecast", "f17_fit_ar", "f17_fit_arma", "f17_arma_one_step", "f17_predict_one_step", "f17_ols_one", "h11_forecast_frame"}
 
 
 def plan(df):

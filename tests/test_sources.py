@@ -194,3 +194,41 @@ def test_upsert_in_buckets_touches_only_what_changes(spark, monkeypatch):
     A.upsert_buckets(spark, "t_keyed", twice, order="at")
     assert {r.l_quantity for r in spark.table("t_keyed").where("l_orderkey in (2, 3)").collect()} == {7.0}
     assert A.upsert_buckets(spark, "t_keyed", few.limit(0)) == []
+
+
+TABLES = {
+    "nested": ("<table class='x'><tr><td>no</td></tr></table><TABLE CLASS='wide wikitable'><tr><th>A<th>B"
+               "<tr><td>1<td>in <table class=wikitable><tr><td>p</td><td>q</td></tr></table> out<tr><td>2<td>3</table>"
+               "<table class=wikitable><tr><td>second</td></tr></table>",
+               [["A", "B"], ["1", "in p q out"], ["2", "3"]]),
+    "spans": ("<table class=wikitable><tr><td rowspan=2>a</td><td colspan=2>b</td></tr><tr><td>c</td><td rowspan='3'>d</td></tr>"
+              "<tr><td>e</td><td>f</td></tr><tr><td>g</td></tr><tr><td>h</td></tr></table>",
+              [["a", "b", "b"], ["a", "c", "d"], ["e", "f", "d"], ["g", "", "d"], ["h"]]),
+    "to the end": ("<table class=wikitable><tr><td rowspan=0>a<td>b<tr><td>c<tr><td rowspan=x colspan=0>d</table>",
+                   [["a", "b"], ["a", "c"], ["a", "d"]]),
+    "sections": ("<table class=wikitable><thead><tr><th>H</thead><tbody><tr><td>x &amp; y<br>z<script>no</script>"
+                 "<tr><td> two   words\n</tbody><tfoot><td>loose</tfoot></table>",
+                 [["H"], ["x & y z"], ["two words"], ["loose"]]),
+    "open": ("<table class=wikitable><tr><td>a<td>b", [["a", "b"]]),
+    "none": ("<table class=wikitables><tr><td>a</td></tr></table>", []),
+    "empty": ("", []), "null": (None, []),
+}
+
+
+def test_tables_as_a_browser_reads_them(spark):
+    from tempora.sources import html
+    pages = spark.createDataFrame([(k, v[0], "x") for k, v in TABLES.items()], "id string, page string, cells string")
+    got = {k: [] for k in TABLES}
+    for r in html.extract_html_tables(pages, "page", "wikitable", ["id"]).orderBy("id", "row_no").collect():
+        assert r.row_no == len(got[r.id])
+        got[r.id].append(r.cells)
+    assert got == {k: v[1] for k, v in TABLES.items()}
+
+
+def test_many_tags_take_linear_time():
+    import time
+    from tempora.sources import html
+    page = "<table class=wikitable>" + "<tr><td rowspan=3>x<td><table><tr><td>y</table>" * 20_000
+    t = time.time()
+    assert len(html.table_rows(page, "wikitable")) == 20_000
+    assert time.time() - t < 10
