@@ -440,7 +440,37 @@ def resample_daily(df: DataFrame, ts: str, value: str, by=None, agg: str = "sum"
       dropped (pivot form).  ``spine="key"``: each key gets the days between
       its own first and last row (grouped form).
 
-    The rows of :func:`resample_ranges`, expanded; where few days have data,
-    work on the ranges and expand late.
+    Plan: the raw rows are reduced to (key, day) first (map-side partial
+    aggregation), the spine is generated per key with ``sequence`` and
+    ``explode`` from the bounds, and the daily rows are joined onto it.
+    Where few days have data, :func:`resample_ranges` spares the spine; it
+    gives the same rows when expanded.
     """
-    return expand_ranges(resample_ranges(df, ts, value, by, agg, dup_agg, spine, value_col), day_col)
+    if agg not in DAILY_AGGS:
+        raise KeyError(agg)
+    keys = _cols(by)
+    out_col = value_col or value
+    base = _not_null_keys(df.select(*keys, F.col(ts).alias("_ts"), F.col(value).alias("_v")), keys)
+    if dup_agg:
+        base = base.groupBy(*keys, "_ts").agg(DUP_AGGS[dup_agg]("_v").alias("_v"))
+    daily = (base.groupBy(*keys, F.to_date("_ts").alias(day_col))
+             .agg(_daily_value(agg, F.col("_v")).alias("_d"),
+                  F.count("_v").alias("_nv")))
+    if spine == "frame":
+        valued = daily.filter(F.col("_nv") > 0)
+        if keys:
+            span = valued.select(F.struct(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))).scalar()
+            bounds = (valued.select(*keys).distinct().withColumn("_span", span)
+                      .select(*keys, F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi")))
+        else:
+            bounds = valued.agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
+    elif spine == "key":
+        bounds = daily.groupBy(*keys).agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
+    else:
+        raise ValueError(spine)
+    days = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias(day_col))
+    filled = days.join(daily, [*keys, day_col], "left")
+    v = F.col("_d")
+    if agg in ("sum", "count"):
+        v = F.coalesce(v, F.lit(0.0) if agg == "sum" else F.lit(0))
+    return filled.select(*keys, day_col, v.alias(out_col))

@@ -356,3 +356,18 @@ def test_sparse_keys_stay_ranges(spark):
     assert own.count() == 15 and E.expand_ranges(own).exceptAll(daily).isEmpty()
     assert daily.where("v is not null").count() == 10
     assert E.resample_daily(few.where("k < 0"), "t", "v", "k").count() == 0
+    assert E.resample_ranges(few.where("k < 0"), "t", "v", "k").count() == 0
+
+
+@pytest.mark.parametrize("agg", ["sum", "mean", "max", "count"])
+@pytest.mark.parametrize("by,spine", [("k", "frame"), ("k", "key"), (None, "frame"), (None, "key")])
+def test_expanded_ranges_are_the_daily_rows(spark, agg, by, spine):
+    rows = [(k, dt.datetime(2024, 1, 1 + (d * 7 + len(k)) % 25, 3), None if (d + len(k)) % 4 == 0 else float(d), d)
+            for k in ("a", "bb", "ccc") for d in range(6)]
+    rows += [("void", dt.datetime(2024, 1, 9), None, 1), ("a", None, 5.0, 2), (None, dt.datetime(2024, 1, 3), 1.0, 3),
+             ("bb", dt.datetime(2024, 3, 9), None, 1), ("bb", dt.datetime(2023, 3, 9), None, 1)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double, i int")
+    daily = E.resample_daily(df, "t", "v", by, agg, spine=spine)
+    got = E.expand_ranges(E.resample_ranges(df, "t", "v", by, agg, spine=spine))
+    assert got.columns == daily.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, daily.collect()), key=str)
