@@ -15,8 +15,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempora.operators.series import (DEFAULT_CHUNK_ROWS, carry, epoch_micros, halo, join_on,
                                       keys_of, with_position)
@@ -239,6 +242,125 @@ def dct_spectrum(df: DataFrame, by, order: Sequence[str], col: str, kmax: int,
     return _dct_coefficients(d, keys, p, col, kmax).drop("_N").withColumnRenamed("_k", "k")
 
 
+# a series up to this length is transformed in one group
+SHORT_SERIES = 1 << 16
+
+
+def _spectrum(v: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
+    """DCT-II coefficients from the Fourier transform ``v`` at ``k`` of a series of n values, taken as
+    x_0, x_2, x_4, ... and back ..., x_3, x_1."""
+    return 2.0 * (np.exp(-0.5j * math.pi * k / n) * v).real
+
+
+def _chirp(i: np.ndarray, n: int) -> np.ndarray:
+    """exp(-i pi i**2 / n), with the square reduced before it loses digits."""
+    return np.exp(-1j * math.pi * ((i * i) % (2 * n)) / n)
+
+
+def _split(n: int) -> tuple[int, int]:
+    """Two powers of two of about equal size, whose product holds a convolution of 2n - 1 places."""
+    bits = (2 * n - 2).bit_length()
+    return 1 << (bits + 1) // 2, 1 << bits // 2
+
+
+def _series_of(table: pa.Table, keys: Sequence[str], n: int) -> list:
+    return [pa.array([v.as_py()] * n, t.type) for v, t in ((table.column(c)[0], table.schema.field(c)) for c in keys)]
+
+
+def dct_spectrum_full(df: DataFrame, by, order: Sequence[str], col: str, pos: str | None = None,
+                      short: int = SHORT_SERIES) -> DataFrame:
+    """Every DCT-II coefficient of each series, k = 0 .. N-1: (series..., k, coefficient).
+
+    The same values as :func:`dct_spectrum` with ``kmax`` = N - 1, which adds up N x kmax terms.  Here a
+    series of up to ``short`` values is one fast Fourier transform.  A longer one is a convolution with a
+    chirp (which suits any N) of length M1 x M2, at most 4 N, done in three groupings of about sqrt(M) values
+    each: by the residue of the place, by that of the frequency, and by that of the result.  Each group is a
+    short transform and a multiplication by its twiddle factors; the chirp is made where it is needed.  So
+    no group and no task holds a long series, and about 4 N rows are shuffled twice.
+
+    A series with a missing value has no spectrum: its coefficients are NULL.
+    """
+    keys = keys_of(by)
+    d, p, _ = _positioned(df, by, order, pos)
+    at = F.col("_i")
+    d = _with_length(d, keys, col).select(*keys, F.col(p).cast("long").alias("_i"), F.col("_N").cast("long").alias("_N"),
+                                          "_gaps", F.col(col).cast("double").alias("_x"))
+    # even places first, then the odd ones backwards
+    d = d.withColumn("_place", F.when(at % 2 == 0, F.expr("_i div 2")).otherwise(F.expr("_N - (_i + 1) div 2")))
+    d = cut_lineage(d.withColumn("_one", F.lit(0)))
+    own = [*keys, "_one"]
+    fields = [d.schema[k] for k in own]
+    out = T.StructType([*fields, T.StructField("k", T.LongType()), T.StructField("coefficient", T.DoubleType())])
+    part = lambda *names: T.StructType([*fields, T.StructField("_N", T.LongType()), *(
+        T.StructField(n, T.LongType() if n.startswith("_") else T.DoubleType()) for n in names)])
+
+    def whole(table: pa.Table) -> pa.Table:
+        n = table.num_rows
+        v = np.empty(n)
+        v[table.column("_place").to_numpy()] = table.column("_x").to_numpy()
+        k = np.arange(n)
+        return pa.table([*_series_of(table, own, n), pa.array(k), pa.array(_spectrum(np.fft.fft(v), k, n))],
+                        names=out.names)
+
+    def by_place(table: pa.Table) -> pa.Table:
+        """Places of one residue r modulo m2: transform over the multiples, twiddle."""
+        n = table.column("_N")[0].as_py()
+        m1, m2 = _split(n)
+        place = table.column("_place").to_numpy()
+        r = int(place[0] % m2)
+        i = np.arange(m1) * m2 + r
+        a = np.zeros(m1, complex)
+        a[place // m2] = table.column("_x").to_numpy() * _chirp(place, n)
+        # the chirp of the convolution, at i and from the other end
+        back = m1 * m2 - i
+        b = np.where(i < n, np.conj(_chirp(i, n)), np.where(back < n, np.conj(_chirp(back, n)), 0))
+        k1 = np.arange(m1)
+        twiddle = np.exp(-2j * math.pi * r * k1 / (m1 * m2))
+        a, b = np.fft.fft(a) * twiddle, np.fft.fft(b) * twiddle
+        return pa.table([*_series_of(table, own, m1), pa.array(np.full(m1, n)), pa.array(k1), pa.array(np.full(m1, r)),
+                         *(pa.array(np.ascontiguousarray(x)) for x in (a.real, a.imag, b.real, b.imag))],
+                        names=part("_k1", "_r", "ar", "ai", "br", "bi").names)
+
+    def by_frequency(table: pa.Table) -> pa.Table:
+        """Frequencies k1 + m1 k2 of one k1: finish both transforms, multiply, begin the inverse one."""
+        n = table.column("_N")[0].as_py()
+        m1, m2 = _split(n)
+        r, k1 = table.column("_r").to_numpy(), table.column("_k1")[0].as_py()
+        a, b = np.zeros(m2, complex), np.zeros(m2, complex)
+        a[r] = table.column("ar").to_numpy() + 1j * table.column("ai").to_numpy()
+        b[r] = table.column("br").to_numpy() + 1j * table.column("bi").to_numpy()
+        m = np.arange(m2)
+        c = np.fft.ifft(np.fft.fft(a) * np.fft.fft(b)) * np.exp(2j * math.pi * k1 * m / (m1 * m2))
+        return pa.table([*_series_of(table, own, m2), pa.array(np.full(m2, n)), pa.array(m), pa.array(np.full(m2, k1)),
+                         *(pa.array(np.ascontiguousarray(x)) for x in (c.real, c.imag))],
+                        names=part("_m", "_k1", "cr", "ci").names)
+
+    def by_result(table: pa.Table) -> pa.Table:
+        """Results m + m2 j of one m: finish the inverse transform."""
+        n = table.column("_N")[0].as_py()
+        m1, m2 = _split(n)
+        c = np.zeros(m1, complex)
+        c[table.column("_k1").to_numpy()] = table.column("cr").to_numpy() + 1j * table.column("ci").to_numpy()
+        k = table.column("_m")[0].as_py() + m2 * np.arange(m1)
+        use = k < n
+        k = k[use]
+        v = np.fft.ifft(c)[use] * _chirp(k, n)
+        return pa.table([*_series_of(table, own, len(k)), pa.array(k), pa.array(_spectrum(v, k, n))], names=out.names)
+
+    full = d.where("_gaps = 0")
+    near = full.where(F.col("_N") <= short).groupBy(*own).applyInArrow(whole, out)
+    far = full.where(F.col("_N") > short)
+    # m2 is 2 ** (bits div 2) of the places that 2 N - 1 need
+    bits = F.length(F.conv(F.col("_N") * 2 - 2, 10, 2))
+    residue = (F.col("_place") % F.pow(F.lit(2.0), F.floor(bits / 2))).cast("long")
+    far = far.withColumn("_r", residue).groupBy(*own, "_N", "_r") \
+        .applyInArrow(by_place, part("_k1", "_r", "ar", "ai", "br", "bi")) \
+        .groupBy(*own, "_N", "_k1").applyInArrow(by_frequency, part("_m", "_k1", "cr", "ci")) \
+        .groupBy(*own, "_N", "_m").applyInArrow(by_result, out)
+    none = d.where("_gaps > 0").select(*own, F.col("_i").alias("k"), F.lit(None).cast("double").alias("coefficient"))
+    return near.unionByName(far).unionByName(none).drop("_one")
+
+
 def dct_lowpass(df: DataFrame, by, order: Sequence[str], col: str, cutoff: int,
                 out: str | None = None, pos: str | None = None) -> DataFrame:
     """Low-pass smoothing: keep coefficients k = 0..cutoff (inclusive) and

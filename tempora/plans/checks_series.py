@@ -179,6 +179,19 @@ def _f12b(spark, d):
     return rounded(out, 4)
 
 
+# long enough for the transform in groups
+@check("f12_dct_spectrum_full", _with(WEATHER, _coef_sql("weather", "", "day", "qty", 2600)) +
+       "SELECT k, round(coefficient, 4) AS coefficient FROM _k")
+def _f12_full(spark, d):
+    return rounded(TS.dct_spectrum_full(S.weather_daily(spark, d), None, ["day"], "qty", short=1000), 4)
+
+
+@check("f12_dct_spectrum_full_by", _with(_USER_DAILY, _coef_sql("ud", "municipalityno", "day", "value", 2600)) +
+       "SELECT municipalityno, k, round(coefficient, 4) AS coefficient FROM _k")
+def _f12_full_by(spark, d):
+    return rounded(TS.dct_spectrum_full(_user_daily(spark, d).select(KEY, "day", "value"), KEY, ["day"], "value"), 4)
+
+
 @check("f13_dct_lowpass", _with(WEATHER, _lowpass_sql("weather", "", "day", "qty", 5, "qty_lowpass")) +
        "SELECT day, round(qty_lowpass, 4) AS qty_lowpass FROM _lpo")
 def _f13(spark, d):

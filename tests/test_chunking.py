@@ -220,3 +220,32 @@ def test_a_dense_day_is_many_groups(spark, monkeypatch):
     # an input that is small as a whole is not counted
     monkeypatch.setattr(series, "SMALL_BYTES", 1 << 40)
     assert "_b1" not in plan(dense_rows=1)
+
+
+@pytest.mark.parametrize("short", [1, 20, 10_000])
+def test_full_spectrum_equals_the_direct_sum(spark, short):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    series = {("a", n): rng.normal(0, 3, n) for n in (1, 2, 3, 7, 16, 97, 128, 500)}
+    series[None, 33] = rng.normal(0, 1, 33)
+    rows = [(k, n, i, float(x)) for (k, n), v in series.items() for i, x in enumerate(v)]
+    rows += [("gap", 9, i, None if i == 4 else 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "s string, n int, t long, y double").repartition(5)
+    got = {}
+    for r in TS.dct_spectrum_full(df, ["s", "n"], ["t"], "y", short=short).collect():
+        got.setdefault((r["s"], r["n"]), {})[r["k"]] = r.coefficient
+    assert set(got.pop(("gap", 9)).values()) == {None}
+    assert set(got) == set(series)
+    for key, v in series.items():
+        n = len(v)
+        want = [2 * float(np.sum(v * np.cos(math.pi * k * (2 * np.arange(n) + 1) / (2 * n)))) for k in range(n)]
+        assert [got[key][k] for k in range(n)] == pytest.approx(want, abs=1e-8)
+
+
+def test_full_spectrum_makes_no_rows_per_coefficient(spark):
+    df = spark.range(3000).selectExpr("id t", "sin(id) y")
+    plan = TS.dct_spectrum_full(df, None, ["t"], "y", short=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    one = TS.dct_spectrum_full(df, None, ["t"], "y", short=100).agg(F.sum("coefficient").alias("c"), F.count("*").alias("n")).first()
+    ref = TS.dct_spectrum(df, None, ["t"], "y", kmax=2999).agg(F.sum("coefficient").alias("c")).first()
+    assert one.n == 3000 and one.c == pytest.approx(ref.c)
