@@ -4,15 +4,18 @@ An archive is a skippable frame that holds the dictionary, then one
 Zstandard frame per record, compressed with it.  Each task writes archives
 of about ``archive_bytes`` of payload under names of its own, and reports
 them; the reported names, checkpointed, are the manifest.  A repeated task
-writes new files, and only files in the manifest are read.
+writes new files, and only files in the manifest are read, dealt out over
+tasks by their number and size.
 
 The reader loads the dictionary from the leading skippable frame, decodes
 frame by frame, and checks each record: version line, header fields, block
-length, HTTP header, payload length and SHA-256 digest.  A damaged archive
-raises an error that names it.
+length, date, HTTP header, payload length and SHA-256 digest.  A damaged
+archive raises an error that names it.
 
 Equal payloads of ``min_revisit`` bytes or more are stored once: the
-smallest id is a response, the others are revisits that refer to it.
+smallest id is a response, the others are revisits that refer to it.  Only
+digests meet for that, a few bytes a page, and only of pages that share one;
+payloads of revisits never leave their page.
 
 Defined results: a null payload is empty; null urls are written as an empty
 target; rows that repeat the smallest id with an equal payload are all
@@ -23,6 +26,8 @@ and reads back no records.
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import struct
 import uuid
 
@@ -36,6 +41,13 @@ DICTIONARY_BYTES = 32 << 10
 # payloads a dictionary is made from: the first ones of an archive
 SAMPLE_ROWS, SAMPLE_BYTES = 256, 2 << 20
 READ_BYTES = 1 << 20
+# digests of copies that are broadcast (about 100 bytes each); beyond, parts that the pages of a digest are split in
+BROADCAST_DIGESTS, SALTS = 200_000, 16
+# archives that one task reads back, by their payload bytes
+READ_TASK_BYTES = 128 << 20
+# the date of records whose page has none
+EPOCH = "1970-01-01T00:00:00Z"
+_DATE = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d{1,9})?Z")
 READ_SCHEMA = ("archive string, page_id long, url string, record_type string, refers_to long, "
                "payload_bytes long, payload_digest string, payload binary")
 
@@ -44,13 +56,16 @@ class WarcError(ValueError):
     """A record or archive that does not hold what it says."""
 
 
-def record(page_id, url: str, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit keeps the HTTP header and leaves the payload out."""
+def record(page_id, url: str, payload: bytes | None, digest: str, refers_to, size: int | None = None,
+           date: str = EPOCH) -> bytes:
+    """One WARC/1.1 record; a revisit keeps the HTTP header, with the ``size`` of the payload it leaves out."""
+    payload = payload or b""
     http = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-            b"Content-Length: %d\r\n\r\n" % len(payload))
+            b"Content-Length: %d\r\n\r\n" % (len(payload) if size is None else size))
     block = http if refers_to is not None else http + payload
     head = [("WARC-Type", "response" if refers_to is None else "revisit"),
-            ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
+            ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}:{uuid.uuid4().hex}>"),
+            ("WARC-Date", date),
             ("WARC-Target-URI", " ".join((url or "").split())),
             ("WARC-Payload-Digest", f"sha256:{digest}"),
             ("Content-Type", "application/http; msgtype=response"),
@@ -75,7 +90,8 @@ def _fields(raw: bytes) -> dict[str, str]:
 def _urn(value: str):
     if not value.startswith("<urn:page:") or not value.endswith(">"):
         raise WarcError(f"record id {value[:80]!r}")
-    return int(value[10:-1]) if value[10:-1] else None
+    page = value[10:-1].partition(":")[0]
+    return int(page) if page else None
 
 
 def parse(raw: bytes) -> dict:
@@ -85,6 +101,8 @@ def parse(raw: bytes) -> dict:
     if version != b"WARC/1.1" or not sep:
         raise WarcError("no WARC/1.1 header")
     h = _fields(head)
+    if not _DATE.fullmatch(h["warc-date"]):
+        raise WarcError(f"date {h['warc-date'][:80]!r}")
     n = int(h["content-length"])
     if len(body) != n + 4 or body[n:] != b"\r\n\r\n":
         raise WarcError(f"block of {len(body) - 4} bytes, {n} announced")
@@ -145,8 +163,11 @@ def _archive(stream, rows) -> int:
     return n
 
 
+MANIFEST_SCHEMA = "archive string, records long, bytes long"
+
+
 def write(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20) -> DataFrame:
-    """Write (page_id, url, payload, payload_digest, refers_to) rows; the manifest (archive, records).
+    """Write (page_id, url, payload, payload_bytes, payload_digest, refers_to) rows; the manifest (MANIFEST_SCHEMA).
 
     Files get a fresh name per attempt, so a task that is run again never
     touches what an earlier attempt wrote; the manifest is checkpointed.
@@ -156,22 +177,24 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20) -> DataF
         system, base = _filesystem(folder)
         head = next(rows, None)
         while head is not None:
+            held = [0]
+
             def part(head=head):
-                size = 0
                 while head is not None:
-                    page_id, url, payload, digest, refers = head
-                    yield record(page_id, url, payload, digest, refers)
-                    size += len(payload)
-                    head = None if size >= archive_bytes else next(rows, None)
+                    page_id, url, payload, size, digest, refers = head
+                    yield record(page_id, url, payload, digest, refers, size)
+                    held[0] += len(payload or b"")
+                    head = None if held[0] >= archive_bytes else next(rows, None)
             name = f"{base}/{uuid.uuid4().hex}.warc.zst"
             with system.open_output_stream(name, compression=None) as stream:
                 n = _archive(stream, part())
-            yield pa.RecordBatch.from_pydict({"archive": [name], "records": pa.array([n], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"archive": [name], "records": pa.array([n], pa.int64()),
+                                              "bytes": pa.array([held[0]], pa.int64())})
             head = next(rows, None)
     system, base = _filesystem(folder)
     system.create_dir(base, recursive=True)
-    return cut_lineage(pages.select("page_id", "url", "payload", "payload_digest", "refers_to")
-                       .mapInArrow(store, "archive string, records long"))
+    return cut_lineage(pages.select("page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to")
+                       .mapInArrow(store, MANIFEST_SCHEMA))
 
 
 def frames(stream):
@@ -210,7 +233,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     def load(batches):
         system, _ = _filesystem(folder)
         for b in batches:
-            for name, records in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for name, records in zip(b.column("archive").to_pylist(), b.column("records").to_pylist()):
                 rows, size, n = [], 0, 0
                 pack = lambda rows: pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in rows], kinds.get(c, pa.string())) for c in names], names)
@@ -229,22 +252,38 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                     raise WarcError(f"{name}: {n} records, {records} written")
                 if rows:
                     yield pack(rows)
-    return manifest.repartition("archive").mapInArrow(load, READ_SCHEMA)
+    archives, size = manifest.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    # a number of its own: adaptive execution would merge the few rows of a manifest into one task
+    tasks = max(1, min(archives, max(math.ceil(size / READ_TASK_BYTES), manifest.sparkSession.sparkContext.defaultParallelism)))
+    return manifest.select("archive", "records").repartition(tasks, F.xxhash64("archive")).mapInArrow(load, READ_SCHEMA)
 
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                   min_revisit: int = 100) -> DataFrame:
-    """page_id, url, payload, payload_digest, refers_to (null: a response)."""
+    """page_id, url, payload (null: left out), payload_bytes, payload_digest, refers_to (null: a response)."""
     base = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
         F.encode(F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    base = base.withColumn("payload_digest", F.sha2("payload", 256)).withColumn("n", F.octet_length("payload"))
-    # digests of one page only need no join partner: few rows go through the shuffle
-    many = base.where(F.col("n") >= min_revisit).groupBy("payload_digest") \
-        .agg(F.min("page_id").alias("low"), F.max("page_id").alias("top")).where("low < top")
-    return base.join(many.select("payload_digest", "low"), "payload_digest", "left").select(
-        "page_id", "url", "payload", "payload_digest",
-        F.when(F.col("page_id") > F.col("low"), F.col("low")).alias("refers_to"))
+    base = base.withColumn("payload_digest", F.sha2("payload", 256)) \
+        .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    # digests of more than one page id, map-side combined: at most as many as there are groups of copies
+    low = base.where(F.col("payload_bytes") >= min_revisit).groupBy("payload_digest") \
+        .agg(F.min("page_id").alias("low"), F.max("page_id").alias("top")).where("low < top") \
+        .select("payload_digest", "low")
+    low = cut_lineage(low)
+    refers = F.when(F.col("page_id") > F.col("low"), F.col("low"))
+    out = lambda d: d.select(
+        "page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
+        refers.alias("refers_to"))
+    if low.count() <= BROADCAST_DIGESTS:
+        return out(base.join(F.broadcast(low), "payload_digest", "left"))
+    # too many: the keys of the copies meet, split by page within a digest; payloads join their own page by key
+    keys = base.select("page_id", "payload_digest", "payload_bytes").where(
+        (F.col("payload_bytes") >= min_revisit) & F.col("page_id").isNotNull()).select("page_id", "payload_digest").distinct()
+    salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
+    spread = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = keys.withColumn("salt", salt).join(spread, ["payload_digest", "salt"]).drop("salt")
+    return out(base.join(known, ["page_id", "payload_digest"], "left"))
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, **columns) -> DataFrame:
