@@ -83,6 +83,45 @@ def test_extract_keeps_all_parts():
     assert html_extract.extract(flat) == f"{last}\none\ntwo\nthree"
 
 
+LONG = "The committee met again on Tuesday, heard three reports, and set the date of the next session. " * 4
+ODD_PAGES = [
+    # names on the wrapper of a whole page
+    (f'<body><div class="page comments-open"><p>{LONG}</p></div></body>', LONG.strip()),
+    (f'<body><div id="search"><p>{LONG}</p><p>End.</p></div><footer>f</footer></body>', f"{LONG.strip()}\nEnd."),
+    (f'<body><div role="search" class="share"><div class="menu"><p>{LONG}</p></div></div></body>', LONG.strip()),
+    # reader comments, also where they are longer than the article
+    (f'<body><div class=post><p>{LONG}</p></div><ol class=commentlist><li><p>{LONG} me</p></li><li>{LONG} too</ol></body>', LONG.strip()),
+    (f'<body><div class=post><p>{LONG}</p></div><div id=discussion><p>{LONG} me</p><p>{LONG}</p><p>{LONG}</p></div></body>', LONG.strip()),
+    (f'<article><p>{LONG}</p><section id="discussion"><h2>Discussion</h2><p>Short.</p></section></article>', f"{LONG.strip()}\nDiscussion\nShort."),
+    # adverts and names of two uses in an article
+    (f'<article><p>{LONG}</p><div id="google_ads_iframe">Buy now</div><div id="div-gpt-ad-12">Buy</div></article>', LONG.strip()),
+    (f'<article><p>{LONG}</p><div class="social-media-policy"><p>We do not post.</p></div>'
+     '<div class="share-bar"><a href=x>Tell</a> <a href=y>Mail</a></div></article>', f"{LONG.strip()}\nWe do not post."),
+    # two articles, and a teaser
+    (f'<body><article><p>{LONG}</p></article><article><p>Second. {LONG}</p></article><article><a href=z>More of it</a></article></body>',
+     f"{LONG.strip()}\nSecond. {LONG.strip()}"),
+    # comments that never end
+    (f'<article><p>{LONG}</p><!-- oops <p>no</p>', LONG.strip()),
+    (f'<article><script>var a = "<!--";</script><p>{LONG}</p></article>', LONG.strip()),
+]
+
+
+@pytest.mark.parametrize("page,want", ODD_PAGES)
+def test_extract_odd_names(page, want):
+    assert html_extract.extract(page) == want
+
+
+@pytest.mark.parametrize("opening,closing", [
+    ("<div>", "</div>"), ("<div>", ""), ("<span>", "</span>"), ("<blockquote>", "</blockquote>"), ("<ul><li>", "</li></ul>"),
+    ("<table><tr><td>", "</td></tr></table>"), ("<p><b>", "</b>"), ("<div></span>", "</div>"), ("<b><p>", "</b>")])
+def test_deep_pages_take_linear_time(opening, closing):
+    import time
+    t = time.time()
+    got = html_extract.extract(f"<body>{opening * 100_000}<p>{LONG}</p>{closing * 100_000}</body>")
+    assert time.time() - t < 20
+    assert got == LONG.strip()
+
+
 def test_extract_odd(spark):
     assert html_extract.extract("") == "" and html_extract.extract("<p") == ""
     assert html_extract.extract("just text") == "just text"
@@ -117,9 +156,15 @@ def test_records():
     got = warc.parse(warc.record(6, None, b"abc", hashlib.sha256(b"abc").hexdigest(), 5))
     assert (got["payload"], got["refers_to"], got["payload_bytes"]) == (None, 5, 3)
     for broken in (raw.replace(b"abc", b"abd"), raw.replace(b"WARC/1.1", b"WARC/1.0"), raw[:-1], raw + b"x",
-                   raw.replace(b"Content-Length: 3", b"Content-Length: 4"), raw.replace(b"response", b"other", 1)):
+                   raw.replace(b"Content-Length: 3", b"Content-Length: 4"), raw.replace(b"response", b"other", 1),
+                   raw.replace(b"WARC-Date: 1970", b"WARC-Date: 70")):
         with pytest.raises(warc.WarcError):
             warc.parse(broken)
+    with pytest.raises(KeyError):
+        warc.parse(raw.replace(b"WARC-Date", b"WARC-Data"))
+    ids = {re.search(rb"Record-ID: (\S+)", warc.record(5, "u", b"x", "d", None))[1] for _ in range(9)}
+    assert len(ids) == 9
+    assert warc.parse(warc.record(7, "u", None, hashlib.sha256(b"abc").hexdigest(), 5, 3))["payload_bytes"] == 3
 
 
 def test_archive_frames():
@@ -166,6 +211,29 @@ def test_round_trip(spark, tmp_path):
         (r["page_id"], r["html"]) for r in table.collect()}
 
 
+def test_archives_are_read_in_many_tasks(spark, tmp_path):
+    pages = spark.range(400).selectExpr("id page_id", "'u' url", "repeat(cast(id as string), 300) html")
+    folder = str(tmp_path / "many")
+    manifest = warc.write(warc.with_revisits(pages.repartition(20)), folder, archive_bytes=5_000)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and manifest.count() > 50
+    back = warc.read(manifest, folder)
+    tasks = back.selectExpr("spark_partition_id() p", "archive").distinct().groupBy("p").count().collect()
+    assert len(tasks) >= 6 and max(t["count"] for t in tasks) < manifest.count() / 2
+    assert back.count() == 400
+
+
+def test_copies_beyond_a_broadcast(spark, monkeypatch):
+    rows = [(i, "u", f"{'copy' * 40}{i % 3}") for i in range(60)] + [(None, "u", "copy" * 40 + "1"), (7, "u", "copy" * 40 + "2")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    pick = lambda: sorted((map(tuple, warc.with_revisits(df).collect())), key=str)
+    small = pick()
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert pick() == small and len(small) == len(rows)
+    assert sum(r[2] is None for r in small) == 57 + 1
+    plan = warc.with_revisits(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint" not in plan
+
+
 # ---- 10 chat
 
 def expected(rows):
