@@ -19,10 +19,13 @@ a document with a smaller id.  All windows are judged on the input.
 4. A document's repeated windows merge into maximal intervals, which are cut
    out of its words.
 
-Counting is a map-side combined aggregate joined back, so a passage that a
-third of all documents share is a hot join key that adaptive execution can
-split, never one group.  Texts are shuffled once, by id; both joins that
-need them read the same exchange.
+Counting is a map-side combined aggregate joined back.  An anchor that very
+many rows have, in the passage that a third of all documents share, is told
+by its count, and its rows are dealt over as many parts as it needs, to each
+of which the one row to join is copied; the hashes of step 3's single windows
+are left to adaptive execution.  Windows that follow one another are one
+row before they are gathered by document.  Texts are shuffled once, by id;
+both joins that need them read the same exchange.
 
 Defined results: null text has no words; texts under ``window`` words lose
 nothing; rows with a null id are kept whole and never count as smaller;
@@ -35,7 +38,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tempora.llm import grams
 from tempora.session import cut_lineage
@@ -44,6 +47,8 @@ SLICE_BYTES = 2 << 20
 # sequence digests a map task remembers, to send copies once per task
 SEEN_CLASSES = 200_000
 _LOW = np.uint64(0xFFFFFFFF)
+# rows of one hash in a part, and hashes with more rows up to which their list is broadcast (40 bytes each)
+HOT_ROWS, BROADCAST_HOT = 10_000, 500_000
 
 
 def _tag(s1) -> int:
@@ -134,6 +139,35 @@ def _window_hashes(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(count, "h long, c int, doc_id long, tag int, at int")
 
 
+def _join_split(big: DataFrame, small: DataFrame, keys: list[str], deal: list[str]) -> DataFrame:
+    """``big`` joined with ``small``, which has one row per key with the number ``rows`` of its rows in ``big``.
+
+    Rows of a key with more than HOT_ROWS are dealt by ``deal`` over parts of their own.
+    """
+    parts = F.when(F.col("rows") > HOT_ROWS, F.ceil(F.col("rows") / HOT_ROWS)).otherwise(1).cast("int")
+    small = cut_lineage(small.withColumn("parts", parts).drop("rows"))
+    hot = small.where("parts > 1").select(*keys, F.col("parts").alias("dealt"))
+    n = hot.count()
+    if not n:
+        return big.join(small.drop("parts"), keys)
+    if n <= BROADCAST_HOT:
+        hot = F.broadcast(hot)
+    part = F.when(F.col("dealt").isNull(), 0).otherwise(F.pmod(F.xxhash64(*deal), F.col("dealt"))).cast("int")
+    dealt = big.join(hot, keys, "left").withColumn("part", part).drop("dealt")
+    return dealt.join(small.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"),
+                      [*keys, "part"]).drop("part")
+
+
+def _merged_starts(gone: DataFrame) -> DataFrame:
+    """Windows of (doc_id, tag, at, n) that follow one another as one row, dealt by document."""
+    order = Window.partitionBy("doc_id", "tag").orderBy("at", "n")
+    before = F.max(F.col("at") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return gone.repartition("doc_id").withColumn("_new", F.when(F.col("at") <= before, 0).otherwise(1)) \
+        .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))) \
+        .groupBy("doc_id", "tag", "_run").agg(F.min("at").alias("at"), F.max(F.col("at") + F.col("n")).alias("_stop")) \
+        .select("doc_id", "tag", "at", (F.col("_stop") - F.col("at")).alias("n"))
+
+
 def _cut(docs: DataFrame, window: int) -> DataFrame:
     """Apply the removals: (doc_id, n_words, n_removed, intervals, kept_text)."""
     def cut(batches):
@@ -185,23 +219,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = signed.join(low, ["n_words", "s1", "s2"]).where("doc_id > low") \
         .groupBy("doc_id").agg(F.collect_set("s1").alias("whole"))
     anchors = _anchors(some, window)
-    many = anchors.groupBy("g").agg(F.min("s1").alias("a"), F.max("s1").alias("z"),
+    many = anchors.groupBy("g").agg(F.min("s1").alias("a"), F.max("s1").alias("z"), F.count("*").alias("rows"),
                                     (F.min("r") == F.max("r")).alias("alike")).where("a <> z")
-    runs = cut_lineage(anchors.join(many.select("g", "alike"), "g")
+    runs = cut_lineage(_join_split(anchors, many.select("g", "alike", "rows"), ["g"], ["s1", "at"])
                        .join(low.select("s1", F.col("low").alias("doc_id")), "s1")
                        .select("g", "alike", "doc_id", F.expr("cast(s1 & 2147483647 as int)").alias("tag"),
                                "at", "n").distinct())
     alike = runs.where("alike")
-    gone = alike.join(alike.groupBy("g").agg(F.min("doc_id").alias("low")), "g").where("doc_id > low") \
+    least = [F.min("doc_id").alias("low"), F.count("*").alias("rows")]
+    gone = _join_split(alike, alike.groupBy("g").agg(*least), ["g"], ["doc_id", "at"]).where("doc_id > low") \
         .select("doc_id", "tag", "at", "n")
     ranges = runs.where("not alike").groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("ranges"))
     # one exchange of the texts, read by both joins below
     spread = some.repartition("doc_id")
     hashed = _window_hashes(spread.join(ranges, "doc_id").select("doc_id", "text", "ranges"), window)
-    first = hashed.groupBy("h", "c").agg(F.min("doc_id").alias("low"))
-    gone = gone.union(hashed.join(first, ["h", "c"]).where("doc_id > low")
-                      .select("doc_id", "tag", "at", F.lit(1).alias("n"))) \
-        .groupBy("doc_id").agg(F.collect_list(F.struct("tag", "at", "n")).alias("gone"))
+    # windows of one document only are nobody's repeat
+    first = hashed.groupBy("h", "c").agg(*least, F.max("doc_id").alias("top")).where("low < top").drop("top")
+    # in one plan with the texts' exchange: adaptive execution splits a hot hash here
+    gone = gone.union(hashed.join(first.drop("rows"), ["h", "c"]).where("doc_id > low")
+                      .select("doc_id", "tag", "at", F.lit(1).alias("n")))
+    gone = _merged_starts(gone).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "at", "n")).alias("gone"))
     marked = spread.join(gone, "doc_id", "left").join(whole, "doc_id", "left") \
         .select("doc_id", "text", "gone", "whole")
     nameless = docs.where("doc_id is null").select(
