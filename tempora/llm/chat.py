@@ -8,11 +8,14 @@ character offsets; the control strings are tokens of their own, so no token
 crosses a turn's border.  A token is under the loss mask when its span meets
 the span of an assistant text, found by binary search over the sorted spans.
 
-Rows come to a task sorted by conversation and turn and are read as a
-stream.  A conversation longer than ``part_chars`` is rendered and encoded
-in parts of whole turns; as control strings split the text before encoding,
-the parts' tokens are those of the whole.  So a conversation that holds a
-third of all rows needs no more memory than another.
+Rows are dealt by ranges of (conversation, turn, start of role, start of
+text), so a conversation that holds a third of all rows is rendered and
+encoded in many tasks.  A task reads its rows in order as a stream and makes
+parts of whole turns of about ``part_chars`` characters; as control strings
+split the text before encoding, the parts' tokens are those of the whole.
+Reading back digests a conversation of one part where it lies.  Only the
+turns of the others are sent on, and hashed in order as a stream: a digest of
+a whole conversation has one end.
 
 Defined results: null text or role is empty; a null conversation id is one
 conversation; null turns come first; rows with equal turns are ordered by
@@ -25,16 +28,20 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import json
 import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 TURN, TEXT, END = CONTROLS = ("<|turn|>", "<|text|>", "<|end|>")
-PARTS_SCHEMA = ("conv_id long, part int, n_turns long, formatted string, input_ids array<int>, "
+PARTS_SCHEMA = ("conv_id long, part long, whole boolean, n_turns long, formatted string, input_ids array<int>, "
                 "token_ends array<int>, loss_mask array<boolean>")
+KEY_CHARS = 32      # of role and text in a row's range key; rows equal in it share a task
+SLAB_CHARS = 4096   # the encoder is quicker on slabs of whole turns than on a long part
 _ESCAPE = re.compile(r"\\|(?<=<)\|")
 _UNESCAPE = re.compile(r"\\(.)", re.DOTALL)
 _ONE_TURN = re.compile(re.escape(TURN) + "(.*?)" + re.escape(TEXT) + "(.*?)" + re.escape(END), re.DOTALL)
@@ -79,12 +86,55 @@ def mask(token_ends: np.ndarray, starts: list[int], ends: list[int]) -> np.ndarr
     return inside & (np.array(starts)[np.minimum(span, len(starts) - 1)] < token_ends) & (token_ends > begin)
 
 
-def encode(formatted: str, path: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids and the character where each token ends; spans lie end to end."""
-    found = tokenizer(path).encode(formatted, add_special_tokens=False)
-    ids = np.array(found.ids, np.int32)
-    spans = np.fromiter(itertools.chain.from_iterable(found.offsets), np.int32, 2 * len(ids))
-    return ids, np.maximum.accumulate(spans[1::2])
+@functools.lru_cache(maxsize=2)
+def _token_bytes(path: str) -> np.ndarray | None:
+    """Bytes of text under each token id; None where tokens are not plain runs of bytes."""
+    t = tokenizer(path)
+    made = json.loads(t.to_str())
+    before = made["pre_tokenizer"] or {}
+    if made["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return None
+    size = np.zeros(t.get_vocab_size(), np.int64)
+    for token, i in t.get_vocab(with_added_tokens=False).items():
+        size[i] = len(token)   # a byte is one character of the byte-level alphabet
+    for i, token in t.get_added_tokens_decoder().items():
+        size[i] = len(token.content.encode())
+    return size
+
+
+def _slabs(formatted: str, size: int):
+    """The text in slabs of whole turns, of about ``size`` characters."""
+    at = 0
+    while len(formatted) - at > size:
+        cut = formatted.rfind(TURN, at + 1, at + size)
+        if cut < 0:
+            cut = formatted.find(TURN, at + size - len(TURN))
+        if cut <= at:
+            break
+        yield formatted[at:cut]
+        at = cut
+    yield formatted[at:]
+
+
+def encode(formatted: str, path: str = TOKENIZER, slab_chars: int = SLAB_CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids and the character where each token ends; spans lie end to end.
+
+    Byte-level tokens end where their lengths add up to; other tokenizers
+    give their own offsets.
+    """
+    t, slabs = tokenizer(path), list(_slabs(formatted, slab_chars))
+    found = [t.encode(s, add_special_tokens=False) for s in slabs]
+    ids = np.fromiter(itertools.chain.from_iterable(f.ids for f in found), np.int32)
+    size = _token_bytes(path)
+    if size is not None:
+        raw, ends = np.frombuffer(formatted.encode(), np.uint8), np.cumsum(size[ids])
+        if len(ends) and ends[-1] == len(raw):
+            return ids, np.cumsum((raw & 0xC0) != 0x80)[ends - 1].astype(np.int32)
+    spans, at = [np.zeros(0, np.int32)], 0
+    for f, s in zip(found, slabs):
+        spans.append(at + np.fromiter((y for _, y in f.offsets), np.int32, len(f.ids)))
+        at += len(s)
+    return ids, np.maximum.accumulate(np.concatenate(spans)).astype(np.int32)
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -103,86 +153,111 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
                          part_chars: int = 1 << 20) -> DataFrame:
     """Rendered and encoded conversations, in parts of whole turns (PARTS_SCHEMA).
 
-    Parts of a conversation stand in order in one partition.
+    A conversation's parts are in the order of ``part``, whose numbers have
+    gaps; ``whole`` says that a part is known to be its whole conversation.
     """
     def run(batches):
-        def pack(conv, part, turns):
+        def pack(conv, part, whole, turns):
             text, starts, ends = render(turns)
             ids, token_ends = encode(text, path)
-            return conv, part, len(turns), text, ids, token_ends, mask(token_ends, starts, ends)
+            return conv, part, whole, len(turns), text, ids, token_ends, mask(token_ends, starts, ends)
 
         def batch(done):
-            conv, part, n, text, ids, token_ends, under = zip(*done)
+            conv, part, whole, n, text, ids, token_ends, under = zip(*done)
             return pa.RecordBatch.from_arrays(
-                [pa.array(conv, pa.int64()), pa.array(part, pa.int32()), pa.array(n, pa.int64()),
-                 pa.array(text, pa.string()), _lists(ids, pa.int32()), _lists(token_ends, pa.int32()),
-                 _lists(under, pa.bool_())],
-                ["conv_id", "part", "n_turns", "formatted", "input_ids", "token_ends", "loss_mask"])
-        turns, size, part, now, done, held = [], 0, 0, (None,), [], 0
+                [pa.array(conv, pa.int64()), pa.array(part, pa.int64()), pa.array(whole, pa.bool_()),
+                 pa.array(n, pa.int64()), pa.array(text, pa.string()), _lists(ids, pa.int32()),
+                 _lists(token_ends, pa.int32()), _lists(under, pa.bool_())],
+                ["conv_id", "part", "whole", "n_turns", "formatted", "input_ids", "token_ends", "loss_mask"])
+        # ranges come in order of the partition's number; the first and the last conversation may go on beyond it
+        part, fresh = TaskContext.get().partitionId() << 32, False
+        turns, size, now, done, held = [], 0, None, [], 0
         for b in batches:
             for conv, role, text in zip(*(c.to_pylist() for c in b.columns)):
-                if (conv,) != now or size >= part_chars:
-                    if turns:
-                        done.append(pack(now[0], part, turns))
-                        held += size
-                    part = part + 1 if (conv,) == now and turns else 0
-                    turns, size, now = [], 0, (conv,)
+                other = now is not None and (conv,) != now
+                if turns and (other or size >= part_chars):
+                    done.append(pack(now[0], part, fresh and other, turns))
+                    held += size
+                    turns, size, part, fresh = [], 0, part + 1, other
                     if held >= part_chars:
                         yield batch(done)
                         done, held = [], 0
+                now = (conv,)
                 turns.append((role, text))
                 size += len(role) + len(text)
         if turns:
-            done.append(pack(now[0], part, turns))
+            done.append(pack(now[0], part, False, turns))
         if done:
             yield batch(done)
     return rows.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn"),
                        F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")) \
-        .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
+        .repartitionByRange("conv_id", "turn", F.substring("role", 1, KEY_CHARS), F.substring("text", 1, KEY_CHARS)) \
+        .sortWithinPartitions("conv_id", "turn", "role", "text") \
         .select("conv_id", "role", "text").mapInArrow(run, PARTS_SCHEMA)
 
 
+def _rows(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)],
+                                      [n for n, _ in fields])
+
+
 def read_back(parts: DataFrame) -> DataFrame:
-    """Per conversation what its formatted text, tokens and mask hold (a stream over ordered parts)."""
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    """Per conversation what its formatted text, tokens and mask hold, whatever the order of the parts' rows."""
+    sums = [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+            ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    pieces = [*sums, ("part", pa.int64()), ("turns", pa.binary()), ("loss", pa.binary())]
+    sums_schema = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+                   "formatted_chars long")
 
-    def run(batches):
-        state, now = None, (None,)
-        close = lambda s, conv: (conv, s[0], s[1].hexdigest(), s[2], s[3].hexdigest(), s[4])
+    def read(batches):
         for b in batches:
             done = []
-            for conv, text, ends, under in zip(b.column("conv_id").to_pylist(), b.column("formatted").to_pylist(),
-                                               _pieces(b.column("token_ends")), _pieces(b.column("loss_mask"))):
-                if state is None or (conv,) != now:
-                    if state is not None:
-                        done.append(close(state, now[0]))
-                    state, now = [0, hashlib.sha256(), 0, hashlib.sha256(), 0], (conv,)
-                at = 0
+            for conv, part, whole, text, ends, under in zip(
+                    b.column("conv_id").to_pylist(), b.column("part").to_pylist(), b.column("whole").to_pylist(),
+                    b.column("formatted").to_pylist(), _pieces(b.column("token_ends")), _pieces(b.column("loss_mask"))):
+                at, turns = 0, []
                 for m in _ONE_TURN.finditer(text):
                     if m.start() != at:
                         raise ValueError(f"conversation {conv}: text between turns at {at}")
                     at = m.end()
-                    state[0] += 1
-                    state[1].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
+                    turns.append(f"{unescape(m[1])}\n{unescape(m[2])}\n")
                 if at != len(text):
                     raise ValueError(f"conversation {conv}: cut short at {at}")
                 # runs of masked tokens: the tokens where the mask turns on and off
                 turn = np.flatnonzero(np.diff(under.astype(np.int8), prepend=0, append=0))
                 border = np.concatenate([[0], ends])[turn].tolist()
                 loss = unescape("".join(text[x:y] for x, y in zip(border[::2], border[1::2])))
-                state[2] += len(loss)
-                state[3].update(loss.encode())
-                state[4] += len(text)
+                said, heard = "".join(turns).encode(), loss.encode()
+                if whole:
+                    done.append((conv, len(turns), hashlib.sha256(said).hexdigest(), len(loss),
+                                 hashlib.sha256(heard).hexdigest(), len(text), part, None, None))
+                else:
+                    done.append((conv, len(turns), None, len(loss), None, len(text), part, said, heard))
+            if done:
+                yield _rows(done, pieces)
+
+    def join(batches):
+        now, n, said, heard = None, [0, 0, 0], None, None
+        close = lambda: (now[0], n[0], said.hexdigest(), n[1], heard.hexdigest(), n[2])
+        for b in batches:
+            done = []
+            for conv, turns, said_sha, chars, heard_sha, size, _, s, h in zip(*(b.column(i).to_pylist()
+                                                                               for i in range(b.num_columns))):
+                if said_sha is not None:
+                    done.append((conv, turns, said_sha, chars, heard_sha, size))
+                    continue
+                if (conv,) != now:
+                    if now is not None:
+                        done.append(close())
+                    now, n, said, heard = (conv,), [0, 0, 0], hashlib.sha256(), hashlib.sha256()
+                said.update(s)
+                heard.update(h)
+                n = [x + y for x, y in zip(n, (turns, chars, size))]
             if done:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, d)) for d in done])
-        if state is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, close(state, now[0])))])
-
-    def typed(batches):
-        for b in run(batches):
-            yield pa.RecordBatch.from_arrays(
-                [b.column(n).cast(t) for n, t in zip(names, (
-                    pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))], names)
-    return parts.mapInArrow(typed, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                   "loss_sha256 string, formatted_chars long")
+                yield _rows(done, sums)
+        if now is not None:
+            yield _rows([close()], sums)
+    return parts.select("conv_id", "part", "whole", "formatted", "token_ends", "loss_mask") \
+        .mapInArrow(read, sums_schema + ", part long, turns binary, loss binary") \
+        .repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(join, sums_schema)

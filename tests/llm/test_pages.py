@@ -281,6 +281,37 @@ def test_parts_have_the_tokens_of_the_whole(spark):
     assert ids[0] == ids[1]
 
 
+def test_byte_lengths_give_the_offsets_of_the_library():
+    texts = ["", " ", "\n\n lead", "trail \n", "é́ 日本 👩‍👩‍👧", "a\\b", "x" * 5000, "word " * 3000]
+    formatted = chat.render([("assistant", t) for t in texts])[0]
+    whole = chat.tokenizer(chat.TOKENIZER).encode(formatted, add_special_tokens=False)
+    for slab in (10, 300, 1 << 20):
+        ids, ends = chat.encode(formatted, slab_chars=slab)
+        assert ids.tolist() == whole.ids and ends[-1] == len(formatted) and (ends[1:] >= ends[:-1]).all()
+    # the library leaves spaces at a token's end out of its offsets
+    for (_, y), e in zip(whole.offsets, ends.tolist()):
+        assert y <= e and not formatted[y:e].strip()
+
+
+def test_hot_conversation_is_many_tasks(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t} " + "words " * 20) for t in range(6000)]
+    rows += [(c, t, "assistant", f"{c} {t}") for c in range(2, 3002) for t in range(4)]
+    random.Random(5).shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    size = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "false")   # tables of this size would be merged to one task
+    try:
+        parts = chat.format_conversations(df)
+        tasks = {p["part"] >> 32 for p in parts.where("conv_id = 1").select("part").collect()}
+        got = {r["conv_id"]: tuple(r)[1:5] for r in chat.read_back(parts).collect()}
+        in_place = parts.where("whole").count()
+    finally:
+        spark.conf.set(size, before)
+    assert len(tasks) >= 2 and in_place >= 2900
+    assert got == expected(rows)
+
+
 def test_conversations_table(spark):
     from tempora.llm import queries
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
