@@ -13,7 +13,7 @@ from :func:`grid_position` on a dense daily series) to skip numbering.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -65,14 +65,17 @@ def impute_rolling(df: DataFrame, by, order: Sequence[str], col: str, window: in
 # --- F3 / F4 / F6 -----------------------------------------------------------
 def interpolate(df: DataFrame, by, order: Sequence[str], cols: Sequence[str],
                 method: str = "linear", ts: str | None = None, pos: str | None = None,
-                chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, lead: Mapping[str, int | None] | None = None) -> DataFrame:
     """Fill inner gaps linearly (pandas ``interpolate``, forward direction).
 
     ``method="linear"`` weights by row position, ``"time"`` by the time
     column ``ts`` (default: the first order column).  A leading gap stays
-    NULL; a trailing gap takes the last known value.
+    NULL; a trailing gap takes the last known value.  ``lead`` {column:
+    rows} back-fills leading gaps of at most so many rows (None: any) in the
+    same pass: all that :func:`bfill` finds missing after interpolation is
+    the leading gap, and it ends at the next value's position.
     """
-    cols = list(cols)
+    cols, lead = list(cols), dict(lead or {})
     d, p, added = _positioned(df, by, order, pos)
     if method == "time":
         t = epoch_micros(d, ts or order[0]).cast("double")
@@ -87,7 +90,10 @@ def interpolate(df: DataFrame, by, order: Sequence[str], cols: Sequence[str],
               backward_items={f"_next_{c}": s for c, s in known.items()})
     for c in cols:
         prev, nxt = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
-        filled = (F.when(prev.isNull(), F.lit(None))
+        first = F.lit(None)
+        if c in lead:
+            first = nxt["v"] if lead[c] is None else F.when(nxt["p"] <= lead[c], nxt["v"])
+        filled = (F.when(prev.isNull(), first)
                   .when(nxt.isNull(), prev["v"])
                   .otherwise(prev["v"] + (nxt["v"] - prev["v"]) *
                              (F.col("_t") - prev["t"]) / (nxt["t"] - prev["t"])))

@@ -175,13 +175,11 @@ def clean_weather(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[
     """Weather cleaning: interpolate every imputable column of every group,
     then carry the next value backward in ``bfill_col`` for groups with at
     most ``max_nulls`` values still missing."""
-    from tempora.operators.series import with_position
     todo = [c for c in cols if c not in set(exclude)]
-    d = with_position(df, key, order, "_wpos")
-    out = TS.interpolate(d, key, order, todo, pos="_wpos")
-    if bfill_col:
-        out = TS.bfill(out, key, order, bfill_col, max_nulls=max_nulls, pos="_wpos")
-    return out.drop("_wpos")
+    if bfill_col in todo:
+        return TS.interpolate(df, key, order, todo, lead={bfill_col: max_nulls})
+    out = TS.interpolate(df, key, order, todo)
+    return TS.bfill(out, key, order, bfill_col, max_nulls=max_nulls) if bfill_col else out
 
 
 def clean_gas(df: DataFrame, order: Sequence[str], cols: Sequence[str], window: int = 3) -> DataFrame:

@@ -249,3 +249,18 @@ def test_full_spectrum_makes_no_rows_per_coefficient(spark):
     one = TS.dct_spectrum_full(df, None, ["t"], "y", short=100).agg(F.sum("coefficient").alias("c"), F.count("*").alias("n")).first()
     ref = TS.dct_spectrum(df, None, ["t"], "y", kmax=2999).agg(F.sum("coefficient").alias("c")).first()
     assert one.n == 3000 and one.c == pytest.approx(ref.c)
+
+
+@pytest.mark.parametrize("most", [None, 0, 1, 3])
+@pytest.mark.parametrize("chunk", [2, 1 << 16])
+def test_leading_gaps_in_the_pass_of_interpolation(spark, most, chunk):
+    values = {1: [None, 5.0, None, 7.0], 2: [None, None, None, 4.0, None], 3: [None] * 4, 4: [1.0, None, 3.0],
+              5: [None] * 6 + [2.0], None: [None, 9.0], 6: [None]}
+    rows = [(k, i, v, float(i)) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k int, t int, v double, w double")
+    got = TS.interpolate(df, "k", ["t"], ["v", "w"], chunk_rows=chunk, lead={"v": most})
+    want = TS.bfill(TS.interpolate(df, "k", ["t"], ["v", "w"], chunk_rows=chunk), "k", ["t"], "v", max_nulls=most,
+                    chunk_rows=chunk)
+    key = lambda r: (r["k"] is None, r["k"] or 0, r["t"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*got.columns).collect()), key=str)
+    assert [key(r) for r in sorted(got.collect(), key=key)] == sorted((k is None, k or 0, t) for k, t, _, _ in rows)
