@@ -436,15 +436,16 @@ def dct_swc(prices: DataFrame, wind: DataFrame, day: str = "day", price: str = "
     Returns (day, price, wspd, corr) with the lagged / filtered values.
     Each skew-safe step reads its input twice (rows and a summary), so a
     chain of steps would re-derive the first input many times over; with
-    ``materialize`` every step's result is checkpointed to the cluster's
-    checkpoint folder, which keeps each plan to one step."""
+    ``materialize`` the numbered series, the lagged one and the pairs are
+    checkpointed to the cluster's checkpoint folder.  A series is numbered
+    once: lagging and smoothing keep its rows."""
     cut = cut_lineage if materialize else (lambda d: d)
-    w = cut(lag_backfill(wind.select(day, wspd), None, [day], wspd, lag, chunk_rows=chunk_rows))
-    pr = cut(prices.select(day, price))
+    w = cut(with_position(wind.select(day, wspd), None, [day], _POS))
+    w = cut(lag_backfill(w, None, [day], wspd, lag, pos=_POS, chunk_rows=chunk_rows)) if lag else w
+    pr = prices.select(day, price)
     if dct_filter:
-        pr = cut(dct_lowpass(pr, None, [day], price, dct_cutoff, out="_f")
-                 .drop(price).withColumnRenamed("_f", price))
-        w = cut(dct_lowpass(w, None, [day], wspd, dct_cutoff, out="_f")
-                .drop(wspd).withColumnRenamed("_f", wspd))
-    both = pr.join(w, [day], "inner")
+        pr = cut(with_position(pr, None, [day], _POS))
+        pr, w = (dct_lowpass(d, None, [day], c, dct_cutoff, out="_f", pos=_POS)
+                 .drop(c).withColumnRenamed("_f", c) for d, c in ((pr, price), (w, wspd)))
+    both = cut(pr.drop(_POS).join(w.drop(_POS), [day], "inner"))
     return sliding_corr(both, None, [day], price, wspd, swc_width, "corr", chunk_rows=chunk_rows)
